@@ -53,9 +53,8 @@ INPUTS = {
                {_list(SOURCES)}[(l_linenumber + l_suppkey) % 8 + 1] AS stream_source,
                CASE WHEN l_suppkey % 2 = 0 THEN '' ELSE 'uri:' || CAST(l_suppkey AS VARCHAR) END
                  AS source_uri
-        FROM lineitem
-        JOIN orders ON l_orderkey = o_orderkey
-        JOIN customers_in ON o_custkey = k""",
+        FROM (SELECT *, l_orderkey AS k, {_list(COUNTRIES)}[l_suppkey % 25 + 1] AS cc
+              FROM lineitem)""",
     "customers_in": f"""
         SELECT c_custkey AS k, {_list(COUNTRIES)}[c_nationkey + 1] AS cc FROM customer""",
     "parts_in": "SELECT p_partkey AS p, p_name, p_partkey // 4 AS m FROM part",
@@ -84,7 +83,7 @@ INPUTS = {
                  AS zip_code,
                CAST(500 + (k % 40) % 10 AS VARCHAR) AS dma_id,
                'DMA ' || CAST(500 + (k % 40) % 10 AS VARCHAR)
-                 || CASE WHEN k % 40 = 3 AND k % 80 >= 40 THEN ' alt' ELSE '' END AS dma_name
+                 || CASE WHEN k % 40 < 10 AND k % 80 >= 40 THEN ' alt' ELSE '' END AS dma_name
         FROM customers_in WHERE cc = 'US'""",
     "release_dates": f"""
         SELECT DISTINCT 'ISRC' || lpad(CAST(m AS VARCHAR), 8, '0') AS isrc,
