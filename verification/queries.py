@@ -85,9 +85,13 @@ def subscriptions_of(spark: SparkSession, sf: str) -> DataFrame:
     return flatten_subscriptions(inputs.user_docs(spark, sf), APP, SUBSCRIPTION)
 
 
+def staged_subscriptions(spark: SparkSession, sf: str) -> DataFrame:
+    return tables_io.staged(subscriptions_of(spark, sf), "subscriptions")
+
+
 def branches_of(spark: SparkSession, sf: str, partner: Partner) -> list[DataFrame]:
     return A.partner_alerts(
-        staged_trends(spark, sf, partner), partner, subscriptions_of(spark, sf),
+        staged_trends(spark, sf, partner), partner, staged_subscriptions(spark, sf),
         inputs.products(spark, sf), inputs.release_dates(spark, sf), inputs.images(spark, sf), D,
     )
 
@@ -95,7 +99,7 @@ def branches_of(spark: SparkSession, sf: str, partner: Partner) -> list[DataFram
 def alerts_of(spark: SparkSession, sf: str) -> DataFrame:
     by_partner = {p.name: staged_trends(spark, sf, p) for p in (SPOTIFY, APPLE)}
     return A.alerts(
-        by_partner, subscriptions_of(spark, sf), inputs.products(spark, sf),
+        by_partner, staged_subscriptions(spark, sf), inputs.products(spark, sf),
         inputs.release_dates(spark, sf), inputs.images(spark, sf), D,
     )
 
@@ -925,7 +929,7 @@ def audit_counts(spark, sf):
         audited[f"{tag} countries"] = with_part_day(countries[partner.name])
         audited[f"{tag} regions"] = with_part_day(trending(base, partner, regional=True))
     made = A.alerts(
-        countries, subscriptions_of(spark, sf), inputs.products(spark, sf),
+        countries, staged_subscriptions(spark, sf), inputs.products(spark, sf),
         inputs.release_dates(spark, sf), inputs.images(spark, sf), D,
     )
     made = tables_io.staged(made, "alerts")
