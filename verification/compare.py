@@ -23,6 +23,7 @@ LOCAL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.driver.memory": "12g",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
 }
 
 
