@@ -32,12 +32,17 @@ def outbox_stream(
     files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Consume what is in the topic and stop. The checkpoint marks messages as taken, so a rerun
-    writes none twice. Without `deliver` messages are taken but nothing is written."""
-    rows = mail_rows(subscribe(spark, topic, files_per_trigger))
-    writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if not deliver:
-        return writer.format("noop").start()
-    return writer.format("parquet").option("path", outbox).outputMode("append").start()
+    writes none twice. Without `deliver` messages are taken but no rows are written; the sink stays
+    the same, so delivery can be switched on again under the same checkpoint."""
+    rows = mail_rows(subscribe(spark, topic, files_per_trigger)).filter(F.lit(deliver))
+    return (
+        rows.writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", outbox)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def message_counter(
