@@ -79,7 +79,7 @@ def test_average_covers_positive_scores_and_equal_scores_pass_it(spark):
         [(r["isrc"], date(2023, 6, 1)) for r in rows], RELEASE_DATES
     )
     images = spark.createDataFrame([], IMAGES)
-    assert eligible_trends(trends, released, images, DAY).count() == 7
+    assert eligible_trends({"Spotify": trends}, released, images, DAY).count() == 7
 
 
 def test_territory_matches_once_whether_first_second_or_both(spark, make_alerts):

@@ -178,3 +178,13 @@ def test_ties_and_differences_of_builds(spark):
         (3, None, 2, 3), (6, 2, None, 2),
     }
     assert build_diff(left, left, ["rank_lw", "streams_lw"], "n_items").isEmpty()
+
+
+def test_writing_nothing_at_all_empties_the_listed_days(spark):
+    path = work_path(spark, "days")
+    write_days(day_rows(spark, (DAY, 1), (OTHER, 2)), path)
+    rows = day_rows(spark, (DAY, 1))
+    write_days(rows.join(rows.filter("v > 1"), "v", "left_semi"), path, days=[DAY])
+    assert collected(read_table(spark, path), "part_day", "v") == {(OTHER, 2)}
+    write_days(rows.limit(0), path, days=[OTHER])
+    assert read_table(spark, path, rows.schema).isEmpty()

@@ -5,12 +5,13 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upswing.functions.scalar import released_in_window
 from upswing.partners import APPLE, SPOTIFY, Partner
 from upswing.schemas import SUBSCRIPTIONS, trend_schema, trend_sources
+from upswing.sources.tables import staged
 
 ALERT_EXTRAS = ["avg_velocity", "track_image", "first_stream_date"]
 
@@ -40,17 +41,6 @@ def above_average(trends: DataFrame) -> DataFrame:
     )
 
 
-def eligible_trends(
-    trends: DataFrame, release_dates: DataFrame, images: DataFrame, day: date | str
-) -> DataFrame:
-    """Trends worth an alert: at or above their market's average, and of the right age. Subscribers
-    meet this reduced table, not the whole one."""
-    released = release_dates.filter(released_in_window(F.col("first_stream_date"), day))
-    return (
-        above_average(trends).join(released, "isrc").join(one_image(images), "isrc", "left")
-    )
-
-
 def in_alert_slots(trends: DataFrame, partner: Partner) -> DataFrame:
     """The alert table names its columns after one partner; the other's differing source goes into
     the column in the same position."""
@@ -64,6 +54,25 @@ def in_alert_slots(trends: DataFrame, partner: Partner) -> DataFrame:
     return trends.withColumnsRenamed(renames)
 
 
+def eligible_trends(
+    trends: dict[str, DataFrame], release_dates: DataFrame, images: DataFrame, day: date | str
+) -> DataFrame:
+    """Trends worth an alert, of all partners together: at or above their market's average, and of
+    the right age. Subscribers meet this reduced table, and dates and images are looked up once."""
+    candidates = reduce(
+        DataFrame.unionByName,
+        [
+            in_alert_slots(above_average(trends[partner.name]), partner).withColumn(
+                "trend_partner", F.lit(partner.name)
+            )
+            for partner in (SPOTIFY, APPLE)
+            if partner.name in trends
+        ],
+    )
+    released = release_dates.filter(released_in_window(F.col("first_stream_date"), day))
+    return candidates.join(released, "isrc").join(one_image(images), "isrc", "left")
+
+
 def by_territory(subscriptions: DataFrame) -> DataFrame:
     """A row per subscription and distinct territory. Turns "primary or secondary matches" into a
     plain equality, so that the join compares only rows that belong together."""
@@ -73,12 +82,18 @@ def by_territory(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.withColumn("territory", F.explode(codes))
 
 
+def _followed(followers: DataFrame, trends: DataFrame, item: Column) -> DataFrame:
+    follows = (
+        item
+        & (followers["territory"] == trends["country_code"])
+        & (followers["partner"] == trends["trend_partner"])
+    )
+    return followers.join(trends, follows).select(*alert_columns())
+
+
 def artist_alerts(subscriptions: DataFrame, eligible: DataFrame) -> DataFrame:
     followers = by_territory(subscriptions.filter(F.col("category") == "artist"))
-    follows = (followers["artist"] == eligible["canopus_id"]) & (
-        followers["territory"] == eligible["country_code"]
-    )
-    return followers.join(eligible, follows).select(*alert_columns())
+    return _followed(followers, eligible, followers["artist"] == eligible["canopus_id"])
 
 
 def label_alerts(
@@ -88,25 +103,7 @@ def label_alerts(
     label alerts twice; the digest removes copies."""
     listed = eligible.join(products.select("isrc", "sap_segment_code"), "isrc")
     followers = by_territory(subscriptions.filter(F.col("category") == "label"))
-    follows = (followers["label"] == listed["sap_segment_code"]) & (
-        followers["territory"] == listed["country_code"]
-    )
-    return followers.join(listed, follows).select(*alert_columns())
-
-
-def partner_alerts(
-    trends: DataFrame,
-    partner: Partner,
-    subscriptions: DataFrame,
-    products: DataFrame,
-    release_dates: DataFrame,
-    images: DataFrame,
-    day: date | str,
-) -> list[DataFrame]:
-    """The artist branch and the label branch of one partner."""
-    eligible = in_alert_slots(eligible_trends(trends, release_dates, images, day), partner)
-    own = subscriptions.filter(F.col("partner") == partner.name)
-    return [artist_alerts(own, eligible), label_alerts(own, products, eligible)]
+    return _followed(followers, listed, followers["label"] == listed["sap_segment_code"])
 
 
 def alerts(
@@ -117,13 +114,9 @@ def alerts(
     images: DataFrame,
     day: date | str,
 ) -> DataFrame:
-    """All alerts of one day. `trends` maps partner names to their country trends of that day."""
-    branches = [
-        branch
-        for partner in (SPOTIFY, APPLE)
-        if partner.name in trends
-        for branch in partner_alerts(
-            trends[partner.name], partner, subscriptions, products, release_dates, images, day
-        )
-    ]
-    return reduce(DataFrame.unionByName, branches)
+    """All alerts of one day. `trends` maps partner names to their country trends of that day. The
+    eligible trends serve both branches, so they are written out in between."""
+    eligible = staged(eligible_trends(trends, release_dates, images, day), "eligible")
+    return artist_alerts(subscriptions, eligible).unionByName(
+        label_alerts(subscriptions, products, eligible)
+    )

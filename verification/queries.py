@@ -89,13 +89,6 @@ def staged_subscriptions(spark: SparkSession, sf: str) -> DataFrame:
     return tables_io.staged(subscriptions_of(spark, sf), "subscriptions")
 
 
-def branches_of(spark: SparkSession, sf: str, partner: Partner) -> list[DataFrame]:
-    return A.partner_alerts(
-        staged_trends(spark, sf, partner), partner, staged_subscriptions(spark, sf),
-        inputs.products(spark, sf), inputs.release_dates(spark, sf), inputs.images(spark, sf), D,
-    )
-
-
 def alerts_of(spark: SparkSession, sf: str) -> DataFrame:
     by_partner = {p.name: staged_trends(spark, sf, p) for p in (SPOTIFY, APPLE)}
     return A.alerts(
@@ -630,17 +623,24 @@ def territory_match(spark, sf):
     )
 
 
-def _branch(partner: Partner, place: int, branch: str) -> None:
+def _branch(partner: Partner, branch: str) -> None:
     name = f"alerts_{branch}_{tag_of(partner)}"
 
     @register(name, f"SELECT {ROUND_ALERT} FROM {name}")
     def query(spark, sf):
-        return rounded(branches_of(spark, sf, partner)[place])
+        eligible = A.eligible_trends(
+            {partner.name: staged_trends(spark, sf, partner)},
+            inputs.release_dates(spark, sf), inputs.images(spark, sf), D,
+        )
+        subscriptions = subscriptions_of(spark, sf)
+        if branch == "artist":
+            return rounded(A.artist_alerts(subscriptions, eligible))
+        return rounded(A.label_alerts(subscriptions, inputs.products(spark, sf), eligible))
 
 
 for _partner in (SPOTIFY, APPLE):
-    _branch(_partner, 0, "artist")
-    _branch(_partner, 1, "label")
+    for _name in ("artist", "label"):
+        _branch(_partner, _name)
 
 
 @register("alerts_all", f"SELECT {ROUND_ALERT} FROM alerts")
