@@ -16,7 +16,7 @@ LONG = {
     "alerts_distinct", "digest_top10", "digest_documents", "message_count", "ndjson_roundtrip",
     "audit_counts", "tie_profile", "avg_velocity", "metadata_enrich", "week_deltas",
     "share_of_total", "backfill_range", "cohort_archive", "build_diff", "messages",
-    "geo_rollup_levels_spotify", "region_filter_spotify", "above_average", "enriched_only",
+    "geo_rollup_levels", "region_whitelist", "table_overwrite", "above_average", "enriched_only",
 }
 CHOSEN = [n for n in QUERIES if os.environ.get("ALL_QUERIES") or n not in LONG]
 
@@ -26,6 +26,20 @@ def test_query_matches_sql(spark, sql_tables, sf_dir, name):
     assert differences(spark, sql_tables, sf_dir, name) is None
 
 
+@pytest.mark.parametrize("name", ["base_apple", "alerts_label_spotify", "trending_regions_spotify"])
+def test_same_results_when_every_join_shuffles_and_splits(
+    spark, sql_tables, sf_dir, settings, name
+):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB",
+    )
+    assert differences(spark, sql_tables, sf_dir, name) is None
+
+
 def test_only_the_file_listing_has_no_sql():
     assert set(QUERIES) - set(SQL) == {"file_census"}
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from upswing import APPLE, SPOTIFY, Partner
 from upswing.functions import scalar
-from upswing.functions.nested import enabled_partners, label_names, territories
+from upswing.functions.nested import label_names
 from upswing.operators import alerts as A
 from upswing.operators import checks, counting, enrichment, trends
 from upswing.operators.archive import cohort_archive, write_cohorts
@@ -24,6 +24,7 @@ from upswing.operators.subscriptions import (
 from upswing.partners import HOME_MARKET
 from upswing.plans.daily import Paths, Sources, days_between, days_listed, rebuild, written_days
 from upswing.plans.velocity import market_rows, trending, velocity_base
+from upswing.schemas import SUBSCRIPTIONS
 from upswing.sources import documents as docs_io
 from upswing.sources import tables as tables_io
 from upswing.streaming.outbox import message_counter, outbox_stream
@@ -175,8 +176,8 @@ def region_code_concat(spark, sf):
     )
 
 
-def _levels(partner: Partner) -> None:
-    @register(f"geo_rollup_levels_{tag_of(partner)}", f"SELECT * FROM levels_{tag_of(partner)}")
+def _levels(name: str, partner: Partner) -> None:
+    @register(name, f"SELECT * FROM levels_{tag_of(partner)}")
     def query(spark, sf):
         counted = counting.count_window(inputs.streams(spark, sf), partner, D)
         return market_rows(
@@ -184,8 +185,8 @@ def _levels(partner: Partner) -> None:
         )
 
 
-_levels(SPOTIFY)
-_levels(APPLE)
+_levels("geo_rollup_levels", SPOTIFY)
+_levels("geo_rollup_levels_apple", APPLE)
 
 
 @register(
@@ -454,11 +455,11 @@ def momentum_guard(spark, sf):
     return rounded(guarded.select(*columns, "n", "rank_change", "rank_adj_score"))
 
 
-def _regions(partner: Partner) -> None:
+def _regions(name: str, partner: Partner) -> None:
     tag = tag_of(partner)
 
     @register(
-        f"region_filter_{tag}",
+        name,
         f"""SELECT country_code, region_dma_code, {big("sum(streams)", "streams")}
             FROM levels_{tag} WHERE {oracle.region_filter(partner)} GROUP BY ALL""",
     )
@@ -474,8 +475,8 @@ def _regions(partner: Partner) -> None:
         )
 
 
-_regions(SPOTIFY)
-_regions(APPLE)
+_regions("region_whitelist", SPOTIFY)
+_regions("region_not_empty", APPLE)
 
 
 def _trending(partner: Partner, regional: bool, cut: bool) -> None:
@@ -783,6 +784,15 @@ def message_count(spark, sf):
 # --- tables, backfill, archive -----------------------------------------------------------------
 
 
+@register("table_overwrite", f"SELECT {oracle.SUB_COLUMNS} FROM subscriptions")
+def table_overwrite(spark, sf):
+    """A whole table loaded twice; the second load replaces the first."""
+    path = tables_io.work_path(spark, "subscriptions")
+    for _ in range(2):
+        tables_io.write_table(subscriptions_of(spark, sf), path, SUBSCRIPTIONS)
+    return tables_io.read_table(spark, path, SUBSCRIPTIONS)
+
+
 @register("ndjson_roundtrip", f"SELECT {ROUND_SCORE} FROM trends_countries_spotify_cut")
 def ndjson_roundtrip(spark, sf):
     made = trends_of(spark, sf, SPOTIFY, rank_cap=100, top_n=50)
