@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+from upswing.sources.tables import clear_work
 from verification.compare import duckdb_tables, local_session
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,6 +16,7 @@ def spark():
     session = local_session("4")
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
+    clear_work(session)
     session.stop()
 
 

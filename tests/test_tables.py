@@ -7,7 +7,6 @@ from upswing import APPLE, SPOTIFY
 from upswing.operators.checks import (
     audit_counts,
     build_diff,
-    files_ready,
     has_rows,
     readiness,
     tie_profile,
@@ -85,17 +84,27 @@ def test_create_day_table_once(spark):
     assert not has_rows(spark.table(name))
 
 
-def test_work_dir_needs_a_shared_folder_outside_local_mode():
-    class Conf(dict):
-        pass
+def test_work_dir_needs_a_shared_folder(spark):
+    class Context:
+        applicationId = "app-1"
+        getCheckpointDir = staticmethod(lambda: None)
 
     class Session:
-        conf = Conf({"spark.master": "spark://host:7077", "spark.app.id": "x"})
+        conf = {}
+        sparkContext = Context
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         tables_io.work_dir(Session)
     Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
-    assert tables_io.work_dir(Session) == "hdfs:///shared"
+    assert tables_io.work_dir(Session) == "hdfs:///shared/upswing-app-1"
+
+
+def test_discard_deletes_an_intermediate_table(spark):
+    path = work_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    tables_io.discard(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
 
 
 def test_days():
@@ -158,14 +167,6 @@ def test_checks(spark):
     ]
 
 
-def test_file_listing(spark, sf_dir):
-    files = tables_io.census(spark, sf_dir, "*.parquet")
-    row = files_ready(files, 13).first()
-    assert (row["n_files"], row["ready"]) == (14, True)
-    assert not files_ready(files, 14).first()["ready"]
-    assert "content" not in planned(files).split("ReadSchema")[1]
-
-
 def test_ties_and_differences_of_builds(spark):
     schema = "country_code string, rank_lw long, streams_lw long"
     one = [("US", 1, 5), ("US", 1, 5), ("US", 3, None), ("US", 3, None), ("US", 9, 1), ("SE", 1, 5)]

@@ -47,13 +47,6 @@ def readiness(tables: dict[str, DataFrame], day: date | str, more_than: int = 0)
     )
 
 
-def files_ready(files: DataFrame, more_than: int) -> DataFrame:
-    """Whether a file listing has more than the wanted number of files."""
-    return files.agg(F.count(F.lit(1)).alias("n_files")).withColumn(
-        "ready", F.col("n_files") > more_than
-    )
-
-
 def has_rows(df: DataFrame) -> bool:
     """Existence probe; stops at the first row."""
     return not df.isEmpty()

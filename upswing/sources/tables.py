@@ -1,8 +1,7 @@
-"""Day-partitioned tables, plain tables and file listings."""
+"""Day-partitioned tables, plain tables and intermediate results."""
 
 from __future__ import annotations
 
-import tempfile
 from datetime import date
 from uuid import uuid4
 
@@ -13,8 +12,6 @@ from pyspark.sql.types import StructType
 from upswing.functions.scalar import as_date, in_window
 from upswing.schemas import PARTITION_COLUMN, conform
 
-_local_work_dirs: dict[str, str] = {}
-
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -86,29 +83,13 @@ def create_day_table(spark: SparkSession, name: str, schema: StructType, path: s
     return True
 
 
-def census(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Files under a path with their sizes. Only the listing is read, not the contents."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length")
-    )
-
-
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: `spark.checkpoint.dir` of the session. Only a local
-    session without that setting falls back to a temporary folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    """Folder of this application for intermediate tables, under the shared folder that
+    `spark.checkpoint.dir` (or else the context's checkpoint folder) names."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.conf.get("spark.app.id")
-    if app not in _local_work_dirs:
-        _local_work_dirs[app] = tempfile.mkdtemp(prefix="upswing-")
-    return _local_work_dirs[app]
+    return f"{shared.rstrip('/')}/upswing-{spark.sparkContext.applicationId}"
 
 
 def work_path(spark: SparkSession, label: str) -> str:
@@ -124,3 +105,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate folder, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete everything this application has staged; for the end of a run."""
+    discard(spark, work_dir(spark))

@@ -5,7 +5,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -33,9 +36,22 @@ def local_session(cpus: str = "8") -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    shared_folder(spark)
     return spark
 
 
+def shared_folder(spark: SparkSession) -> None:
+    """Give a local check session a folder for intermediate tables if it has none. Anywhere else the
+    setting has to be made by whoever starts the session."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="upswing-check-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(folder)
+
+
 def duckdb_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in Path(sf_dir).glob("*.parquet"):

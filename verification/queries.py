@@ -893,11 +893,6 @@ def readiness(spark, sf):
     return checks.readiness(tables, D, more_than=100)
 
 
-@register("file_census")
-def file_census(spark, sf):
-    return checks.files_ready(tables_io.census(spark, sf, "*.parquet"), more_than=10)
-
-
 @register(
     "empty_output_alarm",
     """SELECT 'streams' AS name, DATE '2024-02-15' AS part_day, count(*) AS n_rows,
