@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upswing.llm import language, sharding, token_counts, top_k
+from upswing.llm import (
+    decontamination,
+    language,
+    near_duplicates,
+    sharding,
+    token_counts,
+    top_k,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -37,6 +44,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@register("op2_near_duplicates")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return near_duplicates.near_duplicates(docs, shingle_words=2)
+
+
 @register("op3_token_counts")
 def op3(spark, sf):
     docs = table(spark, sf, "documents")
@@ -72,6 +85,13 @@ def op5(spark, sf):
     return language.predict(rows, model).drop("text")
 
 
+@register("op6_decontamination")
+def op6(spark, sf):
+    return decontamination.contaminated(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    )
+
+
 @register(
     "op10_top_k",
     """WITH v AS (
