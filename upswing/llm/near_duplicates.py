@@ -8,7 +8,8 @@ candidate pair is estimated from both register arrays by likelihood, and what ma
 is verified on the full sets.
 
 Groups never become all their pairs: sets that are equal are one class; in a bucket all members are
-compared with one hub, and after that only members of different components are compared any further.
+compared with one hub, and after that only members of different components are compared any further,
+within tasks of bounded size that give back nothing but links.
 """
 
 from __future__ import annotations
@@ -34,8 +35,12 @@ LOG_BASE = float(np.log(1.001))
 RATE = 20.0
 # A pair at the threshold has an estimate within 0.15 of it but for 6 standard deviations.
 ESTIMATE_MARGIN = 0.15
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 MEMBERS_PER_GROUP = 64
+CELL_MEMBERS = 256
+# Up to so many rows (of a few numbers each) are sent to where the texts are; beyond, texts are shuffled.
+BROADCAST_ROWS = 500_000
+_BAND_BITS = 6  # the low bits of a bucket tell its band
 _SLACK = 6.0
 _ELEMENT_BITS = 55  # with 512 texts in a block, 9 bits tell the text
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -147,7 +152,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _bands(sketches: DataFrame) -> DataFrame:
-    """`bucket` and `rep`, one row per band of each class."""
+    """`bucket`, `rep` and the size of its set, one row per band of each class."""
 
     def band(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,12 +163,17 @@ def _bands(sketches: DataFrame) -> DataFrame:
             key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), used.shape[:2])
             for i in range(BAND_REGISTERS):
                 key = mix(key * _STEP + used[:, :, i])
-            ids = np.repeat(batch.column(0).to_numpy(), BANDS)
+            bits = np.uint64(_BAND_BITS)
+            key = (key << bits) | np.arange(BANDS, dtype=np.uint64)
+            own = (np.repeat(batch.column(i).to_numpy(), BANDS) for i in (0, 2))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.reshape(-1).view(np.int64)), pa.array(ids)], names=["bucket", "rep"]
+                [pa.array(key.reshape(-1).view(np.int64)), *map(pa.array, own)],
+                names=["bucket", "rep", "n_shingles"],
             )
 
-    return sketches.select("rep", "registers").mapInArrow(band, "bucket long, rep long")
+    return sketches.select("rep", "registers", "n_shingles").mapInArrow(
+        band, "bucket long, rep long, n_shingles long"
+    )
 
 
 def estimate_overlap(
@@ -210,10 +220,15 @@ def _likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             kept = pa.array(overlap >= floor)
             yield pa.RecordBatch.from_arrays([a.filter(kept), b.filter(kept)], names=["a", "b"])
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = side("a").join(_sent(pairs), "a").join(side("b"), "b")
     return joined.mapInArrow(estimate, "a long, b long")
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """Rows of a written table, to be broadcast if they are few; else joined however Spark sees fit."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _shingle_set(text: str, size: int) -> frozenset:
     found = text.encode().lower().split()
     if len(found) < size:
@@ -221,6 +236,11 @@ def _shingle_set(text: str, size: int) -> frozenset:
     return frozenset(zip(*(found[i:] for i in range(size))))
 
 
+def _linked(one: frozenset, other: frozenset, percent: int) -> bool:
+    common = len(one & other)
+    return 100 * common >= percent * (len(one) + len(other) - common) > 0
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs that are links by their full sets. The text of `a` is sent once to each group of at
     most about `MEMBERS_PER_GROUP` of its partners, so a hub with many partners is spread."""
@@ -232,7 +252,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     ends = ends.unionByName(
         dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("doc_id"))
     )
-    sent = ends.join(docs.select("doc_id", "text"), "doc_id").repartition("a", "part")
+    ends = staged(ends, "ends")
+    sent = docs.select("doc_id", "text").join(_sent(ends), "doc_id").repartition("a", "part")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, hub = None, frozenset()
@@ -244,10 +265,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
                 own = _shingle_set(text, size)
                 if role == 0:
                     key, hub = (a, part), own
-                elif key == (a, part):
-                    common = len(hub & own)
-                    if 100 * common >= percent * (len(hub) + len(own) - common) > 0:
-                        found.append((a, doc_id))
+                elif key == (a, part) and _linked(hub, own, percent):
+                    found.append((a, doc_id))
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     ordered = sent.sortWithinPartitions("a", "part", "role", "doc_id")
@@ -257,8 +276,103 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
 
 
 def _hub(turn: int) -> Column:
-    order = F.struct(F.xxhash64(F.lit(turn), "rep").alias("order"), F.col("rep"))
-    return F.min(order)["rep"].alias("hub")
+    order = F.struct(F.xxhash64(F.lit(turn), "rep").alias("order"), "rep", "n_shingles")
+    return F.min(order).alias("hub")
+
+
+def _similar_size(one: Column | str, other: Column | str, percent: int) -> Column:
+    """Sets that overlap by `percent` differ in size by no more than that."""
+    return F.least(one, other) * 100 >= F.greatest(one, other) * percent
+
+
+def _across(
+    members: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Links (`a`, `b`) between members of a bucket that are in different components.
+
+    Every member outside the bucket's largest component (an outsider) meets every member. Both sides
+    are dealt into cells of about `CELL_MEMBERS` each; a cell works on its pairs in memory and gives
+    back verified links only. A pair is looked at in the first band in which it agrees.
+    """
+    floor = percent / 100 - ESTIMATE_MARGIN
+    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    whole = parts.groupBy("bucket").agg(
+        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n")
+    )
+    whole = whole.select(
+        "bucket", F.col("main.component").alias("main"),
+        F.ceil(F.col("n") / CELL_MEMBERS).cast("int").alias("columns"),
+        F.ceil((F.col("n") - F.col("main.n")) / CELL_MEMBERS).cast("int").alias("rows"),
+    )
+    dealt = members.join(whole, "bucket").withColumn("outsider", F.col("component") != F.col("main"))
+
+    def own(name: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(name), "rep"), F.col(name)).cast("int")
+
+    def every(name: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+    shared = ["rep", "component", "outsider"]
+    cells = dealt.select("bucket", own("columns").alias("x"), every("rows").alias("y"), F.lit(False).alias("asks"), *shared)
+    asking = dealt.filter("outsider").select(
+        "bucket", every("columns").alias("x"), own("rows").alias("y"), F.lit(True).alias("asks"), *shared
+    )
+    cells = staged(cells.unionByName(asking), "cells")
+    key = ["bucket", "x", "y", "asks", *shared]
+    no_text, no_registers = F.lit(None).cast("string"), F.lit(None).cast("binary")
+    sides = sketches.join(_sent(cells), "rep").select(
+        *key, "n_shingles", "registers", no_text.alias("text")
+    )
+    texts = docs.join(_sent(cells), docs["doc_id"] == cells["rep"]).select(
+        *key, F.lit(0).cast("long").alias("n_shingles"), no_registers.alias("registers"), "text"
+    )
+
+    def compare(cell: pd.DataFrame) -> pd.DataFrame:
+        band = int(cell["bucket"].iloc[0]) & ((1 << _BAND_BITS) - 1)
+        text_of = dict(cell.loc[cell["registers"].isna(), ["rep", "text"]].itertuples(index=False))
+        known = cell[cell["registers"].notna()].sort_values("rep")
+        asks = known["asks"].to_numpy(bool)
+        one, other = known[asks], known[~asks]
+        if not len(one) or not len(other):
+            return pd.DataFrame({"a": [], "b": []}).astype("int64")
+
+        def registers(rows: pd.DataFrame) -> np.ndarray:
+            return np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, REGISTERS)
+
+        table, table_sizes = registers(other), other["n_shingles"].to_numpy(float)
+        ids, components = other["rep"].to_numpy(), other["component"].to_numpy()
+        outside = other["outsider"].to_numpy(bool)
+        sets: dict[int, frozenset] = {}
+
+        def set_of(rep: int) -> frozenset:
+            if rep not in sets:
+                sets[rep] = _shingle_set(text_of[rep], size)
+            return sets[rep]
+
+        found, joined = [], set()
+        for rep, component, count, row in zip(
+            one["rep"], one["component"], one["n_shingles"].to_numpy(float), registers(one)
+        ):
+            chosen = np.flatnonzero((components != component) & (~outside | (ids > rep)))
+            agrees = (table[chosen, : BANDS * BAND_REGISTERS] == row[: BANDS * BAND_REGISTERS])
+            agrees = agrees.reshape(len(chosen), BANDS, BAND_REGISTERS).all(axis=2)
+            chosen = chosen[agrees.argmax(axis=1) == band]
+            near = np.minimum(count, table_sizes[chosen]) * 100 >= percent * np.maximum(count, table_sizes[chosen])
+            chosen = chosen[near]
+            if not len(chosen):
+                continue
+            overlap = estimate_overlap(
+                np.broadcast_to(row, (len(chosen), REGISTERS)), table[chosen],
+                np.full(len(chosen), count), table_sizes[chosen],
+            )
+            for i in chosen[overlap >= floor][np.argsort(-overlap[overlap >= floor])]:
+                pair = frozenset((component, components[i]))
+                if pair not in joined and _linked(set_of(rep), set_of(ids[i]), percent):
+                    joined.add(pair)
+                    found.append((rep, ids[i]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return sides.unionByName(texts).groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def _links(
@@ -266,43 +380,45 @@ def _links(
 ) -> DataFrame:
     """`id` and `component` of every class that is linked to another one.
 
-    `members` are (`bucket`, `rep`) of all buckets with more than one class. In each round a bucket's
-    hub is compared with all others; then the hub leaves, and buckets whose other members are of one
-    component are done. After `STAR_ROUNDS` rounds the members that are left are compared across
-    components, so that no pair that shares a bucket goes unseen.
+    `members` are the rows of all buckets with more than one class. In each round a bucket's hub is
+    compared with all others; then the hub leaves, and buckets whose other members are of one component
+    are done. What is left after `STAR_ROUNDS` rounds is compared across components, so that no pair
+    that shares a bucket goes unseen.
     """
-    spark = members.sparkSession
-    known = spark.createDataFrame([], "id long, component long")
+    known = members.sparkSession.createDataFrame([], "id long, component long")
     members = members.withColumn("component", F.col("rep"))
-    for turn in range(STAR_ROUNDS + 1):
-        if turn < STAR_ROUNDS:
-            hubs = members.groupBy("bucket").agg(_hub(turn))
-            members = staged(members.join(hubs, "bucket"), "members")
-            pairs = members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-        else:
-            one, other = members.alias("one"), members.alias("other")
-            met = one.join(other, "bucket").filter(
-                "one.rep < other.rep AND one.component <> other.component"
-            )
-            pairs = met.select(F.col("one.rep").alias("a"), F.col("other.rep").alias("b"))
-        likely = staged(_likely(pairs.distinct(), sketches, percent), "likely")
+
+    def extended(new: DataFrame) -> DataFrame:
+        new = staged(new, "verified")
+        if new.isEmpty():
+            return known
+        old = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return connected_components(old.unionByName(new))
+
+    for turn in range(STAR_ROUNDS):
+        hubs = members.groupBy("bucket").agg(_hub(turn))
+        members = staged(members.join(hubs, "bucket"), "members")
+        met = members.filter(
+            (F.col("rep") != F.col("hub.rep"))
+            & _similar_size("n_shingles", "hub.n_shingles", percent)
+        )
+        pairs = staged(met.select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+        likely = staged(_likely(pairs, sketches, percent), "likely")
         if not likely.isEmpty():
-            new = staged(_verified(likely, docs, size, percent), "verified")
-            old = known.select(F.col("id").alias("a"), F.col("component").alias("b"))
-            known = connected_components(old.unionByName(new))
-        if turn < STAR_ROUNDS:
-            rest = members.filter("rep <> hub").select("bucket", "rep")
-            labelled = rest.join(known, rest["rep"] == known["id"], "left").select(
-                "bucket", "rep", F.coalesce("component", "rep").alias("component")
-            )
-            mixed = labelled.groupBy("bucket").agg(
-                F.min("component").alias("low"), F.max("component").alias("high")
-            )
-            mixed = mixed.filter("low < high").select("bucket")
-            members = staged(labelled.join(mixed, "bucket"), "open")
-            if members.isEmpty():
-                break
-    return known
+            known = extended(_verified(likely, docs, size, percent))
+        rest = members.filter("rep <> hub.rep").select("bucket", "rep", "n_shingles")
+        labelled = rest.join(known, rest["rep"] == known["id"], "left").select(
+            "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
+        )
+        mixed = labelled.groupBy("bucket").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        members = staged(
+            labelled.join(mixed.filter("low < high").select("bucket"), "bucket"), "open"
+        )
+        if members.isEmpty():
+            return known
+    return extended(_across(members, sketches, docs, size, percent))
 
 
 def near_duplicates(
