@@ -12,9 +12,11 @@ from upswing.llm import (
     decontamination,
     language,
     near_duplicates,
+    pseudonyms,
     sharding,
     token_counts,
     top_k,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +94,25 @@ def op6(spark, sf):
     )
 
 
+@register("op8_toxicity")
+def op8(spark, sf):
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels.filter(crc_remainder("doc_id", 5) != 0))
+    held_out = F.coalesce(crc_remainder("doc_id", 5) == 0, F.lit(False))
+    scored = toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.select(
+        "doc_id", "held_out", F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@register("op9_pseudonyms")
+def op9(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    made = pseudonyms.pseudonymised(docs)
+    return made.withColumn("n_private", F.size("private_kinds"))
+
+
 @register(
     "op10_top_k",
     """WITH v AS (
