@@ -13,12 +13,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 
 from upswing.llm import decontamination, language, near_duplicates, packing, pseudonyms
-from upswing.llm.tables import read, tokenizer_path
+from upswing.llm.tables import BATCH_ROWS, read, tokenizer_path
 from upswing.sources.tables import staged
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognised language go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return language.known_language(docs, language.train(docs))
 
 

@@ -225,21 +225,19 @@ def contaminated(
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """Rows of `docs` that hold no item, with their own columns; they stay where they are."""
     similarity = options.get("similarity", SIMILARITY)
-    context, columns = docs.sparkSession.sparkContext, docs.columns
+    context, at = docs.sparkSession.sparkContext, docs.columns.index("text")
 
     def clean_of(shared):
         def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
-                for first, data, offsets in blocks(_normal(batch.column(batch.num_columns - 1))):
+                for first, data, offsets in blocks(_normal(batch.column(at))):
                     for hit in shared.value.leaks(data, offsets, similarity):
                         keep[first + hit[0]] = False
-                kept = batch.filter(pa.array(keep))
-                yield pa.RecordBatch.from_arrays(kept.columns[:-1], names=columns)
+                yield batch.filter(pa.array(keep))
 
         return clean
 
     for index in item_indexes(benchmark, options.get("shingle_words", SHINGLE_WORDS)):
-        shared, schema = context.broadcast(index), docs.schema
-        docs = docs.withColumn("_text_to_search", F.col("text")).mapInArrow(clean_of(shared), schema)
+        docs = docs.mapInArrow(clean_of(context.broadcast(index)), docs.schema)
     return docs

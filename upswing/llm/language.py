@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -155,14 +155,14 @@ def posteriors(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return best, score
 
 
-def predict(docs: DataFrame, model: Model, text: str | Column = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of `docs` with `lang_pred` and `score` (0 to 1), from nothing but the text.
 
     A null text, or one without letters, gets `und` and 0. Columns of these names are replaced. A
     model that has seen no row predicts `und` throughout. An empty table gives an empty table.
     """
     rows = docs.drop("lang_pred", "score")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), rows.columns.index(text)
     schema = StructType(
         [*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     )
@@ -171,18 +171,20 @@ def predict(docs: DataFrame, model: Model, text: str | Column = "text") -> DataF
         own = shared.value
         names = np.array([*own.languages, UNDETERMINED], object)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            best, probability = posteriors(own, texts)
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
+            best, probability = posteriors(own, batch.column(at))
             made = [pa.array(names[best], pa.string()), pa.array(probability, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=schema.names)
 
-    source = F.col(text) if isinstance(text, str) else text
-    return rows.withColumn("_text_to_score", source).mapInArrow(score, schema)
+    return rows.mapInArrow(score, schema)
 
 
 def known_language(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
     """Rows of `docs` whose language is recognised, with their own columns only."""
-    scored = predict(docs.withColumn("_row", F.struct(*docs.columns)).select("_row", "text"), model)
-    kept = scored.filter((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
-    return kept.select("_row.*")
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best, probability = posteriors(shared.value, batch.column(at))
+            yield batch.filter(pa.array((best >= 0) & (probability >= min_score)))
+
+    return docs.mapInArrow(keep, docs.schema)

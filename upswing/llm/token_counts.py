@@ -16,7 +16,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer
@@ -96,26 +96,23 @@ def frequent_lengths(
     return {piece: len(one.ids) for piece, one in zip(top, encoded)}
 
 
-def token_counts(docs: DataFrame, path: str, text: str | Column = "text") -> DataFrame:
+def token_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All columns of `docs` and `n_tokens`: the tokens of the whole text, as the library gives them
     without added special tokens; special strings in a text count as one token each.
 
     A null or empty text has 0 tokens. Rows that repeat are counted each. A column `n_tokens` that
     `docs` already has is replaced. An empty table gives an empty table.
     """
-    source = F.col(text) if isinstance(text, str) else text
-    known = frequent_lengths(docs.select(source.alias("text")), path)
+    known = frequent_lengths(docs.select(F.col(text).alias("text")), path)
     shared = docs.sparkSession.sparkContext.broadcast(known)
     rows = docs.drop("n_tokens")
     schema = StructType([*rows.schema.fields, StructField("n_tokens", LongType())])
-    carried = "_text_to_count"
+    at = rows.columns.index(text)
 
     def count(batches: Iterator) -> Iterator:
         number = counter(path, shared.value)
         for batch in batches:
-            texts = batch.column(carried)
-            lengths = pa.array([number(t.as_py()) for t in texts], pa.int64())
-            kept = [batch.column(name) for name in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, lengths], names=schema.names)
+            lengths = pa.array([number(t.as_py()) for t in batch.column(at)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, lengths], names=schema.names)
 
-    return rows.withColumn(carried, source).mapInArrow(count, schema)
+    return rows.mapInArrow(count, schema)

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -173,25 +173,22 @@ def hash_order(number: int) -> int:
     return number * 0x9E3779B97F4A7C15 % (1 << 64)
 
 
-def score(docs: DataFrame, model: Model, text: str | Column = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of `docs` with `toxicity` (0 to 1, higher: likelier toxic), from the whole text alone.
 
     Null and empty texts are scored as one empty window. A column of that name is replaced. An empty
     table gives an empty table.
     """
     rows = docs.drop("toxicity")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), rows.columns.index(text)
     schema = StructType([*rows.schema.fields, StructField("toxicity", DoubleType())])
 
     def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         pair = compressor(own.ordinary), compressor(own.toxic)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            x = np.array([features(t.as_py(), *pair) for t in texts]).reshape(-1, len(own.mean))
+            x = np.array([features(t.as_py(), *pair) for t in batch.column(at)]).reshape(-1, len(own.mean))
             odds = np.clip((x - own.mean) / own.scale @ own.weights, -30, 30)
-            kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-odds)))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-odds)))], names=schema.names)
 
-    source = F.col(text) if isinstance(text, str) else text
-    return rows.withColumn("_text_to_score", source).mapInArrow(estimate, schema)
+    return rows.mapInArrow(estimate, schema)
