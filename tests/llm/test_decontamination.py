@@ -44,7 +44,7 @@ def found(docs, items, **options):
 def test_generated_tables(docs, spark, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     got = found(docs, items)
-    pairs = [(r["doc_id"], r["text"]) for r in docs.collect() if r["n_chars"] < 900]
+    pairs = [(r["doc_id"], r["text"]) for r in docs.collect() if r["n_chars"] < 1800]
     expected = brute(pairs, [(r["item_id"], r["text"]) for r in items.collect()])
     short = {d for d, _ in pairs}
     assert expected and {k: v for k, v in got.items() if k[0] in short} == expected

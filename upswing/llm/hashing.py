@@ -26,7 +26,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def blocks(
+    texts: pa.Array, size: int = BLOCK_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and offsets of successive blocks; a null counts as an empty text."""
     filled = pc.fill_null(texts.cast(pa.large_string()), "")
     if not len(filled):
@@ -36,7 +38,7 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(filled):
-        limit = offsets[first] + BLOCK_BYTES
+        limit = offsets[first] + size
         last = int(np.searchsorted(offsets, limit, "right")) - 1
         last = min(max(last, first + 1), first + BLOCK_TEXTS, len(filled))
         own = offsets[first : last + 1]

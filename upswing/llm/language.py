@@ -26,6 +26,7 @@ SIZES = (1, 2, 3)
 TRAIN_ROWS = 20_000  # learnt from about so many labelled rows at most
 SMOOTHING = 0.5
 EVIDENCE = 60  # n-grams overlap, so a text counts as no more than so many independent ones
+BLOCK_BYTES = 1 << 18  # a character takes some hundred bytes while its n-grams are scored
 UNDETERMINED = "und"
 MIN_SCORE = 0.5
 
@@ -53,7 +54,7 @@ def ngram_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
     """
     lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     table = letters()
-    for first, data, offsets in blocks(lowered):
+    for first, data, offsets in blocks(lowered, BLOCK_BYTES):
         count = len(offsets) - 1
         text = data.tobytes()
         points = np.frombuffer(text.decode("utf-8").encode("utf-32-le"), np.uint32)
