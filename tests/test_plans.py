@@ -1,10 +1,16 @@
 """Properties of the physical plans that keep the work distributed."""
 
+import random
+
 import pytest
 
 from tests.helpers import executed_plan, planned
 from upswing import SPOTIFY
+from upswing.operators.counting import count_windows
 from upswing.operators.digests import distinct_alerts, top_alerts
+from upswing.operators.trends import ranked_by
+from upswing.plans.daily import days_between
+from upswing.plans.velocity import above_cut
 from upswing.sources.tables import staged
 from verification import inputs
 from verification.queries import alerts_of, base_of, trends_of
@@ -33,6 +39,39 @@ def test_no_window_over_items(spark, sf_dir, no_broadcast, regional):
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+def test_items_below_the_cut_are_dropped_before_the_pair_join(spark, sf_dir, no_broadcast):
+    lines = planned(trends_of(spark, sf_dir, SPOTIFY)).splitlines()
+    cut = next(i for i, line in enumerate(lines) if "BroadcastHashJoin" in line and "cut_tw" in line)
+    pair_join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+    assert pair_join < cut
+    assert any("Exchange hashpartitioning" in line for line in lines[pair_join:cut])
+
+
+def test_backfill_moves_counts_once(spark, sf_dir, no_broadcast):
+    days = days_between("2024-01-20", "2024-01-28")
+    lines = planned(count_windows(inputs.streams(spark, sf_dir), SPOTIFY, days)).splitlines()
+    copied = next(i for i, line in enumerate(lines) if "Generate" in line)
+    assert not any("Exchange" in line for line in lines[:copied])
+    assert sum("Exchange hashpartitioning" in line for line in lines) == 2
+
+
+def test_the_cut_keeps_every_top_rank(spark):
+    """Ties, markets without last or this week's streams, markets smaller than the cut."""
+    pick, rows = random.Random(2), []
+    for market in range(12):
+        for item in range(pick.choice([1, 3, 40])):
+            tw = None if market == 3 or pick.random() < 0.2 else pick.randrange(8)
+            rows.append((market, item, tw))
+    table = spark.createDataFrame(rows, "market int, item int, streams_tw long")
+    ranked = ranked_by(table, ["market"], "streams_tw", "rank_tw")
+    for top_n in (1, 5, 30):
+        top = ranked.filter(ranked["rank_tw"] <= top_n)
+        kept = above_cut(table, top.drop("item"), ["market"])
+        assert sorted(map(str, kept.collect())) == sorted(
+            map(str, top.select("market", "item", "streams_tw").collect())
+        )
+
+
 def test_territories_join_on_equality(spark, sf_dir, no_broadcast):
     plan = planned(alerts_of(spark, sf_dir))
     joins = [line for line in plan.splitlines() if "Join" in line]

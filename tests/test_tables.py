@@ -84,6 +84,38 @@ def test_create_day_table_once(spark):
     assert not has_rows(spark.table(name))
 
 
+def test_catalog_table_shows_what_was_written(spark):
+    path, name = work_path(spark, "it's a table"), "shown_days"
+    schema = day_rows(spark, (DAY, 1)).schema
+    assert create_day_table(spark, name, schema, path)
+    write_days(day_rows(spark, (DAY, 1), (OTHER, 2)), path, table=name)
+    write_days(day_rows(spark, (DAY, 3)), path, days=[DAY], table=name)
+    other_session = spark.newSession()
+    for session in (spark, other_session):
+        assert collected(session.table(name), "part_day", "v") == {(DAY, 3), (OTHER, 2)}
+    write_days(day_rows(spark, (DAY, 3)), path, days=[DAY, OTHER], table=name)
+    assert collected(spark.table(name), "part_day", "v") == {(DAY, 3)}
+    assert create_day_table(spark, "shown_again", schema, path)
+    assert collected(spark.table("shown_again"), "part_day", "v") == {(DAY, 3)}
+
+
+def test_rows_of_unlisted_days_stop_the_write(spark):
+    path = work_path(spark, "days")
+    write_days(day_rows(spark, (DAY, 1), (OTHER, 2)), path)
+    with pytest.raises(Exception, match="not listed"):
+        write_days(day_rows(spark, (DAY, 3), (OTHER, 9)), path, days=[DAY])
+    assert collected(read_table(spark, path), "part_day", "v") == {(DAY, 1), (OTHER, 2)}
+
+
+def test_diff_of_null_one_sided_and_repeated_keys(spark):
+    left = spark.createDataFrame([(1, None), (2, 5), (3, 1), (3, 9), (None, 4)], "k int, v int")
+    right = spark.createDataFrame([(2, 5), (3, 9), (None, 4), (6, None), (6, None)], "k int, v int")
+    diff = build_diff(left, right, ["k"], "v")
+    assert collected(diff, "k", "v_left", "v_right", "rows_left", "rows_right") == {
+        (1, None, None, 1, 0), (3, 1, None, 1, 0), (6, None, None, 0, 2),
+    }
+
+
 def test_work_dir_needs_a_shared_folder(spark):
     class Context:
         applicationId = "app-1"

@@ -93,10 +93,6 @@ def released_in_window(first_stream_date: Column, day: date | str) -> Column:
     )
 
 
-def territory_matches(primary: Column, secondary: Column, country: Column) -> Column:
-    return (primary == country) | (secondary.isNotNull() & (secondary == country))
-
-
 def strip_newlines(text: Column) -> Column:
     return F.translate(text, "\n", "")
 
@@ -106,5 +102,7 @@ def image_or_default(image: Column) -> Column:
 
 
 def grouped_thousands(number: Column) -> Column:
-    """Text number with thousands separators, or a fixed text if it is not an integer."""
-    return F.coalesce(F.format_number(number.try_cast("int"), 0), F.lit(UNPARSABLE_COUNT))
+    """Text number with thousands separators, or a fixed text if it is not a 32-bit integer; blanks
+    around it count as not one."""
+    parsed = F.when(number.rlike("^[+-]?[0-9]+$"), number.try_cast("int"))
+    return F.coalesce(F.format_number(parsed, 0), F.lit(UNPARSABLE_COUNT))

@@ -92,18 +92,24 @@ def tie_profile(
 
 
 def build_diff(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Keys whose value differs between two builds, including those only one of them has."""
-    a = left.select(*keys, F.col(value).alias(f"{value}_left"))
-    b = right.select(*keys, F.col(value).alias(f"{value}_right"))
-    marked = [
-        a.withColumn(f"{value}_right", F.lit(None).cast(b.schema[f"{value}_right"].dataType)),
-        b.withColumn(f"{value}_left", F.lit(None).cast(a.schema[f"{value}_left"].dataType)),
+    """Keys whose rows differ between two builds, including keys that only one of them has.
+
+    Rows are counted per keys and value on both sides, NULL being a value like others. A key is
+    reported with the (largest) value that the left has more often than the right, the one that the
+    right has more often, and how many rows each side has too many.
+    """
+    sides = [
+        df.select(*keys, F.col(value).alias("value"), F.lit(n).alias("n"))
+        for df, n in ((left, 1), (right, -1))
     ]
-    both = _union(marked).groupBy(*keys).agg(
-        F.max(f"{value}_left").alias(f"{value}_left"),
-        F.max(f"{value}_right").alias(f"{value}_right"),
+    surplus = _union(sides).groupBy(*keys, "value").agg(F.sum("n").alias("n")).filter("n <> 0")
+    more_left, more_right = F.col("n") > 0, F.col("n") < 0
+    return surplus.groupBy(*keys).agg(
+        F.max(F.when(more_left, F.col("value"))).alias(f"{value}_left"),
+        F.max(F.when(more_right, F.col("value"))).alias(f"{value}_right"),
+        F.coalesce(F.sum(F.when(more_left, F.col("n"))), F.lit(0)).alias("rows_left"),
+        F.coalesce(F.sum(F.when(more_right, -F.col("n"))), F.lit(0)).alias("rows_right"),
     )
-    return both.filter(~F.col(f"{value}_left").eqNullSafe(F.col(f"{value}_right")))
 
 
 def duplicate_keys(dimension: DataFrame, keys: list[str]) -> DataFrame:

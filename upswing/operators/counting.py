@@ -76,13 +76,14 @@ def count_windows(streams: DataFrame, partner: Partner, days: list[date]) -> Dat
     """The same for many report days at once.
 
     Raw streams are counted per stream day first; only those counts are copied to the (at most 14)
-    report days that look at them. Both day filters are literals, so partitions are pruned.
+    report days that look at them. The counts move once, to where their key is added up, and are
+    copied there. Both day filters are literals, so partitions are pruned.
     """
     located, keys = market_columns(
         streams.filter(F.col("part_day").isin(needed_days(days))), partner
     )
     daily = located.groupBy("part_day", *keys, "isrc").agg(*source_counters(partner))
-    served = daily.withColumn(
+    served = daily.repartition(*keys, "isrc").withColumn(
         "report_date",
         F.explode(F.sequence(F.col("part_day"), F.date_add("part_day", WINDOW_DAYS - 1))),
     ).filter(F.col("report_date").isin(days))

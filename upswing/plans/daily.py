@@ -63,13 +63,13 @@ def rebuild(
     top_n: int = TOP_N,
 ) -> None:
     """Build base, country and region tables for all given days together and replace exactly those
-    day partitions. No days, no work. Running it again gives the same tables."""
+    day partitions. No days, no work. Running it again gives the same rows; sums of doubles are added
+    in the order of a shuffle, so scores may differ in their last digits."""
     if not days:
         return
-    when = {"day": days[0]} if len(days) == 1 else {"days": days}
     base = velocity_base(
         sources.streams, sources.resources, sources.names, partner,
-        subdivisions=sources.subdivisions, zips=sources.zips, **when,
+        subdivisions=sources.subdivisions, zips=sources.zips, days=days,
     )
     write_days(base, paths.base, base_schema(partner), days)
     written = written_days(spark, paths.base, days).drop(PARTITION_COLUMN)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from upswing.operators.counting import count_window, count_windows, global_rollups
 from upswing.operators.enrichment import with_known_metadata, with_postcode_region
@@ -20,11 +21,14 @@ from upswing.operators.trends import (
 )
 from upswing.partners import Partner
 from upswing.schemas import base_schema, conform, trend_schema
+from upswing.sources.tables import staged
 
 # Defaults of the trending tables.
 RANK_CAP = 5000
 TOP_N = 2000
 
+BROADCAST_MARKETS = 100_000
+
 
 def market_rows(
     counted: DataFrame,
@@ -65,6 +69,26 @@ def velocity_base(
     return conform(with_known_metadata(rows, resources, names), base_schema(partner))
 
 
+def above_cut(rows: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with at least the streams that the lowest top rank of their market has.
+
+    Ranks fall with this week's streams, NULL last, so no row of a top rank is lost. The cut has one
+    row per market and day; up to `BROADCAST_MARKETS` of them go to the rows, which then need no shuffle.
+    """
+    cut = top.groupBy(*keys).agg(
+        F.min("streams_tw").alias("cut_tw"),
+        F.max(F.col("streams_tw").isNull()).alias("cut_takes_null"),
+    )
+    cut = staged(cut, "cut")
+    if cut.count() <= BROADCAST_MARKETS:
+        cut = F.broadcast(cut)
+    kept = null_safe_join(rows, cut, keys).filter(
+        (F.col("streams_tw") >= F.col("cut_tw"))
+        | (F.col("streams_tw").isNull() & F.col("cut_takes_null"))
+    )
+    return kept.drop("cut_tw", "cut_takes_null")
+
+
 def trending(
     base: DataFrame,
     partner: Partner,
@@ -74,7 +98,8 @@ def trending(
 ) -> DataFrame:
     """Top items per market with velocity score, by country or by region/DMA.
 
-    Mean and deviation cover all items of a market; the cut to the top ranks comes after. `base`
+    Mean and deviation cover all items of a market; the cut to the top ranks comes after. Items below
+    their market's cut are dropped before the wide rows are shuffled a second time. `base`
     is read twice (once for keys and totals, once for all counters), so pass a written table.
     """
     if regional:
@@ -90,7 +115,9 @@ def trending(
         scored.filter(scored["rank_tw"] <= top_n),
         partner.country_rank_change_is_tw_minus_lw and not regional,
     ).drop("n", "transformed_diff", "mean_transformed_diff", "std_transformed_diff", "raw_score")
+    top = staged(top, "top-pairs")
     pair_keys = list(dict.fromkeys([*keys, *stat_keys]))
-    items = null_safe_join(rows, top, [*pair_keys, "streams_tw", "streams_lw"])
+    candidates = above_cut(rows, top, keys)
+    items = null_safe_join(candidates, top, [*pair_keys, "streams_tw", "streams_lw"])
     full = total_shares(change_shares(week_deltas(items, partner.counters), partner))
     return conform(full, trend_schema(partner, regional))

@@ -37,12 +37,18 @@ def stream_window(streams: DataFrame, day: date | str) -> DataFrame:
 
 
 def write_days(
-    df: DataFrame, path: str, schema: StructType | None = None, days: list[date] | None = None
+    df: DataFrame,
+    path: str,
+    schema: StructType | None = None,
+    days: list[date] | None = None,
+    table: str | None = None,
 ) -> None:
     """Replace day partitions, leaving the others as they are.
 
-    The day comes from `part_day`, or else from `report_date`. Days listed in `days` that turn out
-    to have no rows are emptied; which days have rows is observed during the write itself.
+    The day comes from `part_day`, or else from `report_date`. If `days` are listed, exactly those are
+    replaced: a row of another day fails the write before anything is replaced, and days that turn out
+    to have no rows are emptied; which days have rows is observed during the write itself. The catalog
+    table `table` over this path, if named, gets to know the written days.
     The rebalance hint gathers a day into a few files of advisory size instead of one per task, and
     splits days too large for one task.
     """
@@ -51,6 +57,12 @@ def write_days(
     if schema is not None:
         with_day = StructType([*(f for f in schema if f.name != PARTITION_COLUMN)])
         df = conform(df, with_day.add(PARTITION_COLUMN, "date"))
+    if days is not None:
+        day = F.col(PARTITION_COLUMN)
+        stray = F.raise_error(F.concat(F.lit("row of a day that is not listed: "), day.cast("string")))
+        df = df.withColumn(
+            PARTITION_COLUMN, F.when(day.isin(days), day).otherwise(stray.cast("date"))
+        )
     seen = Observation()
     (
         df.hint("rebalance", PARTITION_COLUMN)
@@ -63,6 +75,8 @@ def write_days(
     for day in sorted(set(days or []) - set(seen.get["days"])):
         empty = df.drop(PARTITION_COLUMN).limit(0)
         empty.write.mode("overwrite").parquet(f"{path}/{PARTITION_COLUMN}={day.isoformat()}")
+    if table is not None:
+        df.sparkSession.catalog.recoverPartitions(table)
 
 
 def write_table(df: DataFrame, path: str, schema: StructType | None = None) -> None:
@@ -71,15 +85,21 @@ def write_table(df: DataFrame, path: str, schema: StructType | None = None) -> N
 
 
 def create_day_table(spark: SparkSession, name: str, schema: StructType, path: str) -> bool:
-    """Create a day-partitioned table with the declared columns; False if it is already there."""
+    """Create a day-partitioned table with the declared columns over a path, and make days that are
+    already there known; False if the table exists. Give its name to `write_days`, which makes the days
+    it writes known."""
     if spark.catalog.tableExists(name):
         return False
     fields = [field for field in schema if field.name != PARTITION_COLUMN]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}, {PARTITION_COLUMN} DATE) USING parquet "
-        f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{path}'"
+        f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{place}'"
     )
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        spark.catalog.recoverPartitions(name)
     return True
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from upswing.operators.subscriptions import (
 )
 from upswing.partners import HOME_MARKET
 from upswing.plans.daily import Paths, Sources, days_between, days_listed, rebuild, written_days
-from upswing.plans.velocity import market_rows, trending, velocity_base
+from upswing.plans.velocity import RANK_CAP, market_rows, trending, velocity_base
 from upswing.schemas import SUBSCRIPTIONS
 from upswing.sources import documents as docs_io
 from upswing.sources import tables as tables_io
@@ -404,6 +405,18 @@ def rank_diff_transform(spark, sf):
     )
 
 
+@register(
+    "rank_diff_default_cap",
+    f"""SELECT country_code, country_name, streams_tw, streams_lw, rank_tw, rank_lw,
+               count(*) AS n, {dbl("transformed_diff")}
+        FROM diffs_countries_spotify GROUP BY ALL""",
+)
+def rank_diff_default_cap(spark, sf):
+    return rounded(
+        trends.with_rank_difference(_ranked_pairs(spark, sf), RANK_CAP).drop("report_date")
+    )
+
+
 def _stats(name: str, regional: bool, keys: list[str]) -> None:
     place = "regions" if regional else "countries"
 
@@ -771,6 +784,16 @@ def outbox(spark, sf):
     )
 
 
+@register("delivery_off", "SELECT email AS \"to\" FROM (" + _MESSAGE_SQL + ") WHERE false")
+def delivery_off(spark, sf):
+    """With delivery off all messages are taken and none is written, also not by a later run."""
+    *_, topic = _published(spark, sf)
+    out, checkpoint = (tables_io.work_path(spark, n) for n in ("outbox", "outbox-checkpoint"))
+    for deliver in (False, True):
+        outbox_stream(spark, topic, out, checkpoint, deliver=deliver).awaitTermination()
+    return spark.read.schema("`to` string").parquet(out).select("to")
+
+
 @register("message_count", f"SELECT count(*) AS messages FROM ({_MESSAGE_SQL})")
 def message_count(spark, sf):
     steps = _published(spark, sf)
@@ -832,6 +855,26 @@ def partition_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
+@register(
+    "catalog_day_table",
+    """SELECT isrc, CASE WHEN part_day = DATE '2024-01-27' THEN 2 ELSE 1 END * count(*) AS streams,
+              part_day
+       FROM streams WHERE part_day >= DATE '2024-01-26' GROUP BY part_day, isrc""",
+)
+def catalog_day_table(spark, sf):
+    """Two writes of several days and one of a single day, read by the table's name."""
+    path, name = tables_io.work_path(spark, "catalog"), f"days_{uuid4().hex}"
+    counted = inputs.streams(spark, sf).groupBy("part_day", "isrc").agg(
+        F.count(F.lit(1)).alias("streams")
+    )
+    schema = T.StructType().add("isrc", "string").add("streams", "long").add("part_day", "date")
+    tables_io.create_day_table(spark, name, schema, path)
+    for first, last, times in (("26", "27", 1), ("28", "31", 1), ("27", "27", 2)):
+        part = tables_io.in_days(counted, f"2024-01-{first}", f"2024-01-{last}")
+        tables_io.write_days(part.withColumn("streams", F.col("streams") * times), path, table=name)
+    return spark.table(name)
+
+
 def _days_sql(place: str, tags: list[str]) -> str:
     union = " UNION ALL ".join(f"SELECT * FROM trends_{place}_{tag}" for tag in tags)
     return f"SELECT {ROUND_SCORE} FROM ({union}) trends"
@@ -893,6 +936,20 @@ def readiness(spark, sf):
     return checks.readiness(tables, D, more_than=100)
 
 
+@register(
+    "existence_probe",
+    " UNION ALL ".join(
+        f"SELECT DATE '{day}' AS part_day, count(*) > 0 AS found FROM streams WHERE part_day = DATE '{day}'"
+        for day in ("2024-01-28", "2024-02-15")
+    ),
+)
+def existence_probe(spark, sf):
+    days = ("2024-01-28", "2024-02-15")
+    streams = inputs.streams(spark, sf)
+    found = [(date.fromisoformat(d), checks.has_rows(tables_io.on_day(streams, d))) for d in days]
+    return spark.createDataFrame(found, "part_day date, found boolean")
+
+
 @register(
     "empty_output_alarm",
     """SELECT 'streams' AS name, DATE '2024-02-15' AS part_day, count(*) AS n_rows,
@@ -976,7 +1033,9 @@ def tie_profile_region(spark, sf):
     "build_diff",
     f"""SELECT coalesce(a.rank_lw, b.rank_lw) AS rank_lw,
                coalesce(a.streams_lw, b.streams_lw) AS streams_lw,
-               a.n_items AS n_items_left, b.n_items AS n_items_right
+               a.n_items AS n_items_left, b.n_items AS n_items_right,
+               CASE WHEN a.n_items IS NULL THEN 0 ELSE 1 END AS rows_left,
+               CASE WHEN b.n_items IS NULL THEN 0 ELSE 1 END AS rows_right
         FROM ({_ties_sql("trends_countries_spotify")}) a
         FULL JOIN ({_ties_sql("trends_countries_spotify_d1")}) b
           ON a.rank_lw IS NOT DISTINCT FROM b.rank_lw
@@ -989,13 +1048,19 @@ def build_diff(spark, sf):
     return checks.build_diff(left, right, ["rank_lw", "streams_lw"], "n_items")
 
 
+_COUNT_TEXT = """CASE c_custkey % 7 WHEN 0 THEN '12x' WHEN 1 THEN '' WHEN 2 THEN ' 7'
+    WHEN 3 THEN '3000000000' WHEN 4 THEN '-' || CAST(c_custkey AS VARCHAR(20))
+    WHEN 5 THEN '+' || CAST(c_custkey % 1000000 * 1000 AS VARCHAR(20))
+    ELSE CAST(c_custkey % 1000000 * 1000 AS VARCHAR(20)) END"""
+
+
 @register(
     "grouped_thousands",
-    """SELECT c_custkey, CASE WHEN c_custkey IS NULL THEN '0,000'
-              ELSE format('{:,}', c_custkey * 1000) END AS shown FROM customer""",
+    f"""SELECT c_custkey, CASE WHEN regexp_full_match(t, '[+-]?[0-9]+') AND TRY_CAST(t AS INTEGER) IS NOT NULL
+              THEN format('{{:,}}', TRY_CAST(t AS INTEGER)) ELSE '0,000' END AS shown
+        FROM (SELECT c_custkey, {_COUNT_TEXT} AS t FROM customer)""",
 )
 def grouped_thousands(spark, sf):
-    number = (F.col("c_custkey") * 1000).cast("string")
     return inputs.table(spark, sf, "customer").select(
-        "c_custkey", scalar.grouped_thousands(number).alias("shown")
+        "c_custkey", scalar.grouped_thousands(F.expr(_COUNT_TEXT)).alias("shown")
     )
