@@ -161,17 +161,21 @@ def velocity_score() -> Column:
     return guarded_ratio(z, divider)
 
 
-def scored_pairs(
-    rows: DataFrame, keys: list[str], stat_keys: list[str], rank_cap: int
-) -> DataFrame:
-    """Pairs with ranks and `raw_score`, the score before the momentum guard. The ranked pairs are
-    read three times, so they are written out in between."""
-    ranked = staged(ranked_pairs(rows, keys, stat_keys), "ranked-pairs")
+def scored(ranked: DataFrame, stat_keys: list[str], rank_cap: int) -> DataFrame:
+    """Ranked pairs with `raw_score`, the score before the momentum guard. `ranked` is read three
+    times, so pass a written table."""
     moved = with_rank_difference(ranked, rank_cap)
     stats = difference_stats(moved, stat_keys)
     return null_safe_join(moved, stats, stat_keys).withColumn("raw_score", velocity_score())
 
 
+def scored_pairs(
+    rows: DataFrame, keys: list[str], stat_keys: list[str], rank_cap: int
+) -> DataFrame:
+    """Pairs of `rows` with ranks and `raw_score`; the ranked pairs are written out in between."""
+    return scored(staged(ranked_pairs(rows, keys, stat_keys), "ranked-pairs"), stat_keys, rank_cap)
+
+
 def guarded_scores(scored: DataFrame, rank_change_is_tw_minus_lw: bool) -> DataFrame:
     """Final score, then rank and rank change blanked for items without last-week streams."""
     tw, lw = F.col("streams_tw"), F.col("streams_lw")

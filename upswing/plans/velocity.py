@@ -13,8 +13,9 @@ from upswing.operators.joins import null_safe_join
 from upswing.operators.trends import (
     change_shares,
     guarded_scores,
+    ranked_pairs,
     regional_rows,
-    scored_pairs,
+    scored,
     total_shares,
     week_deltas,
     week_pivot,
@@ -79,7 +80,6 @@ def above_cut(rows: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:
         F.min("streams_tw").alias("cut_tw"),
         F.max(F.col("streams_tw").isNull()).alias("cut_takes_null"),
     )
-    cut = staged(cut, "cut")
     if cut.count() <= BROADCAST_MARKETS:
         cut = F.broadcast(cut)
     kept = null_safe_join(rows, cut, keys).filter(
@@ -110,14 +110,13 @@ def trending(
         keys = ["report_date", "country_code"]
         stat_keys = ["report_date", "country_name"]
     rows = week_pivot(base, partner.counters, regional)
-    scored = scored_pairs(rows, keys, stat_keys, rank_cap)
+    ranked = staged(ranked_pairs(rows, keys, stat_keys), "ranked-pairs")
     top = guarded_scores(
-        scored.filter(scored["rank_tw"] <= top_n),
+        scored(ranked, stat_keys, rank_cap).filter(F.col("rank_tw") <= top_n),
         partner.country_rank_change_is_tw_minus_lw and not regional,
     ).drop("n", "transformed_diff", "mean_transformed_diff", "std_transformed_diff", "raw_score")
-    top = staged(top, "top-pairs")
     pair_keys = list(dict.fromkeys([*keys, *stat_keys]))
-    candidates = above_cut(rows, top, keys)
+    candidates = above_cut(rows, ranked.filter(F.col("rank_tw") <= top_n), keys)
     items = null_safe_join(candidates, top, [*pair_keys, "streams_tw", "streams_lw"])
     full = total_shares(change_shares(week_deltas(items, partner.counters), partner))
     return conform(full, trend_schema(partner, regional))
