@@ -97,29 +97,39 @@ def _wide(raw: bytes) -> np.ndarray:
 
 
 class Bm25:
-    """Inverted index over the token ids of a shard's documents."""
+    """Inverted index over the token ids of a shard's documents.
+
+    Only postings are kept, sorted by term and document; a seed's terms are counted when it asks."""
 
     def __init__(self, docs: list[np.ndarray]):
-        lengths = np.array([len(d) for d in docs])
-        owner = np.repeat(np.arange(len(docs)), lengths)
-        key, tf = np.unique((owner << 32) | np.concatenate(docs).astype(np.int64), return_counts=True)
-        self.doc, self.term = key >> 32, key & 0xFFFFFFFF
-        names, self.term = np.unique(self.term, return_inverse=True)
-        df = np.bincount(self.term, minlength=len(names))
-        idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths[self.doc] / lengths.mean())
-        self.weight = idf[self.term] * tf * (K1 + 1) / (tf + norm)
-        self.of_doc = np.searchsorted(self.doc, np.arange(len(docs) + 1))
-        order = np.argsort(self.term, kind="stable")
-        self.posting_doc, self.posting_weight = self.doc[order], self.weight[order]
-        self.of_term = np.concatenate(([0], np.cumsum(df)))
-        self.size = len(docs)
+        self.docs, self.size = docs, len(docs)
+        self.lengths = np.array([len(d) for d in docs])
+        self.mean_length = self.lengths.mean()
+        key = np.concatenate(docs).astype(np.uint64)
+        key <<= np.uint64(32)
+        key |= np.repeat(np.arange(len(docs), dtype=np.uint32), self.lengths)
+        key.sort()
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        tf = np.diff(first, append=len(key))
+        key = key[first]
+        self.posting_doc = key.astype(np.uint32).astype(np.int32)
+        key >>= np.uint64(32)
+        self.of_term = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+        self.terms = key[self.of_term[:-1]].astype(np.uint32)
+        df = np.diff(self.of_term)
+        self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
+        self.posting_weight = np.repeat(self.idf, df) * self._saturation(tf, self.posting_doc)
+
+    def _saturation(self, tf: np.ndarray, doc: np.ndarray | int) -> np.ndarray:
+        norm = K1 * (1 - B + B * self.lengths[doc] / self.mean_length)
+        return tf * (K1 + 1) / (tf + norm)
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every document for the seed's heaviest terms."""
-        own = slice(self.of_doc[seed], self.of_doc[seed + 1])
-        terms, weight = self.term[own], self.weight[own]
+        own, tf = np.unique(self.docs[seed], return_counts=True)
+        terms = np.searchsorted(self.terms, own)
         if len(terms) > QUERY_TERMS:
+            weight = self.idf[terms] * self._saturation(tf, seed)
             terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
         parts = [slice(self.of_term[t], self.of_term[t + 1]) for t in terms]
         return np.bincount(
