@@ -55,9 +55,10 @@ def test_generated_documents(docs, size):
     assert found(docs, size) == exact(rows, size)
 
 
-@pytest.mark.parametrize("seed, rounds", [(1, 3), (2, 0)])
-def test_chains_of_copies(spark, monkeypatch, seed, rounds):
+@pytest.mark.parametrize("seed, rounds, hot", [(1, 3, 0.1), (2, 0, 0.05), (3, 1, 1.0)])
+def test_chains_of_copies(spark, monkeypatch, seed, rounds, hot):
     monkeypatch.setattr(N, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(N, "HOT_SHARE", hot)
     monkeypatch.setattr(N, "MEMBERS_PER_GROUP", 3)
     rows = variants(seed)
     pick = random.Random(seed)

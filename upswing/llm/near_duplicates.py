@@ -37,6 +37,9 @@ RATE = 20.0
 ESTIMATE_MARGIN = 0.15
 STAR_ROUNDS = 2
 MEMBERS_PER_GROUP = 64
+# A bucket with more than this share of all classes is hot; each class is in one bucket of every band,
+# so there are at most BANDS / HOT_SHARE of them, however large the input is.
+HOT_SHARE = 0.001
 CELL_MEMBERS = 256
 # Up to so many rows (of a few numbers each) are sent to where the texts are; beyond, texts are shuffled.
 BROADCAST_ROWS = 500_000
@@ -275,6 +278,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     )
 
 
+def _with_bucket(members: DataFrame, values: DataFrame) -> DataFrame:
+    """`members` with what `values` has for their `bucket` and `hot`; members of other buckets go.
+
+    The few hot buckets are sent to their members, which stay where they are, so that no bucket with a
+    large part of all rows gets into one task; the others are joined by key."""
+    key = ["bucket", "hot"]
+    sent = members.filter("hot").join(F.broadcast(values.filter("hot")), key)
+    return sent.unionByName(members.filter("NOT hot").join(values.filter("NOT hot"), key))
+
+
 def _hub(turn: int) -> Column:
     order = F.struct(F.xxhash64(F.lit(turn), "rep").alias("order"), "rep", "n_shingles")
     return F.min(order).alias("hub")
@@ -295,16 +308,16 @@ def _across(
     back verified links only. A pair is looked at in the first band in which it agrees.
     """
     floor = percent / 100 - ESTIMATE_MARGIN
-    parts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    whole = parts.groupBy("bucket").agg(
+    parts = members.groupBy("bucket", "hot", "component").agg(F.count("*").alias("n"))
+    whole = parts.groupBy("bucket", "hot").agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n")
     )
     whole = whole.select(
-        "bucket", F.col("main.component").alias("main"),
+        "bucket", "hot", F.col("main.component").alias("main"),
         F.ceil(F.col("n") / CELL_MEMBERS).cast("int").alias("columns"),
         F.ceil((F.col("n") - F.col("main.n")) / CELL_MEMBERS).cast("int").alias("rows"),
     )
-    dealt = members.join(whole, "bucket").withColumn("outsider", F.col("component") != F.col("main"))
+    dealt = _with_bucket(members, whole).withColumn("outsider", F.col("component") != F.col("main"))
 
     def own(name: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(name), "rep"), F.col(name)).cast("int")
@@ -386,6 +399,7 @@ def _links(
     that shares a bucket goes unseen.
     """
     known = members.sparkSession.createDataFrame([], "id long, component long")
+    kept = ["bucket", "hot", "rep", "n_shingles"]
     members = members.withColumn("component", F.col("rep"))
 
     def extended(new: DataFrame) -> DataFrame:
@@ -396,8 +410,8 @@ def _links(
         return connected_components(old.unionByName(new))
 
     for turn in range(STAR_ROUNDS):
-        hubs = members.groupBy("bucket").agg(_hub(turn))
-        members = staged(members.join(hubs, "bucket"), "members")
+        hubs = members.groupBy("bucket", "hot").agg(_hub(turn))
+        members = staged(_with_bucket(members.select(*kept), hubs), "members")
         met = members.filter(
             (F.col("rep") != F.col("hub.rep"))
             & _similar_size("n_shingles", "hub.n_shingles", percent)
@@ -406,15 +420,15 @@ def _links(
         likely = staged(_likely(pairs, sketches, percent), "likely")
         if not likely.isEmpty():
             known = extended(_verified(likely, docs, size, percent))
-        rest = members.filter("rep <> hub.rep").select("bucket", "rep", "n_shingles")
+        rest = members.filter("rep <> hub.rep").select(*kept)
         labelled = rest.join(known, rest["rep"] == known["id"], "left").select(
-            "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("component")
+            *kept, F.coalesce("component", "rep").alias("component")
         )
-        mixed = labelled.groupBy("bucket").agg(
+        mixed = labelled.groupBy("bucket", "hot").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         )
         members = staged(
-            labelled.join(mixed.filter("low < high").select("bucket"), "bucket"), "open"
+            _with_bucket(labelled, mixed.filter("low < high").select("bucket", "hot")), "open"
         )
         if members.isEmpty():
             return known
@@ -443,8 +457,12 @@ def near_duplicates(
         .dropDuplicates(["rep"]), "sketches",
     )
     bands = _bands(sketches)
-    crowded = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = staged(bands.join(crowded, "bucket"), "buckets")
+    hot = F.col("n") > HOT_SHARE * sketches.count()
+    crowded = bands.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket", hot.alias("hot"))
+    crowded = staged(crowded, "crowded")
+    few = F.broadcast(crowded.filter("hot").select("bucket", F.lit(True).alias("known_hot")))
+    flagged = bands.join(few, "bucket", "left").withColumn("hot", F.coalesce("known_hot", F.lit(False)))
+    members = staged(_with_bucket(flagged.drop("known_hot"), crowded), "buckets")
     linked = _links(members, sketches, docs, shingle_words, percent)
     of_class = classes.join(linked, classes["rep"] == linked["id"], "left").select(
         *same, F.coalesce("component", "rep").alias("component_id")
