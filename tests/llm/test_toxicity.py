@@ -44,3 +44,18 @@ def test_one_class_or_none(docs):
     for rows in ([], [("fine", 0), ("good", 0), ("well", 0)]):
         scores = [r["toxicity"] for r in toxicity.score(docs.limit(3), toxicity.fit(rows)).collect()]
         assert len(set(scores)) == 1 and scores[0] <= 0.5
+
+
+def test_words_of_a_small_language_are_learnt():
+    numbers = np.random.default_rng(5)
+
+    large, small = (["".join(numbers.choice(list(x), 5)) for _ in range(60)] for x in ("abcdefg", "mnopqrs"))
+
+    def texts(n, language, *words):
+        return [" ".join([*numbers.choice(language, 60), *words]) for _ in range(n)]
+
+    toxic = texts(800, large, "trashy") + texts(18, small, "nopsrom")  # 2 % of the class
+    ordinary = texts(900, large) + texts(140, small) + texts(10, small, "nopsrom")
+    rows = [(t, label) for label, group in ((1, toxic), (0, ordinary)) for t in group]
+    model = toxicity.fit([rows[i] for i in numbers.permutation(len(rows))])
+    assert b" trashy " in model.toxic and b" nopsrom " in model.toxic

@@ -2,16 +2,18 @@
 
 Both dictionaries start with the same text, which zstandard's trainer picks from windows of both
 classes, so that ordinary prose costs the same with either. To it each adds the segments (words and word
-beginnings) that documents of its class hold far more often than those of the other. The shorter of the
-two lists is filled up to the same length, so that offsets agree. A window's gain is its compressed
-length with the ordinary dictionary less that with the toxic one. How large the gains of a document have
-to be is calibrated on labelled documents that the dictionaries have not seen.
+beginnings) that documents of its class hold far more often than those of the other with a like
+vocabulary, so that a language's few toxic documents count against its own. The shorter of the two lists
+is filled up to the same length, so that offsets agree. A window's gain is its compressed length with
+the ordinary dictionary less that with the toxic one. How large the gains of a document have to be is
+calibrated on labelled documents that the dictionaries have not seen.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,9 +27,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 TRAIN_PER_CLASS = 2000  # learnt from about so many labelled documents of a class at most
 WINDOW, STRIDE = 96, 48  # bytes
 SHARED_BYTES = 4000
-SEGMENT_BYTES = 1500
+SEGMENT_BYTES = 1500  # for each vocabulary
+VOCABULARIES, WORD_BUCKETS = 16, 512
 SEGMENT_LENGTHS = (4, 5, 6, 7, 8)
-MIN_RATE, MIN_DOCS, MIN_LIFT = 0.04, 4, 15.0
+MIN_DOCS, MIN_DEVIATIONS = 4, 6.0
 SAME_SHARE = 0.8  # a longer segment in so many of a shorter one's documents replaces it
 CALIBRATION_SHARE = 3  # every third document calibrates
 _WORD = re.compile(rb"[^\s.,;:!?|\"()]+")
@@ -78,28 +81,66 @@ def _segments(text: str) -> set[bytes]:
     return {w[:n] for w in found for n in (*SEGMENT_LENGTHS, len(w))}
 
 
-def _distinctive(own: list[str], others: list[str]) -> list[bytes]:
-    """Segments that documents of `own` hold `MIN_LIFT` times as often as `others`, the best last,
-    where a dictionary's content is cheapest to refer to."""
-    mine, theirs = Counter(), Counter()
-    for texts, counts in ((own, mine), (others, theirs)):
-        for text in texts:
-            counts.update(_segments(text))
-    least = max(MIN_DOCS, MIN_RATE * len(own))
-    lift = {
-        s: (n / len(own)) / ((theirs[s] + 0.5) / (len(others) + 1))
-        for s, n in mine.items() if n >= least
-    }
+def _vocabularies(texts: list[str], basis: list[str]) -> np.ndarray:
+    """For each text the number of the vocabulary it is nearest to; those are clusters of `basis`."""
+
+    def vectors(rows: list[str]) -> np.ndarray:
+        out = np.zeros((len(rows), WORD_BUCKETS), np.float32)
+        for row, text in zip(out, rows):
+            for word, n in Counter(_WORD.findall(text.lower().encode())).items():
+                row[zlib.crc32(word) % WORD_BUCKETS] += n
+        out = np.sqrt(out)
+        return out / (np.linalg.norm(out, axis=1, keepdims=True) + 1e-9)
+
+    x = vectors(basis)
+    centres = x.mean(axis=0, keepdims=True)
+    while len(centres) < min(VOCABULARIES, len(x)):  # the text that is least like any centre is the next
+        centres = np.vstack((centres, x[(x @ centres.T).max(axis=1).argmin()]))
+    for _ in range(10):
+        nearest = (x @ centres.T).argmax(axis=1)
+        for k in np.unique(nearest):
+            mean = x[nearest == k].mean(axis=0)
+            centres[k] = mean / (np.linalg.norm(mean) + 1e-9)
+    return (vectors(texts) @ centres.T).argmax(axis=1)
+
+
+def _distinctive(
+    own: list[str], others: list[str], own_kinds: np.ndarray, other_kinds: np.ndarray
+) -> list[bytes]:
+    """Segments that documents of `own` hold more often than `others` of the same vocabulary do, by
+    `MIN_DEVIATIONS` standard deviations; the best last, where a dictionary's content is cheapest to
+    refer to. No bar depends on the share of a vocabulary in its class, and each has `SEGMENT_BYTES`."""
+    mine, theirs = defaultdict(Counter), defaultdict(Counter)
+    for texts, kinds, counts in ((own, own_kinds, mine), (others, other_kinds, theirs)):
+        for text, kind in zip(texts, kinds.tolist()):
+            for segment in _segments(text):
+                counts[segment][kind] += 1
+    sizes, other_sizes = Counter(own_kinds.tolist()), Counter(other_kinds.tolist())
+    total = {s: sum(counts.values()) for s, counts in mine.items()}
+    surplus = {}
+    for segment, counts in mine.items():
+        if total[segment] < MIN_DOCS:
+            continue
+        elsewhere = theirs.get(segment, Counter())
+        expected = variance = 0.0
+        for kind in counts.keys() | elsewhere.keys():
+            a, b, n = sizes[kind], other_sizes[kind], counts[kind] + elsewhere[kind]
+            expected += n * a / (a + b)
+            variance += n * a * b * (a + b - n) / ((a + b) ** 2 * max(1, a + b - 1))
+        surplus[segment] = (total[segment] - expected) / np.sqrt(variance + 0.05)
     kept: set[bytes] = set()
-    for segment in sorted((s for s, l in lift.items() if l >= MIN_LIFT), key=lambda s: (len(s), s)):
+    for segment in sorted((s for s, z in surplus.items() if z >= MIN_DEVIATIONS), key=lambda s: (len(s), s)):
         shorter = [segment[:n] for n in range(len(segment)) if segment[:n] in kept]
-        if all(mine[segment] >= SAME_SHARE * mine[s] for s in shorter):
+        if all(total[segment] >= SAME_SHARE * total[s] for s in shorter):
             kept.difference_update(shorter)  # the longer one stands for its beginnings
             kept.add(segment)
-    best_last = sorted(kept, key=lambda s: (mine[s], s))
-    while best_last and sum(map(len, best_last)) + len(best_last) > SEGMENT_BYTES:
-        best_last.pop(0)
-    return best_last
+    chosen, used = [], Counter()
+    for segment in sorted(kept, key=lambda s: (-surplus[s], s)):
+        kind = max(mine[segment], key=lambda k: (mine[segment][k], -k))
+        if used[kind] + len(segment) + 1 <= SEGMENT_BYTES:
+            used[kind] += len(segment) + 1
+            chosen.append(segment)
+    return chosen[::-1]
 
 
 def _dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
@@ -108,7 +149,11 @@ def _dictionaries(ordinary: list[str], toxic: list[str]) -> tuple[bytes, bytes]:
         shared = zstandard.train_dictionary(SHARED_BYTES, samples, k=48, d=6).as_bytes()
     except zstandard.ZstdError:  # too little text to train on
         shared = b" ".join(samples)
-    own = [b" " + b" ".join(_distinctive(a, b)) + b" " for a, b in ((ordinary, toxic), (toxic, ordinary))]
+    plain, hot = _vocabularies(ordinary, ordinary), _vocabularies(toxic, ordinary)
+    own = [
+        b" " + b" ".join(_distinctive(*sides)) + b" "
+        for sides in ((ordinary, toxic, plain, hot), (toxic, ordinary, hot, plain))
+    ]
     longest = max(map(len, own))
     # Bytes that UTF-8 text never has, so that they match nothing.
     filler = bytes(0xF8 + i * i % 7 for i in range(longest + 8))
