@@ -93,3 +93,17 @@ def test_every_token_is_packed_once(lengths):
         assert offset == ends.get(sequence, 0)
         ends[sequence] = offset + length
     assert all(ends[s] == 8 for s in range(max(ends)))
+
+
+def test_a_seed_asks_with_all_its_terms():
+    numbers = np.random.default_rng(2)
+    docs = [numbers.zipf(1.3, 200).clip(max=400).astype("<u4") for _ in range(40)]
+    index, mean = packing.Bm25(docs), 200
+    df = {t: sum(t in d for d in docs) for t in set(np.concatenate(docs).tolist())}
+    for seed in (0, 7):
+        expected = []
+        for d in docs:
+            tf = [(df[t], int((d == t).sum())) for t in np.unique(docs[seed]).tolist()]
+            norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+            expected.append(sum(np.log1p((40 - n + 0.5) / (n + 0.5)) * f * (packing.K1 + 1) / (f + norm) for n, f in tf))
+        assert len(np.unique(docs[seed])) > 30 and np.allclose(index.scores(seed), expected)

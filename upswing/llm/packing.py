@@ -31,7 +31,6 @@ from upswing.sources.tables import staged
 WINDOW = 1024
 SEPARATOR = 0
 SHARD_TOKENS = 2_000_000
-QUERY_TERMS = 12
 K1, B = 1.2, 0.75
 _ID = np.dtype("<u4")
 
@@ -99,7 +98,7 @@ def _wide(raw: bytes) -> np.ndarray:
 class Bm25:
     """Inverted index over the token ids of a shard's documents.
 
-    Only postings are kept, sorted by term and document; a seed's terms are counted when it asks."""
+    Only postings are kept, sorted by term and document; a seed's terms are looked up when it asks."""
 
     def __init__(self, docs: list[np.ndarray]):
         self.docs, self.size = docs, len(docs)
@@ -125,12 +124,8 @@ class Bm25:
         return tf * (K1 + 1) / (tf + norm)
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document for the seed's heaviest terms."""
-        own, tf = np.unique(self.docs[seed], return_counts=True)
-        terms = np.searchsorted(self.terms, own)
-        if len(terms) > QUERY_TERMS:
-            weight = self.idf[terms] * self._saturation(tf, seed)
-            terms = terms[np.argpartition(-weight, QUERY_TERMS)[:QUERY_TERMS]]
+        """BM25 score of every document for all distinct terms of the seed."""
+        terms = np.searchsorted(self.terms, np.unique(self.docs[seed]))
         parts = [slice(self.of_term[t], self.of_term[t + 1]) for t in terms]
         return np.bincount(
             np.concatenate([self.posting_doc[p] for p in parts]),
