@@ -107,3 +107,44 @@ def test_a_seed_asks_with_all_its_terms():
             norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
             expected.append(sum(np.log1p((40 - n + 0.5) / (n + 0.5)) * f * (packing.K1 + 1) / (f + norm) for n, f in tf))
         assert len(np.unique(docs[seed])) > 30 and np.allclose(index.scores(seed), expected)
+
+
+def test_statistics_are_those_of_all_documents(docs, tokenizer):
+    made = packing.encoded(docs.repartition(5), tokenizer)
+    own = [packing._wide(r["ids"]) for r in made.collect()]
+    whole, expected = packing._statistics(made), packing.statistics(own)
+    assert (whole.df == expected.df).all()
+    assert (whole.documents, whole.mean_length) == (expected.documents, expected.mean_length)
+    part = packing.Bm25(own[:50], whole)
+    assert np.allclose(part.scores(3), packing.Bm25(own).scores(3)[:50])
+    wanted = np.arange(50) % 3 == 0
+    before = part.scores(3)
+    part.keep(wanted)
+    assert np.allclose(part.scores(3), np.where(wanted, before, 0))
+
+
+def test_like_documents_share_cells():
+    numbers = np.random.default_rng(3)
+    topics = [numbers.integers(100 * t, 100 * t + 100, (40, 80)).astype("<u4") for t in range(8)]
+    docs = [d for row in zip(*topics) for d in row]
+    whole = packing.statistics(docs)
+    x = np.array([packing.likeness(d, whole) for d in docs])
+    cells = packing.Cells(x, np.full(len(docs), 80.0), 8)
+    found = np.array([cells.of(v) for v in x])
+    assert sorted(set(found.tolist())) == list(range(8))
+    assert all(np.bincount(found[t::8]).max() >= 35 for t in range(8))
+    one = packing.Cells(x[:1].repeat(9, axis=0), np.ones(9), 4)  # copies only
+    assert 0 <= one.of(x[0]) < 4
+
+
+def test_dealing_brings_topics_together(spark, tokenizer, monkeypatch):
+    numbers = np.random.default_rng(4)
+    words = [["".join(numbers.choice(list("abcdefghijklmnop"), 7)) for _ in range(40)] for _ in range(4)]
+    rows = [(i, " ".join(numbers.choice(words[i % 4], 60))) for i in range(400)]
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 25_000)
+    pieces = packing.packed(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer).collect()
+    shards = {}
+    for p in pieces:
+        shards.setdefault(p["sequence_id"] >> 40, []).append(p["doc_id"] % 4)
+    assert len(shards) >= 3
+    assert sum(max(map(t.count, range(4))) for t in shards.values()) >= 0.6 * len(pieces)

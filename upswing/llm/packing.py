@@ -1,8 +1,9 @@
 """Lexical retrieval packing: windows of related documents, filled to the last token.
 
-Documents are encoded once and dealt into shards by the two smallest hashes of their tokens, so that
-lexically close documents come together and a shard stays small. Each shard has a BM25 inverted index of
-its own. A window's seed is its first document; the index returns the seed's unused neighbours, best
+Documents are encoded once and dealt into shards by a tree of planes over vectors of their weighted
+tokens, so that lexically close documents come together and a shard stays small. Each shard has a BM25
+inverted index of its own, with document frequencies and mean length of all documents; a seed asks with
+all its terms. A window's seed is its first document; the index returns the seed's unused neighbours, best
 first, and they fill the window in that order. The one that does not fit is cut; what is left of it
 opens the next window and is its seed. Only a shard's last window can be short.
 """
@@ -13,7 +14,8 @@ import base64
 import json
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ from upswing.sources.tables import staged
 WINDOW = 1024
 SEPARATOR = 0
 SHARD_TOKENS = 2_000_000
+AXES = 128  # of a likeness vector
+CELLS, SAMPLED, MOST_SAMPLED = 4, 64, 40_000  # cells and sampled documents of a shard; sampled at most
 K1, B = 1.2, 0.75
 _ID = np.dtype("<u4")
 
@@ -95,18 +99,99 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if raw[:1] == b"\2" else "<u4", offset=1).astype(_ID)
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """In how many of all documents each token id is, how many they are, and their mean length."""
+
+    df: np.ndarray
+    documents: int
+    mean_length: float
+
+    @cached_property
+    def idf(self) -> np.ndarray:
+        return np.log1p((self.documents - self.df + 0.5) / (self.df + 0.5))
+
+    @cached_property
+    def axes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each id's place in a likeness vector, and its weight there with a sign."""
+        hashes = mix(np.arange(len(self.df), dtype=np.uint64) + np.uint64(1))
+        sign = 1.0 - 2.0 * (hashes >> np.uint64(63)).astype(float)
+        return (hashes % np.uint64(AXES)).astype(np.int64), sign * self.idf
+
+
+def statistics(docs: list[np.ndarray]) -> Statistics:
+    df = np.zeros(max((int(d.max()) for d in docs), default=0) + 1, np.int64)
+    for d in docs:
+        df[np.unique(d)] += 1
+    return Statistics(df, len(docs), sum(map(len, docs)) / max(1, len(docs)))
+
+
+def likeness(ids: np.ndarray, whole: Statistics) -> np.ndarray:
+    """Unit vector of a document's weighted tokens; like documents have a large inner product."""
+    place, weight = whole.axes
+    vector = np.bincount(place[ids], weights=weight[ids], minlength=AXES)
+    return (vector / (np.sqrt(vector @ vector) + 1e-12)).astype(np.float32)
+
+
+class Cells:
+    """Tree of planes, each between the two halves of the documents that reach it, so that like documents
+    come to the same cell or one near it in number. Learnt from a sample; either side gets cells in
+    proportion to its tokens."""
+
+    def __init__(self, vectors: np.ndarray, tokens: np.ndarray, cells: int):
+        self.planes, self.cuts, self.below = [], [], []
+        self.root = self._split(vectors, tokens, 0, cells)
+
+    def _split(self, x: np.ndarray, tokens: np.ndarray, first: int, cells: int) -> int:
+        """Number of a node, or -1 - number of a cell."""
+        if cells < 2 or len(x) < 2:
+            return -1 - first
+        one = x[(x @ x.mean(axis=0)).argmin()]
+        pair = np.stack((one, x[(x @ one).argmin()]))
+        for _ in range(8):
+            side = (x @ (pair[0] - pair[1])) < 0
+            if side.all() or not side.any():
+                break
+            pair = np.stack((x[~side].mean(axis=0), x[side].mean(axis=0)))
+        plane = pair[1] - pair[0]
+        along = x @ plane
+        cut = (pair[1] @ pair[1] - pair[0] @ pair[0]) / 2  # as near to one centre as to the other
+        share = tokens[along < cut].sum() / tokens.sum()
+        if not 0.2 < share < 0.8:
+            order = np.argsort(along, kind="stable")
+            until = np.cumsum(tokens[order])
+            cut, share = along[order[np.searchsorted(until, until[-1] / 2)]], 0.5
+        left = min(cells - 1, max(1, round(cells * share)))
+        node = len(self.planes)
+        self.planes.append(plane)
+        self.cuts.append(cut)
+        self.below.append(None)
+        low = along < cut
+        self.below[node] = (
+            self._split(x[low], tokens[low], first, left),
+            self._split(x[~low], tokens[~low], first + left, cells - left),
+        )
+        return node
+
+    def of(self, vector: np.ndarray) -> int:
+        node = self.root
+        while node >= 0:
+            node = self.below[node][int(vector @ self.planes[node] >= self.cuts[node])]
+        return -1 - node
+
+
 class Bm25:
-    """Inverted index over the token ids of a shard's documents.
+    """Inverted index over the token ids of a shard's documents, weighted by the statistics of all.
 
     Only postings are kept, sorted by term and document; a seed's terms are looked up when it asks."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], whole: Statistics | None = None):
+        whole = whole or statistics(docs)
         self.docs, self.size = docs, len(docs)
-        self.lengths = np.array([len(d) for d in docs])
-        self.mean_length = self.lengths.mean()
+        lengths = np.array([len(d) for d in docs])
         key = np.concatenate(docs).astype(np.uint64)
         key <<= np.uint64(32)
-        key |= np.repeat(np.arange(len(docs), dtype=np.uint32), self.lengths)
+        key |= np.repeat(np.arange(len(docs), dtype=np.uint32), lengths)
         key.sort()
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         tf = np.diff(first, append=len(key))
@@ -115,33 +200,39 @@ class Bm25:
         key >>= np.uint64(32)
         self.of_term = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
         self.terms = key[self.of_term[:-1]].astype(np.uint32)
-        df = np.diff(self.of_term)
-        self.idf = np.log1p((len(docs) - df + 0.5) / (df + 0.5))
-        self.posting_weight = np.repeat(self.idf, df) * self._saturation(tf, self.posting_doc)
+        norm = K1 * (1 - B + B * lengths[self.posting_doc] / whole.mean_length)
+        self.posting_weight = np.repeat(whole.idf[self.terms], np.diff(self.of_term)) * (tf * (K1 + 1) / (tf + norm))
 
-    def _saturation(self, tf: np.ndarray, doc: np.ndarray | int) -> np.ndarray:
-        norm = K1 * (1 - B + B * self.lengths[doc] / self.mean_length)
-        return tf * (K1 + 1) / (tf + norm)
+    def keep(self, wanted: np.ndarray) -> None:
+        """Drop the postings of other documents; their scores are 0 from now on."""
+        held = wanted[self.posting_doc]
+        self.of_term = np.concatenate(([0], np.cumsum(held)))[self.of_term]
+        self.posting_doc, self.posting_weight = self.posting_doc[held], self.posting_weight[held]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every document for all distinct terms of the seed."""
         terms = np.searchsorted(self.terms, np.unique(self.docs[seed]))
-        parts = [slice(self.of_term[t], self.of_term[t + 1]) for t in terms]
+        parts = [slice(a, b) for a, b in zip(self.of_term[terms].tolist(), self.of_term[terms + 1].tolist())]
         return np.bincount(
             np.concatenate([self.posting_doc[p] for p in parts]),
             weights=np.concatenate([self.posting_weight[p] for p in parts]), minlength=self.size,
         )
 
 
-def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
+def pack(
+    docs: list[np.ndarray], window: int = WINDOW, whole: Statistics | None = None
+) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece of a shard."""
-    index = Bm25(docs)
+    index = Bm25(docs, whole)
     unused = np.ones(len(docs), bool)
-    in_order = 0
+    in_order, left, indexed = 0, len(docs), len(docs)
     sequence, offset, seed = 0, 0, -1
     neighbours: list[int] = []
     for _ in range(len(docs)):
         if seed >= 0 and not neighbours:
+            if left < 0.8 * indexed:
+                index.keep(unused)
+                indexed = left
             score = np.where(unused, index.scores(seed), 0.0)
             best = np.argsort(-score, kind="stable")[:32]
             neighbours = [int(d) for d in best[score[best] > 0]][::-1]
@@ -152,6 +243,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, in
                 in_order += 1
             current = in_order
         unused[current] = False
+        left -= 1
         start, total = 0, len(docs[current])
         while start < total:
             if offset == 0:
@@ -164,6 +256,51 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, in
                 sequence, offset = sequence + 1, 0
 
 
+def _statistics(made: DataFrame) -> Statistics:
+    """Of all documents; each task counts its own, and a row per token id is sent."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, documents, tokens = np.zeros(1 << 16, np.int64), 0, 0
+        for batch in batches:
+            for raw in batch.column(0):
+                ids = np.unique(wide := _wide(raw.as_py()))
+                if ids[-1] >= len(df):
+                    df = np.concatenate((df, np.zeros(int(ids[-1]) + 1, np.int64)))
+                df[ids] += 1
+                documents, tokens = documents + 1, tokens + len(wide)
+        term = np.flatnonzero(df)
+        terms, counts = [*term.tolist(), -1, -2], [*df[term].tolist(), documents, tokens]
+        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(counts)], names=["term", "n"])
+
+    counted = made.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = {r["term"]: r["n"] for r in counted.collect()}
+    documents, tokens = found.pop(-1, 0), found.pop(-2, 0)
+    df = np.zeros(max(found, default=0) + 1, np.int64)
+    df[list(found)] = list(found.values())
+    return Statistics(df, documents, tokens / max(1, documents))
+
+
+def _cells(made: DataFrame, whole: Statistics, shards: int) -> Cells:
+    """Cells learnt from the likeness vectors of a bounded sample of the documents."""
+    if shards < 2:
+        return Cells(np.zeros((0, AXES), np.float32), np.zeros(0), 1)
+    share = min(1.0, min(SAMPLED * shards, MOST_SAMPLED) / whole.documents)
+    order = F.pmod(F.xxhash64("doc_id", "low", "next_low"), F.lit(1 << 30))
+    shared = made.sparkSession.sparkContext.broadcast(whole)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [_wide(raw.as_py()) for raw in batch.column(0)]
+            made = [likeness(i, shared.value).tobytes() for i in ids]
+            columns = [pa.array(made, pa.binary()), pa.array([len(i) for i in ids], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["vector", "tokens"])
+
+    sample = made.filter(order < int(share * (1 << 30))).select("ids")
+    rows = sorted(sample.mapInArrow(vectors, "vector binary, tokens long").collect())
+    x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows]).reshape(-1, AXES)
+    return Cells(x, np.array([r["tokens"] for r in rows], float), CELLS * shards)
+
+
 def packed(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     """`doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`: the pieces of all
     documents (`doc_id`, `text`, others are ignored), every token in exactly one.
@@ -175,13 +312,27 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
     made = staged(encoded(docs, path), "encoded")
     tokens = made.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0
     shards = max(1, -(-(tokens // 2) // SHARD_TOKENS))
-    dealt = made.repartitionByRange(shards, "low", "next_low", "doc_id").sortWithinPartitions(
-        "low", "next_low", "doc_id", "ids"
-    )
+    whole = _statistics(made)
+    shared = docs.sparkSession.sparkContext.broadcast((whole, _cells(made, whole, shards)))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, cells = shared.value
+        for batch in batches:
+            numbers = [cells.of(likeness(_wide(raw.as_py()), whole)) for raw in batch.column("ids")]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "cell"]
+            )
+
+    if shards > 1:
+        placed = made.mapInArrow(place, "doc_id long, ids binary, low long, next_low long, cell long")
+    else:
+        placed = made.withColumn("cell", F.lit(0).cast("long"))
+    keys = ["cell", "low", "next_low", "doc_id"]
+    dealt = placed.repartitionByRange(shards, *keys).sortWithinPartitions(*keys, "ids")
 
     def write(ids: list, docs: list[np.ndarray], sequences: int) -> tuple[pd.DataFrame, int]:
         rows = []
-        for doc, start, length, sequence, offset in pack(docs, window):
+        for doc, start, length, sequence, offset in pack(docs, window, shared.value[0]):
             piece = docs[doc][start : start + length]
             crc = zlib.crc32(piece.tobytes())
             rows.append((ids[doc], start, length, crc, len(docs[doc]), sequences + sequence, offset, piece.tobytes()))
