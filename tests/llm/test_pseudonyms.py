@@ -96,3 +96,34 @@ def test_odd_tables(odd_docs, no_docs):
 def test_no_python_and_no_shuffle(docs):
     plan = pseudonymised(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Exchange" not in plan and "MapIn" not in plan
+
+
+def test_cards_next_to_other_numbers(spark):
+    card, other = "4111 1111 1111 1111", "4845168114407329"
+    texts = [
+        f"{card} 12/27", "pay 4111111111111111 123 now", f"order 2024 {card} ok", f"{card} 2024-01-02",
+        f"{card} {other} 7", f"{card} 12x", f"{card} 12.50", f"{card} 12.a@x.com", f"{card} 123-45-6789",
+        f"12/27 {card}", f"{card}-99", "4111 1111 1111 1112 12/27", "1 " * 3000, f"{card} 31/12/1980",
+    ]
+    rows = made(spark, texts)
+    linked = re.match(r"[\d ]{19}", rows[0][0])[0].replace(" ", "")
+    assert luhn(linked) and linked != "4111111111111111"
+    for text, (new, kinds) in zip(texts[:11], rows[:11]):
+        assert "4111111111111111" not in re.sub("[ -]", "", new) and linked in re.sub("[ -]", "", new), text
+        assert kinds[0] == "card" and len(new) == len(text)
+    assert rows[0][0].endswith(" 12/27") and rows[1][0] == f"pay {linked} 123 now"
+    assert rows[2][0].startswith("order 2024 ") and rows[2][0].endswith(" ok")
+    assert rows[3][1] == ["card", "date"] and "2024-01-02" not in rows[3][0]
+    assert rows[4][1] == ["card", "card"] and other not in rows[4][0] and rows[4][0].endswith(" 7")
+    assert rows[5][0].endswith(" 12x") and rows[6][0].endswith(" 12.50")
+    assert rows[7][1] == ["card", "email"] and rows[8][1] == ["card", "ssn"]
+    assert rows[11] == (texts[11], []) and rows[12] == (texts[12], []) and rows[13][1] == ["card", "date"]
+
+
+def test_dates_with_the_month_first(spark):
+    rows = made(spark, ["12/31/1980 1980-12-31 31/12/1980", "13/32/1980 12.31.1980"])
+    month, iso, day = rows[0][0].split()
+    year, m, d = iso.split("-")
+    assert rows[0][1] == ["date"] * 3 and iso != "1980-12-31"
+    assert month == f"{m}/{d}/{year}" and day == f"{d}/{m}/{year}"
+    assert rows[1] == ("13/32/1980 12.31.1980", [])

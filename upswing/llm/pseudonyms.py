@@ -20,18 +20,24 @@ _WALK = 64  # a number that leaves its range is permuted again; one in three at
 _FIRST_DAY, _DAYS = "1900-01-01", 73_049
 _AREAS, _GROUPS, _SERIALS = 898, 99, 9999
 # What the matches look like. Possessive runs keep the search linear.
-PATTERN = (
-    r"(?<![A-Za-z0-9._%+-])(?:"
-    r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"
+_END = r"(?![A-Za-z0-9]|[.-]\d)"
+_FORMATS = (
+    r"(?:[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?<=\.[A-Za-z]{2,24})"
     r"|\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3,4}[ .-]?\d{3,4}"
     r"|\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4}"
     r"|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
-    r"|\d{3}-\d{2}-\d{4}"
-    r"|\d(?:[ -]?\d){12,18}"
-    r")(?![A-Za-z0-9]|[.-]\d)"
+    r"|\d{3}-\d{2}-\d{4})" + _END
+)
+# Groups of digits joined by single blanks or hyphens, as far as they go. A group that starts another
+# format, or that a letter or a fraction follows, ends the run before it.
+_GROUP = r"\d{1,19}+(?![A-Za-z0-9]|\.\d)"
+_RUN = rf"(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:(?:-|[ ](?!{_FORMATS})){_GROUP})*+"
+PATTERN = (
+    rf"(?<![A-Za-z0-9._%+-])(?:{_FORMATS}|{_RUN})"
     r"|(?<=(?i:token|secret|key|password)[ ]{0,3}[=:][ ]{0,3}[\"']{0,1})"
     r"[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 )
+_CARD_LENGTHS = (16, 15, 19, 14, 13, 18, 17)  # of the readings from a group, the first that validates
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _BASE_26 = "0123456789abcdefghijklmnop"
 
@@ -98,6 +104,39 @@ def _filled(template: str, symbols: str, kind: str) -> str:
     )
 
 
+def _is_card(value: str) -> str:
+    """SQL whether a string of groups of digits, with nothing around them, is a card number."""
+    digits = _let("t", f"regexp_replace({value}, '[^0-9]', '')", "if(length(t) BETWEEN 13 AND 19, luhn_check(t), false)")
+    return f"({value} RLIKE '^[0-9][0-9 -]*[0-9]$' AND {digits})"
+
+
+def _pieces() -> str:
+    """SQL from a match `m` to its pieces: itself, or of a run of digits its card numbers and what is
+    between. A card number starts and ends with a group; the first in the run is taken, then the next
+    behind it."""
+    reading = "concat(ltrim(' -', g[i - 1]), array_join(slice(g, i + 1, j - i), ''))"
+    readings = (
+        "filter(transform(sequence(i, least(i + 18, size(g))), j -> named_struct('j', j, 'v', "
+        f"{reading})), r -> {_is_card('r.v')})"
+    )
+    lengths = ", ".join(map(str, _CARD_LENGTHS))
+    best = (
+        f"get(filter(transform(array({lengths}), n -> get(filter(found, r -> "
+        "length(regexp_replace(r.v, '[^0-9]', '')) = n), 0)), r -> r IS NOT NULL), 0)"
+    )
+    left_over = "named_struct('next', i + 1, 'out', concat(s.out, array(g[i - 1])))"
+    before = "if(g[i - 1] RLIKE '^[0-9]', '', left(g[i - 1], 1))"
+    taken = f"named_struct('next', r.j + 1, 'out', concat(s.out, array({before}, r.v)))"
+    step = _let("found", readings, _let("r", best, f"if(r IS NULL, {left_over}, {taken})"))
+    walk = (
+        "aggregate(sequence(1, size(g)), named_struct('next', 1, 'out', CAST(array() AS ARRAY<STRING>)), "
+        f"(s, i) -> if(i < s.next, s, {step}), s -> s.out)"
+    )
+    groups = _let("g", "regexp_extract_all(m, '[ -]?[0-9]+', 0)", walk)
+    whole = "m NOT RLIKE '^[0-9 -]+$' OR length(regexp_replace(m, '[^0-9]', '')) < 13 OR m NOT RLIKE '[0-9][ -]'"
+    return f"CASE WHEN {whole} THEN array(m) WHEN {_is_card('m')} THEN array(m) ELSE {groups} END"
+
+
 def _pseudonym(key: str) -> str:
     """SQL from a match `m` to its kind and pseudonym; the kind is null if it does not validate."""
     local = "lower(substring_index(m, '@', 1))"
@@ -108,15 +147,17 @@ def _pseudonym(key: str) -> str:
         WHEN m RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$|^[0-9]{2}[./][0-9]{2}[./][0-9]{4}$' THEN 'date'
         WHEN m RLIKE '^[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+$' THEN 'ip'
         WHEN m RLIKE '^[0-9]{3}-[0-9]{2}-[0-9]{4}$' THEN 'ssn' ELSE 'card' END"""
-    day = """try_cast(if(m LIKE '____-%', m,
-        concat(substr(m, 7, 4), '-', substr(m, 4, 2), '-', substr(m, 1, 2))) AS DATE)"""
+    day_first = "try_cast(concat(substr(m, 7, 4), '-', substr(m, 4, 2), '-', substr(m, 1, 2)) AS DATE)"
+    month_first = "try_cast(concat(substr(m, 7, 4), '-', substr(m, 1, 2), '-', substr(m, 4, 2)) AS DATE)"
+    day = f"""CASE WHEN m LIKE '____-%' THEN try_cast(m AS DATE)
+        WHEN m LIKE '__/%' THEN coalesce({day_first}, {month_first}) ELSE {day_first} END"""
     octet = "CAST(split(m, '[.]')[{}] AS BIGINT)"
     address = " + ".join(f"{octet.format(i)} * {256 ** (3 - i)}" for i in range(4))
     in_range = " AND ".join(f"{octet.format(i)} < 256" for i in range(4))
     area, group, serial = (f"CAST(substr(m, {a}, {n}) AS BIGINT)" for a, n in ((1, 3), (5, 2), (8, 4)))
     person = f"(({area} - if({area} > 666, 2, 1)) * {_GROUPS} + {group} - 1) * {_SERIALS} + {serial} - 1"
     numbers = f"""CASE kind
-        WHEN 'card' THEN if(luhn_check(d), array({_number("substr(d, 2, length(d) - 2)", _power("10", "length(d) - 2"))}), NULL)
+        WHEN 'card' THEN if({_is_card('m')}, array({_number("substr(d, 2, length(d) - 2)", _power("10", "length(d) - 2"))}), NULL)
         WHEN 'phone' THEN array({_number("right(d, least(10, length(d) - 1))", _power("10", "least(10, length(d) - 1)"))})
         WHEN 'date' THEN if({day} BETWEEN DATE'{_FIRST_DAY}' AND date_add(DATE'{_FIRST_DAY}', {_DAYS - 1}),
             array({_number(f"datediff({day}, DATE'{_FIRST_DAY}')", str(_DAYS))}), NULL)
@@ -137,8 +178,9 @@ def _pseudonym(key: str) -> str:
     )
     date = _let(
         "v", f"date_add(DATE'{_FIRST_DAY}', CAST({value} AS INT))",
-        "if(m LIKE '____-%', date_format(v, 'yyyy-MM-dd'), concat(date_format(v, 'dd'), substr(m, 3, 1),"
-        " date_format(v, 'MM'), substr(m, 3, 1), date_format(v, 'yyyy')))",
+        "if(m LIKE '____-%', date_format(v, 'yyyy-MM-dd'), if(m LIKE '__/%' AND "
+        f"{day_first} IS NULL, date_format(v, 'MM/dd/yyyy'), concat(date_format(v, 'dd'), substr(m, 3, 1),"
+        " date_format(v, 'MM'), substr(m, 3, 1), date_format(v, 'yyyy'))))",
     )
     ip = _let(
         "v", value,
@@ -172,6 +214,9 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     """`docs` with pseudonyms in its text column, and `private_kinds`, the kinds of what was replaced
     in order of place (`card`, `phone`, `date`, `ip`, `ssn`, `email`, `key`).
 
+    A card number is found next to other groups of digits; if a run can be read as cards in several ways,
+    the first group that starts one counts, and of its readings 16 digits before other lengths. A date
+    nn/nn/nnnn is read day first, and month first if that is none; it is written as it was read.
     The text between matches, and matches that do not validate, stay character for character. A null
     text stays null, an empty one empty, and both have no kinds. Whoever knows `key` can undo the
     permutation; choose one and keep it. A column `private_kinds` is replaced. An empty table gives an
@@ -179,11 +224,14 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     """
     kept = [c for c in docs.columns if c != "private_kinds"]
     found = docs.select(*kept, F.regexp_extract_all(text, F.lit(PATTERN), 0).alias("_found"))
-    made = found.withColumn("_made", F.expr(f"transform(_found, m -> {_pseudonym(key)})"))
+    made = found.withColumn(
+        "_made", F.expr(f"transform(transform(_found, m -> {_pieces()}), p -> transform(p, m -> {_pseudonym(key)}))")
+    )
     between = F.split(text, PATTERN, -1)
-    values = F.concat(F.transform("_made", lambda x: x["value"]), F.array(F.lit("")))
+    value = F.transform("_made", lambda x: F.array_join(F.transform(x, lambda y: y["value"]), ""))
+    values = F.concat(value, F.array(F.lit("")))
     joined = F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")
-    kinds = F.filter(F.transform("_made", lambda x: x["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(F.flatten("_made"), lambda x: x["kind"]), lambda k: k.isNotNull())
     columns = [
         F.when(F.size("_found") > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
         for c in kept
