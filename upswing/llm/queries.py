@@ -12,10 +12,13 @@ from upswing.llm import (
     chat,
     decontamination,
     language,
+    mixing,
     near_duplicates,
     packing,
+    periodic_runs,
     pseudonyms,
     sharding,
+    spelling,
     token_counts,
     top_k,
     toxicity,
@@ -179,4 +182,119 @@ def op10(spark, sf):
     return top_k.top_k(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+@register(
+    "op11_source_mix",
+    r"""WITH rated AS (
+         SELECT doc_id, 0.5 + 1.5 * avg(quality) AS weight
+         FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+       d AS (
+         SELECT doc_id, source,
+                coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                (('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+                                     || coalesce(md5(text), '')), 1, 13))::BIGINT + 0.5::DOUBLE)
+                / 4503599627370496 AS u,
+                coalesce(weight, 1.0::DOUBLE) AS weight
+         FROM documents LEFT JOIN rated USING (doc_id)),
+       s AS (
+         SELECT source, sum(size)::BIGINT AS source_size,
+                [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+         FROM d GROUP BY source),
+       r AS (  -- every number of sources that stop at their bound, in order of bound by weight
+         SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2.0 * source_size) OVER before, 0))
+                   / sum(w) OVER after AS level
+         FROM s
+         WINDOW before AS (ORDER BY 2.0 * source_size / w, source NULLS LAST
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                after AS (ORDER BY 2.0 * source_size / w, source NULLS LAST
+                          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+       t AS (
+         SELECT source, source_size,
+                least(2.0 * source_size,
+                      w * coalesce((SELECT max(level) FROM r AS x WHERE 2.0 * x.source_size > x.level * x.w
+                                    AND NOT EXISTS (
+                                      SELECT 1 FROM r AS y WHERE 2.0 * y.source_size > y.level * y.w
+                                      AND (2.0 * y.source_size / y.w < 2.0 * x.source_size / x.w))),
+                                   1e300))::DOUBLE AS target
+         FROM s),
+       k AS (
+         SELECT *, (-ln(u) / weight) AS wait FROM d),
+       c AS (
+         SELECT doc_id, size, source_size, target,
+                CASE WHEN source_size = 0 THEN 0 ELSE floor(target / source_size)::BIGINT END AS epochs,
+                coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY wait / (1 + wait)
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+         FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
+       SELECT doc_id, size, source_size, target,
+              (epochs * size + greatest(0, least(size, floor(target)::BIGINT - epochs * source_size
+                                                       - earlier)))::BIGINT AS taken
+       FROM c""",
+)
+def op11(spark, sf):
+    """Weights by the label of quality: 0.5 for 0, 2 for 1, and 1 for documents without a label."""
+    rated = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("rated_id")).agg(
+        F.avg("quality").alias("quality")
+    )
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    joined = docs.join(rated.filter("quality IS NOT NULL"), F.col("doc_id") == F.col("rated_id"), "left")
+    weight = F.coalesce(0.5 + 1.5 * F.col("quality"), F.lit(1.0))
+    return mixing.mix(joined, weight=weight, keep=["doc_id"])
+
+
+@register("op12_spelling_variants")
+def op12(spark, sf):
+    counts = spelling.word_counts(table(spark, sf, "documents"), typo_divisor=97)
+    return spelling.spelling_groups(counts)
+
+
+def with_repeated_tail(docs: DataFrame) -> DataFrame:
+    """Documents whose crc32 of the id is divisible by ten repeat words from some word on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    n = F.size("tail_words")
+    start = F.pmod(F.col("tail_hash"), n)
+    repeats = 3 + F.pmod(F.col("tail_hash"), F.lit(8))
+    period = 1 + F.floor((n - F.col("tail_start")) / repeats)
+    times = F.ceil((n - F.col("tail_start")) / F.col("tail_period"))
+    block = F.slice("tail_words", F.col("tail_start") + 1, F.col("tail_period").cast("int"))
+    made = F.concat(
+        F.slice("tail_words", F.lit(1), F.col("tail_start")),
+        F.flatten(F.array_repeat(block, times.cast("int"))),
+    )
+    text = F.when(n > 0, F.array_join(F.slice(made, F.lit(1), n), " ")).otherwise(F.col("text"))
+    added = {
+        "tail_hash": F.floor(hashed / 10),
+        "tail_words": F.when(hashed % 10 == 0, words),
+        "tail_start": F.when(n > 0, start).cast("int"),
+        "tail_period": period,
+        "text": text,
+    }
+    for name, column in added.items():
+        docs = docs.withColumn(name, column)
+    return docs.drop(*(set(added) - {"text"}))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf):
+    docs = with_repeated_tail(table(spark, sf, "documents").select("doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    longer = lambda a, b: b["length"] * a["period"] > a["length"] * b["period"]
+    best = F.aggregate(
+        "runs",
+        F.try_element_at("runs", F.lit(1)),
+        lambda a, b: F.when(longer(a, b), b).otherwise(a),
+    )
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    with_best = found.withColumn("best", best)
+    return with_best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
