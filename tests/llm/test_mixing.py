@@ -67,7 +67,9 @@ def test_same_as_sorting_whole_sources(spark, monkeypatch, few):
     monkeypatch.setattr(M, "DIGIT_BITS", 3)
     rows = made_rows()
     docs = spark.createDataFrame(rows, SCHEMA)
-    found = M.mix(docs, weight=F.when(F.col("doc_id") % 3 == 0, 4.0).otherwise(0.25), keep=["doc_id"])
+    weight = F.when(F.col("id") % 3 == 0, 4.0).otherwise(0.25)
+    weights = docs.select(F.col("doc_id").alias("id")).withColumn("weight", weight)
+    found = M.mix(docs, document_weights=weights, keep=["doc_id"])
     same(found.collect(), brute(rows, lambda i: 4.0 if i % 3 == 0 else 0.25))
 
 
@@ -101,7 +103,8 @@ def test_heavier_documents_come_first(spark):
     rows = [(i, "ab"[i >= 3000], "w") for i in range(6000)]
     docs = spark.createDataFrame(rows, SCHEMA)
     # Of 1.5 times all words, b gets 1.5 * 6000 / 4 = 2250 of its 3000.
-    mixed = M.mix(docs, weight=F.when(F.col("doc_id") % 2 == 0, 8.0).otherwise(1.0), weights=(3, 1))
+    heavy_ones = docs.filter("doc_id % 2 = 0").selectExpr("doc_id AS id", "8.0D AS weight")
+    mixed = M.mix(docs, document_weights=heavy_ones, weights=(3, 1))
     chosen = [r["doc_id"] for r in mixed.filter("source = 'b' AND taken = 1").collect()]
     heavy = sum(i % 2 == 0 for i in chosen)
     # Exponential races: the share taken by time t is 1 - exp(-w t); both add up to 2250 at t = 0.695.
@@ -112,8 +115,8 @@ def test_odd_rows_weights_and_names(spark):
     rows = [(1, None, None), (2, "a", ""), (3, "a", " \t"), (4, "b", "x y"), (4, "b", "x y"), (None, "b", "z"),
             (5, "\U0001d4b3", "p q r"), (6, "￿", "s t")]
     docs = spark.createDataFrame([(*r, 7, 8, 9) for r in rows], SCHEMA + ", size int, key int, cell int")
-    odd = F.when(F.col("doc_id") == 4, float("nan")).when(F.col("doc_id") == 5, -1.0)
-    found = M.mix(docs, weight=odd)
+    odd = [(4, float("nan")), (5, -1.0), (6, None), (None, 2.0)]
+    found = M.mix(docs, document_weights=spark.createDataFrame(odd, "id long, weight double"))
     assert found.columns == ["doc_id", "source", "text", "key", "cell", *M._ADDED]
     got = found.collect()
     assert len(got) == len(rows) and {r["key"] for r in got} == {8}

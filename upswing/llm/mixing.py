@@ -34,9 +34,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def uniform(document_id: Column, text: Column, seed: str) -> Column:
-    """A number in (0, 1) out of an md5 sum: 52 bits, never 0 or 1."""
-    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (document_id, F.md5(text))]
+def uniform(document_id: Column, digest: Column, seed: str) -> Column:
+    """A number in (0, 1) out of an md5 sum: 52 bits, never 0 or 1. `digest` is the text's md5."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (document_id, digest)]
     sum_ = F.md5(F.concat_ws(":", F.lit(seed), *parts))
     return (F.conv(F.substring(sum_, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
@@ -135,7 +135,7 @@ def mix(
     source: str = "source",
     document_id: str = "doc_id",
     text: str = "text",
-    weight: Column | float = 1.0,
+    document_weights: DataFrame | None = None,
     keep: Sequence[str] | None = None,
     weights: Sequence[float] = SOURCE_WEIGHTS,
     share: float = SHARE,
@@ -147,8 +147,9 @@ def mix(
     `size` is the number of words of the text. All sources together are to give `share` times their
     words; `targets` says how much each gives. `taken` is how many words of the document are taken, repeats
     counted: whole epochs times its size, and for documents chosen beyond these their size once more.
-    The taken words of a source add up to its target, rounded down. `weight` (of a document, positive)
-    raises the chance to be chosen early; null, zero, negative or NaN counts as 1e-9.
+    The taken words of a source add up to its target, rounded down. `document_weights` (`id, weight`, one
+    row per id) raises the chance to be chosen early: documents that it lacks weigh 1, and null, zero,
+    negative or NaN weights count as 1e-9. It is joined after texts have become sizes and checksums.
 
     A null or empty text has size 0 and takes nothing. A null source is a source of its own, a null id
     counts as an empty one. Rows equal in id and text have equal keys; where the budget falls among them,
@@ -156,18 +157,23 @@ def mix(
     other names never clash. An empty table gives an empty table.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c not in _ADDED]
-    given = F.coalesce(F.nanvl(weight if isinstance(weight, Column) else F.lit(weight), F.lit(0.0)),
-                       F.lit(0.0))
-    wait = -F.log(uniform(F.col(document_id), F.col(text), seed)) / F.greatest(given, F.lit(1e-9))
-    rows = staged(
-        docs.select(
-            F.struct(*names).alias("row"),
-            F.col(source).alias("source"),
-            word_count(F.col(text)).alias("size"),
-            (wait / (1 + wait)).alias("key"),
-        ),
-        "mix",
+    measured = docs.select(
+        F.struct(*names).alias("row"),
+        F.col(source).alias("source"),
+        F.col(document_id).alias("id"),
+        word_count(F.col(text)).alias("size"),
+        F.md5(F.col(text)).alias("digest"),
     )
+    weight = F.lit(1.0)
+    if document_weights is not None:
+        own = document_weights.select(
+            F.col("id").alias("weighted_id"), F.col("weight"), F.lit(True).alias("weighted")
+        )
+        measured = measured.join(own, F.col("id") == F.col("weighted_id"), "left")
+        given = F.greatest(F.coalesce(F.nanvl("weight", F.lit(0.0)), F.lit(0.0)), F.lit(1e-9))
+        weight = F.when(F.col("weighted"), given).otherwise(weight)
+    wait = -F.log(uniform(F.col("id"), F.col("digest"), seed)) / weight
+    rows = staged(measured.select("row", "source", "size", (wait / (1 + wait)).alias("key")), "mix")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
     plans = staged(
@@ -180,7 +186,7 @@ def mix(
     )
     cuts = _cuts(rows, plans)
     known = plans.join(cuts, F.col("source").eqNullSafe(F.col("cut_source")), "left")
-    known = known.drop("cut_source").withColumnRenamed("source", "plan_source")
+    known = staged(known.drop("cut_source").withColumnRenamed("source", "plan_source"), "mix-plans")
     met = rows.join(known, F.col("source").eqNullSafe(F.col("plan_source")))
     # Rows with the cut's key are equal, so what is left goes to them in equal parts.
     at_cut = F.floor(F.col("cut_words") * F.col("size") / F.col("cut_size")).cast("long")

@@ -231,13 +231,11 @@ def op10(spark, sf):
 )
 def op11(spark, sf):
     """Weights by the label of quality: 0.5 for 0, 2 for 1, and 1 for documents without a label."""
-    rated = table(spark, sf, "labels").groupBy(F.col("doc_id").alias("rated_id")).agg(
-        F.avg("quality").alias("quality")
+    labels = table(spark, sf, "labels").filter("quality IS NOT NULL")
+    rated = labels.groupBy(F.col("doc_id").alias("id")).agg(
+        (0.5 + 1.5 * F.avg("quality")).alias("weight")
     )
-    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
-    joined = docs.join(rated.filter("quality IS NOT NULL"), F.col("doc_id") == F.col("rated_id"), "left")
-    weight = F.coalesce(0.5 + 1.5 * F.col("quality"), F.lit(1.0))
-    return mixing.mix(joined, weight=weight, keep=["doc_id"])
+    return mixing.mix(table(spark, sf, "documents"), document_weights=rated, keep=["doc_id"])
 
 
 @register("op12_spelling_variants")
