@@ -35,7 +35,7 @@ SEGMENT_BLOCKS = 1 << 16  # a piece of a filter that one task builds: 512 KB
 BROADCAST_SEGMENTS = 96  # of filters that are broadcast at a time: 48 MB
 LONGEST_SHARD = 48  # words of this length and more share a filter
 HELD_WORDS = 200_000  # distinct words that a task adds up before it sends them on
-CELLS = 400_000  # letters of words whose edits are made at a time
+CELLS = 30_000  # letters of words whose edits are made at a time: few enough for the processor's cache
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _RUN = re.compile("[a-zÀ-ÿ]+")
 
@@ -118,8 +118,9 @@ def hashes(words: pd.Series) -> np.ndarray:
 
 
 def edits(words: list[str], alphabet: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """For words of one length: rows, hashes and length of what they become by one deletion, and by one
-    replacement with a greater letter. No word gives the same edit twice."""
+    """For words of one length: what they become by one deletion, and by one replacement with a greater
+    letter, as places (row times length plus the letter's place), hashes and length. No word gives the
+    same edit twice."""
     length = len(words[0])
     codes = _letters(words, length)
     powers = _powers(length)
@@ -131,12 +132,14 @@ def edits(words: list[str], alphabet: list[int]) -> Iterator[tuple[np.ndarray, n
         ahead = whole[:, None] - behind - terms
         first = np.ones(codes.shape, bool)  # of equal letters in a row
         first[:, 1:] = codes[:, 1:] != codes[:, :-1]
-        yield np.nonzero(first)[0], (ahead + behind * inverse)[first], length - 1
-    rest = whole[:, None] - terms
+        yield np.flatnonzero(first), (ahead + behind * inverse)[first], length - 1
+    rest = (whole[:, None] - terms).ravel()
+    factors = np.tile(powers, len(words))
+    flat = codes.astype(np.uint32).ravel()
     for letter in alphabet:
-        rows, places = np.nonzero(codes < letter)
+        places = np.flatnonzero(flat < letter)
         new = mix(np.array([letter], np.uint64))[0]
-        yield rows, rest[rows, places] + new * powers[places], length
+        yield places, rest[places] + new * factors[places], length
 
 
 def _shard(length: int) -> int:
@@ -144,14 +147,24 @@ def _shard(length: int) -> int:
 
 
 def _places(keys: np.ndarray, length: np.ndarray | int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Block and bits of each key in a filter."""
+    """Block of each key in a filter, and the number that its bits are taken from."""
     with np.errstate(over="ignore"):
         mixed = mix(keys + np.asarray(length).astype(np.uint64) * np.uint64(_BASE))
     block = ((mixed >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    bits = np.zeros(len(mixed), np.uint64)
-    for k in range(BITS):
-        bits |= np.uint64(1) << ((mixed >> np.uint64(6 * k)) & np.uint64(63))
-    return block.astype(np.int64), bits
+    return block.view(np.int64), mixed
+
+
+def _bit(mixed: np.ndarray, k: int) -> np.ndarray:
+    return (mixed >> np.uint64(6 * k)) & np.uint64(63)
+
+
+def _known(words: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+    """Where all bits are set in the blocks; most keys fail at the first one."""
+    one = np.uint64(1)
+    hits = np.flatnonzero((words >> _bit(mixed, 0)) & one)
+    for k in range(1, BITS):
+        hits = hits[(words[hits] >> _bit(mixed[hits], k)) & one != 0]
+    return hits
 
 
 def _filters(vocabulary: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -167,7 +180,10 @@ def _filters(vocabulary: DataFrame) -> tuple[DataFrame, dict[int, int]]:
             for one in np.unique(shards).tolist():
                 at = shards == one
                 keys = batch["key"].to_numpy()[at].view(np.uint64)
-                block, bits = _places(keys, lengths[at], blocks[one])
+                block, mixed = _places(keys, lengths[at], blocks[one])
+                bits = np.zeros(len(mixed), np.uint64)
+                for k in range(BITS):
+                    bits |= np.uint64(1) << _bit(mixed, k)
                 yield pd.DataFrame(
                     {
                         "shard": one,
@@ -249,23 +265,23 @@ def _positives(
                 step = max(1, CELLS // length)
                 for first in range(0, len(rows), step):
                     some = rows[first : first + step]
-                    for row, key, size in edits(words.iloc[some].tolist(), alphabet):
+                    for places, key, size in edits(words.iloc[some].tolist(), alphabet):
                         shard = _shard(size)
                         if shard not in filled or not len(key):
                             continue
-                        block, bits = _places(key, size, blocks[shard])
-                        block -= part[shard][0] * SEGMENT_BLOCKS
-                        here = np.flatnonzero((block >= 0) & (block < len(filled[shard])))
-                        if not len(here):
-                            continue
-                        bits = bits[here]
-                        hit = here[(filled[shard][block[here]] & bits) == bits]
+                        block, mixed = _places(key, size, blocks[shard])
+                        if len(filled[shard]) == blocks[shard]:
+                            hit = _known(filled[shard][block], mixed)
+                        else:  # a part of the filter
+                            block = block - part[shard][0] * SEGMENT_BLOCKS
+                            here = np.flatnonzero((block >= 0) & (block < len(filled[shard])))
+                            hit = here[_known(filled[shard][block[here]], mixed[here])]
                         if len(hit):
                             yield pd.DataFrame(
                                 {
                                     "key": key[hit].view(np.int64),
                                     "length": np.int32(size),
-                                    "from_key": keys[some[row[hit]]],
+                                    "from_key": keys[some[places[hit] // length]],
                                 }
                             )
 
