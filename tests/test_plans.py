@@ -4,14 +4,18 @@ import random
 
 import pytest
 
-from tests.helpers import executed_plan, planned
+from pyspark.sql import functions as F
+
+from tests.helpers import collected, executed_plan, planned
 from upswing import SPOTIFY
+from upswing.operators.checks import footer_volumes
 from upswing.operators.counting import count_windows
 from upswing.operators.digests import distinct_alerts, top_alerts
+from upswing.operators.fingerprints import whole_build_diff
 from upswing.operators.trends import ranked_by
 from upswing.plans.daily import days_between
 from upswing.plans.velocity import above_cut
-from upswing.sources.tables import staged
+from upswing.sources.tables import staged, work_path, write_days
 from verification import inputs
 from verification.queries import alerts_of, base_of, trends_of
 
@@ -48,11 +52,42 @@ def test_items_below_the_cut_are_dropped_before_the_pair_join(spark, sf_dir, no_
 
 
 def test_backfill_moves_counts_once(spark, sf_dir, no_broadcast):
+    """Daily counts move to their key, as they are; rows per report day are made after that."""
     days = days_between("2024-01-20", "2024-01-28")
     lines = planned(count_windows(inputs.streams(spark, sf_dir), SPOTIFY, days)).splitlines()
-    copied = next(i for i, line in enumerate(lines) if "Generate" in line)
-    assert not any("Exchange" in line for line in lines[:copied])
     assert sum("Exchange hashpartitioning" in line for line in lines) == 2
+    moved = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    assert sum("Generate" in line for line in lines[:moved]) == 3
+    assert not any("Generate" in line for line in lines[moved:])
+    changes = next(line for line in reversed(lines) if "Generate" in line)
+    assert changes.count("date_add") == 3  # three changes per daily count, whatever the window
+
+
+def test_volumes_come_from_footers(spark, sf_dir):
+    path = work_path(spark, "volumes")
+    write_days(inputs.streams(spark, sf_dir), path)
+    plan = planned(footer_volumes(spark, {"streams": path}, "2024-01-10"))
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [part_day]" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_diff_reads_only_days_that_differ(spark):
+    rows = [(day, "SE", i, i) for day in range(1, 9) for i in range(20)]
+    table = spark.createDataFrame(rows, "d int, country_code string, k int, v int").selectExpr(
+        "make_date(2024, 1, d) AS part_day", "country_code", "k", "v"
+    )
+    paths = [work_path(spark, n) for n in ("one", "two")]
+    write_days(table, paths[0])
+    write_days(table.withColumn("v", F.expr("if(day(part_day) = 3 AND k = 7, 0, v)")), paths[1])
+    one, two = (spark.read.parquet(p) for p in paths)
+    keys = ["part_day", "country_code", "k"]
+    diff = whole_build_diff(one, two, keys, ["part_day", "country_code"])
+    assert collected(diff, "k", "rows_left", "rows_right", "changed") == {(7, 1, 1, "v")}
+    plan = planned(diff)
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "part_day" in line]
+    builds = [line for line in scans if "v#" in line]
+    assert len(builds) == 2 and all("= 2024-01-03)" in line for line in builds)
+    assert whole_build_diff(one, one, keys, ["part_day", "country_code"]).isEmpty()
 
 
 def test_the_cut_keeps_every_top_rank(spark):

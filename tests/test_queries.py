@@ -1,27 +1,12 @@
-"""Registered queries against their SQL, over the whole smallest tables. Set ALL_QUERIES=1 to run
-every query here; `python -m verification.compare <dir>` does so for any scale."""
-
-import os
+"""Registered queries against their SQL, over the whole smallest tables;
+`python -m verification.compare <dir>` does so for any scale."""
 
 import pytest
 
 from verification.compare import differences
 from verification.queries import QUERIES, SQL
 
-# Long ones whose parts and siblings run below.
-LONG = {
-    "trending_countries_spotify", "trending_countries_apple_cut", "trending_regions_spotify_cut",
-    "trending_regions_apple", "rank_region", "group_mean_std_region", "velocity_score",
-    "alerts_artist_spotify", "alerts_label_spotify", "alerts_artist_apple", "alerts_all",
-    "alerts_distinct", "digest_top10", "digest_documents", "message_count", "ndjson_roundtrip",
-    "audit_counts", "tie_profile", "avg_velocity", "metadata_enrich", "week_deltas",
-    "share_of_total", "backfill_range", "cohort_archive", "build_diff", "messages",
-    "geo_rollup_levels", "region_whitelist", "table_overwrite", "above_average", "enriched_only",
-}
-CHOSEN = [n for n in QUERIES if os.environ.get("ALL_QUERIES") or n not in LONG]
-
-
-@pytest.mark.parametrize("name", CHOSEN)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, sql_tables, sf_dir, name):
     assert differences(spark, sql_tables, sf_dir, name) is None
 

@@ -1,6 +1,8 @@
 from datetime import date, timedelta
+from uuid import uuid4
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import DAY, collected, planned, sorted_rows, stream_table
 from upswing import APPLE, SPOTIFY
@@ -11,11 +13,27 @@ from upswing.operators.checks import (
     readiness,
     tie_profile,
 )
-from upswing.plans.daily import Paths, Sources, days_between, days_listed, rebuild, written_days
+from upswing.operators.fingerprints import (
+    changed_groups,
+    fingerprints,
+    report_days_of,
+    whole_build_diff,
+)
+from upswing.plans import daily
+from upswing.plans.daily import (
+    Paths,
+    Sources,
+    days_between,
+    days_listed,
+    rebuild,
+    rebuild_changed,
+    written_days,
+)
 from upswing.plans.velocity import trending, velocity_base
 from upswing.schemas import NAMES, STREAMS, conform
 from upswing.sources import tables as tables_io
-from upswing.sources.tables import create_day_table, read_table, work_path, write_days
+from upswing.sources.documents import broken_user_docs, read_user_docs
+from upswing.sources.tables import create_day_table, read_table, swap_days, work_path, write_days
 from verification import inputs
 
 OTHER = DAY - timedelta(1)
@@ -221,3 +239,111 @@ def test_writing_nothing_at_all_empties_the_listed_days(spark):
     assert collected(read_table(spark, path), "part_day", "v") == {(OTHER, 2)}
     write_days(rows.limit(0), path, days=[OTHER])
     assert read_table(spark, path, rows.schema).isEmpty()
+
+
+@pytest.fixture()
+def day_table(spark):
+    path, name = work_path(spark, "it's swapped"), f"swapped_{uuid4().hex}"
+    create_day_table(spark, name, day_rows(spark, (DAY, 1)).schema, path)
+    swap_days(day_rows(spark, (DAY, 1), (OTHER, 2), (OTHER, 3)), name, path)
+    return name, path
+
+
+def test_swapped_days_replace_whole_days(spark, day_table):
+    name, path = day_table
+    swap_days(day_rows(spark, (DAY, 4)), name, path, days=[DAY])
+    assert collected(spark.table(name), "part_day", "v") == {(DAY, 4), (OTHER, 2), (OTHER, 3)}
+    with pytest.raises(Exception, match="not listed"):
+        swap_days(day_rows(spark, (DAY, 5), (OTHER, 6)), name, path, days=[DAY])
+    assert collected(spark.table(name), "part_day", "v") == {(DAY, 4), (OTHER, 2), (OTHER, 3)}
+    swap_days(day_rows(spark, (DAY, 7)), name, path, days=[DAY, OTHER])
+    assert collected(spark.newSession().table(name), "part_day", "v") == {(DAY, 7)}
+    swap_days(day_rows(spark, (DAY, 7)).limit(0), name, path, days=[DAY])
+    assert not has_rows(spark.table(name))
+
+
+def test_a_failure_between_the_steps_leaves_the_old_days(spark, day_table, monkeypatch):
+    name, path = day_table
+    old = {(DAY, 1), (OTHER, 2), (OTHER, 3)}
+    changed = tables_io._change_over
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(tables_io, "_change_over", lost)
+    with pytest.raises(OSError):
+        swap_days(day_rows(spark, (DAY, 8), (OTHER, 9)), name, path)
+    assert collected(spark.table(name), "part_day", "v") == old
+
+    def one_only(session, table, places):
+        day = min(places)
+        changed(session, table, {day: places[day]})
+        raise OSError("driver lost")
+
+    monkeypatch.setattr(tables_io, "_change_over", one_only)
+    with pytest.raises(OSError):
+        swap_days(day_rows(spark, (DAY, 8), (OTHER, 9)), name, path)
+    assert collected(spark.table(name), "part_day", "v") == {(DAY, 1), (OTHER, 9)}
+
+
+def test_fingerprints_do_not_depend_on_order_and_see_every_change(spark):
+    rows = [(d, k, v) for d in range(4) for k, v in ((1, "a"), (1, "a"), (None, "b"), (2, None))]
+    schema = "g int, k int, v string"
+    before = fingerprints(spark.createDataFrame(rows, schema), ["g"])
+    same = fingerprints(spark.createDataFrame(rows[::-1], schema).repartition(5), ["g"])
+    assert changed_groups(before, same, ["g"]).isEmpty()
+    later = rows[:4] + [(1, 1, "a"), (1, 1, "a"), (1, None, "b"), (1, None, "2")]
+    later += [(2, 1, "c"), (2, 1, "c"), (2, None, "b"), (2, 2, None)] + [(None, 1, "a")] * 3
+    found = changed_groups(before, fingerprints(spark.createDataFrame(later, schema), ["g"]), ["g"])
+    assert collected(found, "g", "change", "rows_before", "rows_now") == {
+        (1, "changed", 4, 4), (2, "changed", 4, 4), (3, "gone", 4, 0), (None, "new", 0, 3),
+    }
+    none = before.limit(0)
+    assert changed_groups(none, none, ["g"]).isEmpty()
+    assert changed_groups(none, before, ["g"]).count() == 4
+
+
+def test_report_days_that_see_a_changed_day(spark):
+    days = spark.createDataFrame([(DAY - timedelta(20),), (DAY,)], "part_day date")
+    found = {r[0] for r in report_days_of(days, DAY - timedelta(9), DAY + timedelta(2)).collect()}
+    assert found == {DAY - timedelta(n) for n in (-2, -1, 0, 7, 8, 9)}
+
+
+def test_only_days_with_changed_streams_are_built_again(spark, sources, monkeypatch):
+    built = []
+    monkeypatch.setattr(daily, "rebuild", lambda *a, **k: built.append(a[3]))
+    paths, marks = Paths("b", "c", "r"), work_path(spark, "marks")
+    late = DAY - timedelta(11)
+    early = sources.streams.filter((F.col("part_day") != late) | F.col("isrc").endswith("1"))
+    for streams in (early, sources.streams, sources.streams):
+        version = Sources(streams, sources.resources, sources.names)
+        days = rebuild_changed(spark, version, SPOTIFY, DAY - timedelta(13), DAY + timedelta(3), paths, marks)
+        assert built[-1] == days
+    assert [len(days) for days in built] == [17, 14, 0]
+    assert built[1] == days_between(late, DAY + timedelta(3))
+
+
+def test_whole_builds_compared(spark):
+    schema = "day int, k int, v int, s string"
+    left = [(1, 1, 5, "a"), (1, 2, 5, "a"), (1, 2, 5, "a"), (1, None, 1, None), (2, 1, 1, "x")]
+    right = [(1, 1, 5, "b"), (1, 2, 5, "a"), (1, None, None, "q"), (1, 9, 1, "n"), (2, 1, 1, "x")]
+    one, two = (spark.createDataFrame(rows, schema) for rows in (left, right))
+    diff = whole_build_diff(one, two, ["day", "k"], ["day"])
+    assert collected(diff, "day", "k", "rows_left", "rows_right", "changed") == {
+        (1, 1, 1, 1, "s"), (1, 2, 1, 0, None), (1, None, 1, 1, "v,s"), (1, 9, 0, 1, None),
+    }
+    assert whole_build_diff(one, one.repartition(3), ["day", "k"], ["day"]).isEmpty()
+    assert whole_build_diff(one.limit(0), two, ["day", "k"], ["day"]).count() == 5
+
+
+def test_broken_documents_are_kept_apart(spark):
+    path = work_path(spark, "docs")
+    lines = ['{"_id": "u1", "active": true}', '{"_id": "u2", "active": "yes"}', '{"id": "u3"}', "[]", "",
+             '{"_id": "u4", "app', '[{"_id": "u5"}, {"_id": "u6"}]', '{"_id": null}']
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(path)
+    assert collected(read_user_docs(spark, path), "_id", "active") == {("u1", True)}
+    assert collected(broken_user_docs(spark, path), "reason", "record") == {
+        ("a field has another type than declared", lines[1]), ("no _id", lines[2]),
+        ("not a JSON object", lines[3]), ("not a JSON object", lines[5]),
+        ("not a JSON object", lines[6]), ("no _id", lines[7]),
+    }

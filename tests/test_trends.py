@@ -1,4 +1,6 @@
+import random
 from datetime import timedelta
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tests.helpers import DAY, base_table, by_isrc, collected, sorted_rows, stream_table
 from upswing import APPLE, SPOTIFY
+from upswing.functions.exact import exact_mean, exact_parts, exact_sum, exact_total
+from upswing.operators.alerts import above_average, average_velocity
 from upswing.operators.counting import count_window
 from upswing.operators.trends import (
     difference_stats,
@@ -17,6 +21,8 @@ from upswing.operators.trends import (
 )
 from upswing.plans.velocity import trending, velocity_base
 from upswing.schemas import NAMES, RESOURCES
+from upswing.sources.tables import staged
+from verification.queries import base_of
 
 
 def both_weeks(code, name, isrc, tw, lw, *region):
@@ -226,3 +232,59 @@ def test_hot_pair_gives_the_same_trends_when_every_join_shuffles_and_splits(spar
         spark__sql__adaptive__advisoryPartitionSizeInBytes="4KB",
     )
     assert sorted_rows(trending(base, SPOTIFY, top_n=40)) == plain
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    """Same bits under different partitionings, the mean of equal values is that value."""
+    pick, rows = random.Random(3), []
+    for group in range(30):
+        size = pick.randint(1, 60)
+        same = [pick.uniform(0, 3)] * size
+        mixed = [pick.uniform(-10, 10) * 10 ** pick.randint(-9, 2) for _ in range(size)]
+        rows += [(group, v, pick.randint(1, 10**6)) for v in (mixed if group % 3 else same)]
+    table = spark.createDataFrame(rows + [(0, None, 5)], "g int, v double, n long")
+    seen = []
+    for parts in (1, 3, 17):
+        dealt = table.repartition(parts, F.rand(parts)).withColumns(
+            {"p": exact_parts(F.col("v")), "w": exact_parts(F.col("v"), F.col("n"))}
+        )
+        summed = dealt.groupBy("g").agg(
+            exact_sum("p").alias("p"), exact_sum("w").alias("w"), F.count("v").alias("k"),
+            F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).alias("n"), F.max("v").alias("top"),
+        )
+        seen.append(
+            {
+                tuple(r)
+                for r in summed.select(
+                    "g", exact_mean(F.col("p"), F.col("k")), exact_mean(F.col("w"), F.col("n")),
+                    exact_total(F.col("p")), "top",
+                ).collect()
+            }
+        )
+    assert seen[0] == seen[1] == seen[2]
+    for group, mean, weighted, total, top in seen[0]:
+        values = [(Fraction(v), n) for g, v, n in rows if g == group]
+        exact = sum(v for v, _ in values)
+        by_weight = sum(v * n for v, n in values) / sum(n for _, n in values)
+        assert mean == pytest.approx(float(exact / len(values)), rel=1e-15, abs=1e-25)
+        assert weighted == pytest.approx(float(by_weight), rel=1e-15, abs=1e-25)
+        assert total == pytest.approx(float(exact), rel=1e-15, abs=1e-25) and mean <= top
+        if group % 3 == 0:
+            assert mean == weighted == top
+
+
+def test_rebuilt_scores_have_the_same_bits(spark, sf_dir, settings):
+    base = staged(base_of(spark, sf_dir, SPOTIFY), "base")
+    first = {tuple(r) for r in trending(base, SPOTIFY).collect()}
+    settings(spark__sql__shuffle__partitions="13")
+    again = trending(base.repartition(7, F.rand(1)), SPOTIFY)
+    assert {tuple(r) for r in again.collect()} == first
+
+
+def test_averages_keep_days_apart(spark):
+    rows = [(DAY, "SE", 1.0), (DAY, "SE", 3.0), (DAY - timedelta(1), "SE", 9.0), (DAY, "NO", -1.0)]
+    trends = spark.createDataFrame(rows, "report_date date, country_code string, rank_adj_score double")
+    assert collected(average_velocity(trends), "report_date", "avg_velocity") == {
+        (DAY, 2.0), (DAY - timedelta(1), 9.0),
+    }
+    assert collected(above_average(trends), "rank_adj_score") == {(3.0,), (9.0,)}

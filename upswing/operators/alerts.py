@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from upswing.functions.exact import exact_mean, exact_parts, exact_sum
 from upswing.functions.scalar import released_in_window
 from upswing.partners import APPLE, SPOTIFY, Partner
 from upswing.schemas import SUBSCRIPTIONS, trend_schema, trend_sources
@@ -20,14 +21,19 @@ def alert_columns() -> list[str]:
     return [*SUBSCRIPTIONS.names, *trend_schema(SPOTIFY).names, *ALERT_EXTRAS]
 
 
+MARKET_DAY = ["report_date", "country_code"]
+
+
 def average_velocity(trends: DataFrame) -> DataFrame:
-    """Mean of the positive scores per country, kept from exceeding the largest one by rounding:
-    in a country whose scores are all equal, each of them is at the average."""
+    """Mean of the positive scores per day and country. The sum is exact, so the mean does not depend on
+    the order of a shuffle, and where all scores are equal each of them is at the average."""
     score = F.col("rank_adj_score")
     return (
         trends.filter(score > 0)
-        .groupBy("country_code")
-        .agg(F.least(F.avg(score), F.max(score)).alias("avg_velocity"))
+        .withColumn("parts", exact_parts(score))
+        .groupBy(*MARKET_DAY)
+        .agg(exact_sum("parts").alias("total"), F.count(score).alias("n"))
+        .select(*MARKET_DAY, exact_mean(F.col("total"), F.col("n")).alias("avg_velocity"))
     )
 
 
@@ -36,7 +42,7 @@ def one_image(images: DataFrame) -> DataFrame:
 
 
 def above_average(trends: DataFrame) -> DataFrame:
-    return trends.join(average_velocity(trends), "country_code").filter(
+    return trends.join(average_velocity(trends), MARKET_DAY).filter(
         F.col("rank_adj_score") >= F.col("avg_velocity")
     )
 

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Cohort days kept, and the pattern of their partition codes.
+# Cohort days kept by default, and the pattern of their partition codes.
 COHORT_DAYS = 365
 PARTITION_CODE = "1%03d0101"
 
 
-def cohort_archive(streams: DataFrame, release_dates: DataFrame) -> DataFrame:
-    """Streams per track and day since first stream, 0 to 364, with the partition code of the day.
+def cohort_archive(
+    streams: DataFrame, release_dates: DataFrame, cohort_days: int = COHORT_DAYS
+) -> DataFrame:
+    """Streams per track and day since first stream, 0 up to, not including, `cohort_days`, with the
+    partition code of the day (which has room for 1000).
 
     Streams are counted per track and day before the dates are joined, so a hit track meets its
     date once per day and not once per stream.
@@ -21,7 +24,7 @@ def cohort_archive(streams: DataFrame, release_dates: DataFrame) -> DataFrame:
     return (
         daily.join(release_dates, "isrc")
         .withColumn("days_since_first_stream", age)
-        .filter(F.col("days_since_first_stream").between(0, COHORT_DAYS - 1))
+        .filter(F.col("days_since_first_stream").between(0, cohort_days - 1))
         .select(
             "isrc", "part_day", "days_since_first_stream",
             F.format_string(PARTITION_CODE, "days_since_first_stream").alias("partition_code"),

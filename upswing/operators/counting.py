@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upswing.functions.scalar import (
+    WEEK_DAYS,
     WINDOW_DAYS,
     as_date,
     field_region_code,
@@ -72,34 +73,92 @@ def needed_days(days: list[date]) -> list[date]:
     return sorted({day - timedelta(back) for day in days for back in range(WINDOW_DAYS)})
 
 
-def count_windows(streams: DataFrame, partner: Partner, days: list[date]) -> DataFrame:
-    """The same for many report days at once.
-
-    Raw streams are counted per stream day first; only those counts are copied to the (at most 14)
-    report days that look at them. The counts move once, to where their key is added up, and are
-    copied there. Both day filters are literals, so partitions are pruned.
-    """
+def count_days(streams: DataFrame, partner: Partner, days: list[date]) -> DataFrame:
+    """Counts per stream day, market and item, of the stream days that the report days look at. The
+    day filter is literal, so partitions are pruned."""
     located, keys = market_columns(
         streams.filter(F.col("part_day").isin(needed_days(days))), partner
     )
-    daily = located.groupBy("part_day", *keys, "isrc").agg(*source_counters(partner))
-    served = daily.repartition(*keys, "isrc").withColumn(
-        "report_date",
-        F.explode(F.sequence(F.col("part_day"), F.date_add("part_day", WINDOW_DAYS - 1))),
-    ).filter(F.col("report_date").isin(days))
-    labelled = served.withColumn("week", week_label(F.col("part_day"), F.col("report_date")))
-    return labelled.groupBy("report_date", *keys, "isrc", "week").agg(
-        *(F.sum(c).alias(c) for c in partner.counters)
+    return located.groupBy("part_day", *keys, "isrc").agg(*source_counters(partner))
+
+
+def sliding_weeks(daily: DataFrame, counters: list[str]) -> DataFrame:
+    """Sums of both weeks per key as they change from day to day: `since` and `until` (not included)
+    with the counters of each week as `tw` and `lw`. Keys are all columns but the day and the counters.
+
+    A day's counts enter this week on that day, pass to last week seven days later and leave seven days
+    after that. These three changes, whatever the window's length, are added up per key and day, and
+    their running sum holds until the key changes again. Daily counts move once, to where their key is;
+    a key has one row per day at most. Spans in which both weeks are empty are left out.
+    """
+    keys = [c for c in daily.columns if c not in ("part_day", *counters)]
+
+    def change(after: int, this_week: int, last_week: int) -> Column:
+        moved = [
+            (F.col(c) * sign).alias(f"{c}_{week}")
+            for week, sign in (("tw", this_week), ("lw", last_week))
+            for c in counters
+        ]
+        return F.struct(F.date_add("part_day", after).alias("since"), *moved)
+
+    changes = F.array(change(0, 1, 0), change(WEEK_DAYS, -1, 1), change(WINDOW_DAYS, 0, -1))
+    names = [f"{c}_{week}" for week in ("tw", "lw") for c in counters]
+    by_key = Window.partitionBy(*keys).orderBy("since")
+    running = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = (
+        daily.repartition(*keys)
+        .select(*keys, F.inline(changes))
+        .groupBy(*keys, "since")
+        .agg(*(F.sum(name).alias(name) for name in names))
+        .select(
+            *keys, "since", F.lead("since").over(by_key).alias("until"),
+            *(F.sum(name).over(running).alias(name) for name in names),
+        )
+    )
+
+    def week(suffix: str) -> Column:
+        return F.struct(*(F.col(f"{c}_{suffix}").alias(c) for c in counters)).alias(suffix)
+
+    filled = summed.filter((F.col("streams_tw") > 0) | (F.col("streams_lw") > 0))
+    return filled.select(*keys, "since", "until", week("tw"), week("lw"))
+
+
+def on_report_days(weeks: DataFrame, days: list[date]) -> DataFrame:
+    """`report_date`, `week` and the counters out of `sliding_weeks`, for the given days: each row made
+    here is a row of the result. A filled span is seven days long at most."""
+    both = F.array(
+        *(F.struct(F.lit(w.upper()).alias("week"), F.col(f"{w}.*")) for w in ("tw", "lw"))
     )
+    seen = F.sequence(F.col("since"), F.date_sub("until", 1))
+    rest = [c for c in weeks.columns if c not in ("since", "until", "tw", "lw")]
+    dated = weeks.select(*rest, "tw", "lw", F.explode(seen).alias("report_date"))
+    return (
+        dated.filter(F.col("report_date").isin(days))
+        .select("report_date", *rest, F.inline(both))
+        .filter(F.col("streams") > 0)
+    )
+
+
+def count_windows(streams: DataFrame, partner: Partner, days: list[date]) -> DataFrame:
+    """`count_window` for many report days at once."""
+    daily = count_days(streams, partner, days)
+    return on_report_days(sliding_weeks(daily, partner.counters), days)
+
+
+def abroad(country: Column) -> Column:
+    """Outside the home market; NULL, so not taken, without a country."""
+    return country != HOME_MARKET
 
 
-def global_rollups(counted: DataFrame, partner: Partner) -> DataFrame:
+def global_rollups(
+    counted: DataFrame, partner: Partner, per: tuple[str, ...] = ("report_date", "week")
+) -> DataFrame:
     """The two synthetic markets out of the per-market counts: everything, and everything outside
     the home market. Streams without a country count only for the first."""
-    abroad = F.col("country_code") != HOME_MARKET
-    sums = counted.groupBy("report_date", "isrc", "week").agg(
+    outside = abroad(F.col("country_code"))
+    sums = counted.groupBy("isrc", *per).agg(
         *(F.sum(c).alias(c) for c in partner.counters),
-        *(F.sum(F.when(abroad, F.col(c))).alias(f"abroad_{c}") for c in partner.counters),
+        *(F.sum(F.when(outside, F.col(c))).alias(f"abroad_{c}") for c in partner.counters),
     )
 
     def market(code: str, name: str, prefix: str) -> Column:
@@ -115,6 +174,6 @@ def global_rollups(counted: DataFrame, partner: Partner) -> DataFrame:
         market(GLOBAL_CODE, GLOBAL_NAME, ""), market(EX_HOME_CODE, EX_HOME_NAME, "abroad_")
     )
     return (
-        sums.select("report_date", "isrc", "week", F.inline(markets))
+        sums.select("isrc", *per, F.inline(markets))
         .filter(F.col("streams").isNotNull())
     )

@@ -77,9 +77,21 @@ def digests(alerts: DataFrame, n: int = DIGEST_SIZE) -> DataFrame:
     )
 
 
+def message_id(report_date: Column, *parts: Column) -> Column:
+    """The same for every publishing of a digest: a checksum over its day and key, NULL being a value
+    of its own."""
+    marked = [
+        F.when(c.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), c.cast("string")))
+        for c in (report_date, *parts)
+    ]
+    lengths = F.concat_ws(",", *(F.length(c).cast("string") for c in marked))
+    return F.sha2(F.concat_ws("|", lengths, *marked), 256)
+
+
 def messages(digest_documents: DataFrame) -> DataFrame:
     """JSON payload and string attributes per digest. NULL fields are left out of the payload."""
-    user = F.col("user")
+    user, country = F.col("user"), F.col("territory.country_code")
+    digest = message_id(F.col("report_date"), user["email"], F.col("partner"), country)
     return digest_documents.select(
         F.to_json(F.struct("report_date", "user", "territory", "partner", "isrcs")).alias("value"),
         F.create_map(
@@ -87,5 +99,6 @@ def messages(digest_documents: DataFrame) -> DataFrame:
             F.lit("firstname"), user["firstname"],
             F.lit("lastname"), user["lastname"],
             F.lit("subject"), F.lit(SUBJECT),
+            F.lit("message_id"), digest,
         ).alias("attributes"),
     )

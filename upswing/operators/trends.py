@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from upswing.functions.exact import exact_mean, exact_parts, exact_sum, exact_total
 from upswing.functions.scalar import (
     capped_rank,
     guarded_ratio,
@@ -123,32 +124,30 @@ def with_rank_difference(ranked: DataFrame, rank_cap: int) -> DataFrame:
 def difference_stats(ranked: DataFrame, stat_keys: list[str]) -> DataFrame:
     """Mean and sample standard deviation of the rank difference over a market's items.
 
-    Two passes over the weighted pairs instead of sums of squares, which lose digits. Equal
-    differences give exactly zero, a single item gives NULL.
+    Two passes over the weighted pairs instead of sums of squares, which lose digits. Sums are exact,
+    so they do not depend on the order of a shuffle, and equal differences have their value as mean and
+    zero deviation. A single item gives NULL.
     """
     diff, n = F.col("transformed_diff"), F.col("n")
-    means = ranked.groupBy(*stat_keys).agg(
-        F.sum("n").alias("items"),
-        (F.sum(diff * n) / F.sum("n")).alias("mean_transformed_diff"),
-        (F.min(diff) == F.max(diff)).alias("all_equal"),
+    means = (
+        ranked.withColumn("parts", exact_parts(diff, n))
+        .groupBy(*stat_keys)
+        .agg(F.sum("n").alias("items"), exact_sum("parts").alias("total"))
+        .withColumn("mean_transformed_diff", exact_mean(F.col("total"), F.col("items")))
+        .drop("total")
     )
     deviation = diff - F.col("mean_transformed_diff")
     spread = (
         null_safe_join(ranked, means, stat_keys)
-        .groupBy(*stat_keys)
-        .agg(
-            F.first("items").alias("items"),
-            F.first("mean_transformed_diff").alias("mean_transformed_diff"),
-            F.first("all_equal").alias("all_equal"),
-            F.sum(deviation * deviation * n).alias("squares"),
-        )
-    )
-    std = F.when(
-        F.col("items") > 1,
-        F.when(F.col("all_equal"), 0.0).otherwise(F.sqrt(F.col("squares") / (F.col("items") - 1))),
+        .withColumn("parts", exact_parts(deviation * deviation, n))
+        .groupBy(*stat_keys, "items", "mean_transformed_diff")
+        .agg(exact_sum("parts").alias("squares"))
     )
+    variance = exact_total(F.col("squares")) / (F.col("items") - 1)
     return spread.select(
-        *stat_keys, "mean_transformed_diff", std.alias("std_transformed_diff")
+        *stat_keys,
+        "mean_transformed_diff",
+        F.when(F.col("items") > 1, F.sqrt(variance)).alias("std_transformed_diff"),
     )
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from upswing.functions.scalar import as_date
 from upswing.operators.alerts import alerts
+from upswing.operators.fingerprints import changed_groups, fingerprints, report_days_of
 from upswing.partners import Partner
 from upswing.plans.velocity import RANK_CAP, TOP_N, trending, velocity_base
 from upswing.schemas import PARTITION_COLUMN, base_schema, trend_schema
-from upswing.sources.tables import on_day, write_days
+from upswing.sources.tables import on_day, staged, write_days, write_table
 
 
 @dataclass(frozen=True)
@@ -63,8 +64,7 @@ def rebuild(
     top_n: int = TOP_N,
 ) -> None:
     """Build base, country and region tables for all given days together and replace exactly those
-    day partitions. No days, no work. Running it again gives the same rows; sums of doubles are added
-    in the order of a shuffle, so scores may differ in their last digits."""
+    day partitions. No days, no work. Running it again gives the same rows, scores to the last bit."""
     if not days:
         return
     base = velocity_base(
@@ -78,6 +78,41 @@ def rebuild(
         write_days(table, path, trend_schema(partner, regional), days)
 
 
+def stored_fingerprints(spark: SparkSession, marks: str, like: DataFrame) -> DataFrame:
+    """Fingerprints of the last build, none if the folder does not exist yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(marks)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return like.limit(0)
+    return spark.read.schema(like.schema).parquet(marks)
+
+
+def rebuild_changed(
+    spark: SparkSession,
+    sources: Sources,
+    partner: Partner,
+    first: date | str,
+    last: date | str,
+    paths: Paths,
+    marks: str,
+    **limits: int,
+) -> list[date]:
+    """Rebuild the report days from `first` to `last` (included) that look at stream days which are new,
+    gone or changed since the last call, and store their fingerprints in `marks`. Returns the report days;
+    none if nothing changed.
+
+    Fingerprints are taken before the build and stored after it: rows that arrive in between, or a build
+    that fails, make the next call do the days again.
+    """
+    groups = [PARTITION_COLUMN]
+    now = staged(fingerprints(sources.streams, groups), "fingerprints")
+    before = stored_fingerprints(spark, marks, now)
+    changed = changed_groups(before, now, groups)
+    days = days_listed(report_days_of(changed, first, last), "report_date")
+    rebuild(spark, sources, partner, days, paths, **limits)
+    write_table(now, marks)
+    return days
+
+
 def rebuild_alerts(
     spark: SparkSession,
     countries: dict[str, str],

@@ -7,7 +7,13 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upswing.operators.counting import count_window, count_windows, global_rollups
+from upswing.operators.counting import (
+    count_days,
+    count_window,
+    global_rollups,
+    on_report_days,
+    sliding_weeks,
+)
 from upswing.operators.enrichment import with_known_metadata, with_postcode_region
 from upswing.operators.joins import null_safe_join
 from upswing.operators.trends import (
@@ -45,6 +51,23 @@ def market_rows(
     return local.unionByName(global_rollups(counted, partner))
 
 
+def market_weeks(
+    streams: DataFrame,
+    partner: Partner,
+    days: list[date],
+    subdivisions: DataFrame | None = None,
+    zips: DataFrame | None = None,
+) -> DataFrame:
+    """Sliding sums of both weeks per country and region, and for the two synthetic markets, which add
+    up daily counts before the sums slide."""
+    daily = count_days(streams, partner, days)
+    local = sliding_weeks(daily, partner.counters)
+    if partner.region_from_postcode:
+        local = with_postcode_region(local, subdivisions, zips)
+    rollups = global_rollups(daily, partner, per=("part_day",))
+    return local.unionByName(sliding_weeks(rollups, partner.counters))
+
+
 def velocity_base(
     streams: DataFrame,
     resources: DataFrame,
@@ -58,16 +81,19 @@ def velocity_base(
     """Streams per item, market and week for one report day, or for several in one job.
 
     The raw table is scanned and counted once; the synthetic markets add up those counts, and
-    metadata is joined to counts, never to raw streams.
+    metadata is joined to counts, never to raw streams. For several days it is joined to sums that slide
+    from day to day, and rows per report day are made last, as rows of the result.
     """
     if (day is None) == (days is None):
         raise ValueError("give either day or days")
     if day is not None:
         counted = count_window(streams, partner, day)
+        rows = market_rows(counted, partner, subdivisions, zips)
+        known = with_known_metadata(rows, resources, names)
     else:
-        counted = count_windows(streams, partner, days)
-    rows = market_rows(counted, partner, subdivisions, zips)
-    return conform(with_known_metadata(rows, resources, names), base_schema(partner))
+        weeks = market_weeks(streams, partner, days, subdivisions, zips)
+        known = on_report_days(with_known_metadata(weeks, resources, names), days)
+    return conform(known, base_schema(partner))
 
 
 def above_cut(rows: DataFrame, top: DataFrame, keys: list[str]) -> DataFrame:

@@ -36,6 +36,24 @@ def stream_window(streams: DataFrame, day: date | str) -> DataFrame:
     return streams.filter(in_window(F.col(PARTITION_COLUMN), day))
 
 
+def _by_day(
+    df: DataFrame, schema: StructType | None, days: list[date] | None
+) -> DataFrame:
+    """Rows ready to be written by day; one of a day that is not listed fails the write."""
+    if PARTITION_COLUMN not in df.columns:
+        df = df.withColumn(PARTITION_COLUMN, F.col("report_date"))
+    if schema is not None:
+        with_day = StructType([*(f for f in schema if f.name != PARTITION_COLUMN)])
+        df = conform(df, with_day.add(PARTITION_COLUMN, "date"))
+    if days is not None:
+        day = F.col(PARTITION_COLUMN)
+        stray = F.raise_error(F.concat(F.lit("row of a day that is not listed: "), day.cast("string")))
+        df = df.withColumn(
+            PARTITION_COLUMN, F.when(day.isin(days), day).otherwise(stray.cast("date"))
+        )
+    return df
+
+
 def write_days(
     df: DataFrame,
     path: str,
@@ -52,17 +70,7 @@ def write_days(
     The rebalance hint gathers a day into a few files of advisory size instead of one per task, and
     splits days too large for one task.
     """
-    if PARTITION_COLUMN not in df.columns:
-        df = df.withColumn(PARTITION_COLUMN, F.col("report_date"))
-    if schema is not None:
-        with_day = StructType([*(f for f in schema if f.name != PARTITION_COLUMN)])
-        df = conform(df, with_day.add(PARTITION_COLUMN, "date"))
-    if days is not None:
-        day = F.col(PARTITION_COLUMN)
-        stray = F.raise_error(F.concat(F.lit("row of a day that is not listed: "), day.cast("string")))
-        df = df.withColumn(
-            PARTITION_COLUMN, F.when(day.isin(days), day).otherwise(stray.cast("date"))
-        )
+    df = _by_day(df, schema, days)
     seen = Observation()
     (
         df.hint("rebalance", PARTITION_COLUMN)
@@ -79,6 +87,58 @@ def write_days(
         df.sparkSession.catalog.recoverPartitions(table)
 
 
+def swap_days(
+    df: DataFrame,
+    table: str,
+    path: str,
+    days: list[date] | None = None,
+    schema: StructType | None = None,
+) -> str:
+    """Replace days of the catalog table `table`, each as a whole at one moment; the others stay.
+
+    Rows go to a new build folder beside `path` first. Only when it is complete do the written days
+    change over to it in the catalog, and listed days without rows leave the table: a failure before that
+    leaves the old days, and one in between leaves each day either old or new, never mixed. Only the
+    written days are touched; nothing is listed and empty days cost no job. Read the table by its name.
+    The former files stay for readers that are at work; whoever knows that there are none discards them.
+    Returns the build folder.
+    """
+    df = _by_day(df, schema, days)
+    build = f"{path.rstrip('/')}-builds/{uuid4().hex}"
+    seen = Observation()
+    (
+        df.hint("rebalance", PARTITION_COLUMN)
+        .observe(seen, F.collect_set(PARTITION_COLUMN).alias("days"))
+        .write.partitionBy(PARTITION_COLUMN)
+        .parquet(build)
+    )
+    written = set(seen.get["days"])
+    _change_over(
+        df.sparkSession,
+        table,
+        {
+            day: f"{build}/{PARTITION_COLUMN}={day.isoformat()}" if day in written else None
+            for day in sorted({*written, *(days or [])})
+        },
+    )
+    return build
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _change_over(spark: SparkSession, table: str, places: dict[date, str | None]) -> None:
+    """Point partitions of a catalog table to their new folders; None takes a day out of it."""
+    for day, place in places.items():
+        partition = f"PARTITION ({PARTITION_COLUMN} = DATE '{day.isoformat()}')"
+        if place is None:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {partition}")
+            continue
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition} LOCATION {_text(place)}")
+        spark.sql(f"ALTER TABLE {table} {partition} SET LOCATION {_text(place)}")
+
+
 def write_table(df: DataFrame, path: str, schema: StructType | None = None) -> None:
     """Truncate and load a whole table."""
     (df if schema is None else conform(df, schema)).write.mode("overwrite").parquet(path)
@@ -92,10 +152,9 @@ def create_day_table(spark: SparkSession, name: str, schema: StructType, path: s
         return False
     fields = [field for field in schema if field.name != PARTITION_COLUMN]
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    place = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}, {PARTITION_COLUMN} DATE) USING parquet "
-        f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION '{place}'"
+        f"PARTITIONED BY ({PARTITION_COLUMN}) LOCATION {_text(path)}"
     )
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):

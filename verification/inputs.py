@@ -49,9 +49,9 @@ def _isrc(item: Column) -> Column:
     return F.concat(F.lit("ISRC"), _pad(item, 8))
 
 
-def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streams(spark: SparkSession, sf_dir: str, item: str = "l_partkey div 4") -> DataFrame:
     """A line item is a stream: its part is the track, its supplier the market and the source, its
-    order the listener."""
+    order the listener. `item` says where the track's number comes from instead."""
     rows = table(spark, sf_dir, "lineitem")
     k, cc = F.col("l_orderkey"), _pick(COUNTRIES, (F.col("l_suppkey") % 25).cast("int"))
     us = cc == "US"
@@ -65,7 +65,7 @@ def streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return rows.select(
         F.date_add(F.lit(date(2024, 1, 1)), day.cast("int")).alias("part_day"),
-        _isrc(F.expr("l_partkey div 4")).alias("isrc"),
+        _isrc(F.expr(item)).alias("isrc"),
         F.when(k % 97 != 0, cc).alias("user_country_code"),
         F.concat(F.lit("Country "), cc).alias("user_country_name"),
         F.when(us, dma).otherwise("").alias("user_dma_number"),
@@ -98,6 +98,23 @@ def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as a track of its own: so many tracks that a market's default limits bind."""
+    k = F.col("l_orderkey")
+    return table(spark, sf_dir, "lineitem").select(k).distinct().select(
+        _isrc(k).alias("isrc"), k.alias("canopus_id"),
+        F.concat(F.lit("Track "), k.cast("string")).alias("formatted_title"),
+        (k + 1000).alias("resource_rollup_id"),
+    )
+
+
+def order_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("l_orderkey")
+    return table(spark, sf_dir, "lineitem").select(k).distinct().select(
+        k.alias("canopus_id"), F.concat(F.lit("Artist "), k.cast("string")).alias("default_name")
+    )
+
+
 def names(spark: SparkSession, sf_dir: str) -> DataFrame:
     artist = F.expr("p_partkey div 20")
     alias = F.when((artist % 37 == 5) & (F.col("p_partkey") % 2 == 1), " (alias)").otherwise("")

@@ -354,9 +354,8 @@ def trends(partner: Partner, score_table: str, regional: bool = False, top: int
 
 
 def averages(trend_table: str) -> str:
-    return f"""SELECT country_code,
-                      least(avg(rank_adj_score), max(rank_adj_score)) AS avg_velocity
-               FROM {trend_table} WHERE rank_adj_score > 0 GROUP BY country_code"""
+    return f"""SELECT report_date, country_code, avg(rank_adj_score) AS avg_velocity
+               FROM {trend_table} WHERE rank_adj_score > 0 GROUP BY report_date, country_code"""
 
 
 def alert_branch(partner: Partner, trend_table: str, label: bool) -> str:
@@ -373,7 +372,8 @@ def alert_branch(partner: Partner, trend_table: str, label: bool) -> str:
     return f"""
         SELECT a.*, {columns}, c.avg_velocity, e.track_image, d.first_stream_date
         FROM subscriptions a {join}
-        JOIN ({averages(trend_table)}) c ON b.country_code = c.country_code
+        JOIN ({averages(trend_table)}) c
+          ON b.report_date = c.report_date AND b.country_code = c.country_code
         JOIN release_dates d ON b.isrc = d.isrc
         LEFT JOIN (SELECT isrc, max(track_image) AS track_image FROM images GROUP BY isrc) e
           ON b.isrc = e.isrc
@@ -435,18 +435,19 @@ TABLES["top_alerts"] = f"""
     WHERE rn <= 10"""
 
 
-def query(sql: str) -> str:
-    """Put the tables that `sql` needs in front of it, in order."""
+def query(sql: str, own: dict[str, str] | None = None) -> str:
+    """Put the tables that `sql` needs in front of it, in order; `own` adds tables or replaces them."""
     done: list[str] = []
+    tables = TABLES | (own or {})
 
     def visit(text: str) -> None:
         for name in dict.fromkeys(re.findall(r"(?:FROM|JOIN)\s+([a-z_0-9]+)", text)):
-            if name in TABLES and name not in done:
-                visit(TABLES[name])
+            if name in tables and name not in done:
+                visit(tables[name])
                 done.append(name)
 
     visit(sql)
     if not done:
         return sql
-    ctes = ", ".join(f"{name} AS ({TABLES[name]})" for name in done)
+    ctes = ", ".join(f"{name} AS ({tables[name]})" for name in done)
     return f"WITH {ctes} {sql}"

@@ -16,6 +16,12 @@ from upswing.functions.nested import label_names
 from upswing.operators import alerts as A
 from upswing.operators import checks, counting, enrichment, trends
 from upswing.operators.archive import cohort_archive, write_cohorts
+from upswing.operators.fingerprints import (
+    changed_groups,
+    fingerprints,
+    report_days_of,
+    whole_build_diff,
+)
 from upswing.operators.digests import digest_columns, digests, distinct_alerts, messages, top_alerts
 from upswing.operators.subscriptions import (
     flatten_subscriptions,
@@ -23,12 +29,20 @@ from upswing.operators.subscriptions import (
     matching_applications,
 )
 from upswing.partners import HOME_MARKET
-from upswing.plans.daily import Paths, Sources, days_between, days_listed, rebuild, written_days
+from upswing.plans.daily import (
+    Paths,
+    Sources,
+    days_between,
+    days_listed,
+    rebuild,
+    rebuild_changed,
+    written_days,
+)
 from upswing.plans.velocity import RANK_CAP, market_rows, trending, velocity_base
-from upswing.schemas import SUBSCRIPTIONS
+from upswing.schemas import SUBSCRIPTIONS, trend_schema
 from upswing.sources import documents as docs_io
 from upswing.sources import tables as tables_io
-from upswing.streaming.outbox import message_counter, outbox_stream
+from upswing.streaming.outbox import message_counter, message_total, outbox_stream
 from verification import inputs, oracle
 from verification.inputs import APP, SUBSCRIPTION
 from verification.oracle import D, big, dbl
@@ -38,11 +52,11 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None = None):
+def register(name: str, sql: str | None = None, own: dict[str, str] | None = None):
     def add(function: Query) -> Query:
         QUERIES[name] = function
         if sql is not None:
-            SQL[name] = oracle.query(sql)
+            SQL[name] = oracle.query(sql, own)
         return function
 
     return add
@@ -198,7 +212,7 @@ _levels("geo_rollup_levels_apple", APPLE)
 def abroad_only(spark, sf):
     return (
         inputs.streams(spark, sf)
-        .filter(F.col("user_country_code") != HOME_MARKET)
+        .filter(counting.abroad(F.col("user_country_code")))
         .groupBy("user_country_code")
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -507,6 +521,28 @@ for _partner in (SPOTIFY, APPLE):
         for _cut in (False, True):
             _trending(_partner, _regional, _cut)
 
+_ORDER_TRACKS = {
+    "streams": oracle.INPUTS["streams"].replace("l_partkey // 4", "k"),
+    "resources": """
+        SELECT DISTINCT 'ISRC' || lpad(CAST(l_orderkey AS VARCHAR), 8, '0') AS isrc,
+               l_orderkey AS canopus_id, 'Track ' || l_orderkey AS formatted_title,
+               l_orderkey + 1000 AS resource_rollup_id FROM lineitem""",
+    "names": """
+        SELECT DISTINCT l_orderkey AS canopus_id, 'Artist ' || l_orderkey AS default_name
+        FROM lineitem""",
+}
+
+
+@register("trending_many_items", f"SELECT {ROUND_SCORE} FROM trends_countries_spotify", _ORDER_TRACKS)
+def trending_many_items(spark, sf):
+    """Markets with more items than the default rank cap and cut."""
+    base = velocity_base(
+        inputs.streams(spark, sf, item="l_orderkey"), inputs.order_resources(spark, sf),
+        inputs.order_names(spark, sf), SPOTIFY, day=D,
+    )
+    return rounded(trending(tables_io.staged(base, "base"), SPOTIFY))
+
+
 # --- subscribers -------------------------------------------------------------------------------
 
 
@@ -577,12 +613,54 @@ def document_scan(spark, sf):
     return flatten_subscriptions(docs_io.read_user_docs(spark, path), APP, SUBSCRIPTION)
 
 
+def _damaged_docs(spark, sf) -> str:
+    """The documents as lines, of which some are cut off, have a number for a list, have no `_id`, or
+    are a text instead of an object."""
+    docs = inputs.user_docs(spark, sf)
+    number = F.regexp_extract("_id", "[0-9]+", 0).cast("long")
+    line = F.to_json(F.struct(*docs.columns))
+    wrong = F.to_json(F.struct("_id", "email", F.lit(7).alias("applications")))
+    nameless = F.to_json(F.struct(F.col("_id").alias("id"), "email"))
+    value = (
+        F.when(number % 13 == 0, F.substring(line, 1, 40))
+        .when(number % 13 == 1, wrong)
+        .when(number % 13 == 2, nameless)
+        .when(number % 13 == 3, F.concat(F.lit('"'), F.col("_id"), F.lit('"')))
+        .otherwise(line)
+    )
+    path = tables_io.work_path(spark, "damaged-docs")
+    docs.select(value.alias("value")).write.text(path)
+    return path
+
+
+@register(
+    "document_good_rows",
+    f"""SELECT {oracle.SUB_COLUMNS} FROM subscriptions
+        WHERE CAST(substr("userId", 2) AS BIGINT) % 13 > 3""",
+)
+def document_good_rows(spark, sf):
+    docs = docs_io.read_user_docs(spark, _damaged_docs(spark, sf))
+    return flatten_subscriptions(docs, APP, SUBSCRIPTION)
+
+
+@register(
+    "document_quarantine",
+    """SELECT k AS user_number, CASE k % 13 WHEN 1 THEN 'a field has another type than declared'
+              WHEN 2 THEN 'no _id' ELSE 'not a JSON object' END AS reason
+       FROM users WHERE k % 13 <= 3""",
+)
+def document_quarantine(spark, sf):
+    broken = docs_io.broken_user_docs(spark, _damaged_docs(spark, sf))
+    number = F.regexp_extract("record", '"u([0-9]+)"', 1).cast("long")
+    return broken.select(number.alias("user_number"), "reason")
+
+
 # --- alerts ------------------------------------------------------------------------------------
 
 
 @register(
     "avg_velocity",
-    f"""SELECT country_code, {dbl("avg_velocity")}
+    f"""SELECT report_date, country_code, {dbl("avg_velocity")}
         FROM ({oracle.averages("trends_countries_spotify")})""",
 )
 def avg_velocity(spark, sf):
@@ -594,7 +672,7 @@ def avg_velocity(spark, sf):
     f"""SELECT {ROUND_ALERT}
         FROM (SELECT b.*, c.avg_velocity FROM trends_countries_spotify b
               JOIN ({oracle.averages("trends_countries_spotify")}) c
-                ON b.country_code = c.country_code
+                ON b.report_date = c.report_date AND b.country_code = c.country_code
               WHERE b.rank_adj_score >= c.avg_velocity)""",
 )
 def above_average(spark, sf):
@@ -762,13 +840,22 @@ def _published(spark, sf):
         yield topic
 
 
-@register(
-    "outbox",
-    f"""SELECT email AS "to",
-               subject || ' for ' || firstname || ' ' || lastname AS subject,
-               partner, country_code, n_tracks, isrcs, total_score
-        FROM ({_MESSAGE_SQL})""",
-)
+SQL_OF_OUTBOX = f"""
+    SELECT email AS "to", subject || ' for ' || firstname || ' ' || lastname AS subject,
+           partner, country_code, n_tracks, isrcs, total_score
+    FROM ({_MESSAGE_SQL})"""
+
+
+def _mails(spark, out: str) -> DataFrame:
+    payload = F.from_json(F.regexp_extract("html", "(?s)^<b>(.*)</b>$", 1), _PAYLOAD)
+    return (
+        spark.read.parquet(out)
+        .withColumn("payload", payload)
+        .select("to", "subject", *_payload_columns(F.col("payload")))
+    )
+
+
+@register("outbox", SQL_OF_OUTBOX)
 def outbox(spark, sf):
     """Two rounds of publishing and consuming; the second one takes only what is new."""
     steps = _published(spark, sf)
@@ -776,22 +863,40 @@ def outbox(spark, sf):
     out, checkpoint = (tables_io.work_path(spark, n) for n in ("outbox", "outbox-checkpoint"))
     for _ in steps:
         outbox_stream(spark, topic, out, checkpoint).awaitTermination()
-    payload = F.from_json(F.regexp_extract("html", "(?s)^<b>(.*)</b>$", 1), _PAYLOAD)
-    return (
-        spark.read.parquet(out)
-        .withColumn("payload", payload)
-        .select("to", "subject", *_payload_columns(F.col("payload")))
-    )
+    return _mails(spark, out)
 
 
-@register("delivery_off", "SELECT email AS \"to\" FROM (" + _MESSAGE_SQL + ") WHERE false")
+@register(
+    "delivery_off",
+    f"""SELECT email AS "to", partner, country_code FROM ({_MESSAGE_SQL})
+        WHERE country_code = '{HOME_MARKET}'""",
+)
 def delivery_off(spark, sf):
-    """With delivery off all messages are taken and none is written, also not by a later run."""
-    *_, topic = _published(spark, sf)
+    """Messages published while delivery is off are taken and give no mail, also not later; those
+    published after it is on again do."""
+    steps = _published(spark, sf)
+    topic = next(steps)
     out, checkpoint = (tables_io.work_path(spark, n) for n in ("outbox", "outbox-checkpoint"))
-    for deliver in (False, True):
+    for deliver, _ in zip((False, True), steps):
         outbox_stream(spark, topic, out, checkpoint, deliver=deliver).awaitTermination()
-    return spark.read.schema("`to` string").parquet(out).select("to")
+    payload = F.from_json(F.regexp_extract("html", "(?s)^<b>(.*)</b>$", 1), _PAYLOAD)
+    return spark.read.parquet(out).select(
+        "to", payload["partner"].alias("partner"),
+        payload["territory"]["country_code"].alias("country_code"),
+    )
+
+
+@register("outbox_republished", SQL_OF_OUTBOX)
+def outbox_republished(spark, sf):
+    """Everything is published twice, the second time after the first was consumed."""
+    made = tables_io.staged(messages(digests(alerts_of(spark, sf))), "messages")
+    topic, out, checkpoint = (
+        tables_io.work_path(spark, n) for n in ("topic", "outbox", "outbox-checkpoint")
+    )
+    for _ in range(2):
+        docs_io.publish(made, topic)
+        outbox_stream(spark, topic, out, checkpoint).awaitTermination()
+    return _mails(spark, out)
 
 
 @register("message_count", f"SELECT count(*) AS messages FROM ({_MESSAGE_SQL})")
@@ -801,7 +906,7 @@ def message_count(spark, sf):
     counts, checkpoint = (tables_io.work_path(spark, n) for n in ("counts", "counts-checkpoint"))
     for _ in steps:
         message_counter(spark, topic, counts, checkpoint).awaitTermination()
-    return spark.read.parquet(counts)
+    return message_total(spark, counts)
 
 
 # --- tables, backfill, archive -----------------------------------------------------------------
@@ -809,10 +914,12 @@ def message_count(spark, sf):
 
 @register("table_overwrite", f"SELECT {oracle.SUB_COLUMNS} FROM subscriptions")
 def table_overwrite(spark, sf):
-    """A whole table loaded twice; the second load replaces the first."""
+    """A table loaded twice with different rows; the second load replaces the first."""
     path = tables_io.work_path(spark, "subscriptions")
-    for _ in range(2):
-        tables_io.write_table(subscriptions_of(spark, sf), path, SUBSCRIPTIONS)
+    whole = subscriptions_of(spark, sf)
+    first = whole.withColumn("email", F.upper("email")).unionByName(whole.filter("artist IS NULL"))
+    for load in (first, whole):
+        tables_io.write_table(load, path, SUBSCRIPTIONS)
     return tables_io.read_table(spark, path, SUBSCRIPTIONS)
 
 
@@ -875,6 +982,29 @@ def catalog_day_table(spark, sf):
     return spark.table(name)
 
 
+@register(
+    "catalog_day_swap",
+    """SELECT isrc, CASE WHEN part_day = DATE '2024-01-27' THEN 2 ELSE 1 END * count(*) AS streams,
+              part_day
+       FROM streams WHERE part_day >= DATE '2024-01-24' AND part_day <> DATE '2024-01-25'
+       GROUP BY part_day, isrc""",
+)
+def catalog_day_swap(spark, sf):
+    """Days written to build folders and swapped in the catalog: several, one again, one emptied."""
+    path, name = tables_io.work_path(spark, "catalog"), f"days_{uuid4().hex}"
+    counted = inputs.streams(spark, sf).groupBy("part_day", "isrc").agg(
+        F.count(F.lit(1)).alias("streams")
+    )
+    schema = T.StructType().add("isrc", "string").add("streams", "long").add("part_day", "date")
+    tables_io.create_day_table(spark, name, schema, path)
+    for first, last, times in (("24", "27", 1), ("28", "31", 1), ("27", "27", 2)):
+        part = tables_io.in_days(counted, f"2024-01-{first}", f"2024-01-{last}")
+        tables_io.swap_days(part.withColumn("streams", F.col("streams") * times), name, path)
+    nothing = counted.filter(F.col("streams") < 0)
+    tables_io.swap_days(nothing, name, path, days=[date(2024, 1, 25)])
+    return spark.table(name)
+
+
 def _days_sql(place: str, tags: list[str]) -> str:
     union = " UNION ALL ".join(f"SELECT * FROM trends_{place}_{tag}" for tag in tags)
     return f"SELECT {ROUND_SCORE} FROM ({union}) trends"
@@ -897,6 +1027,87 @@ def backfill_list(spark, sf):
     return rounded(written_days(spark, paths.regions, days).drop("part_day"))
 
 
+# A second version of the streams: a day is gone, one has fewer rows, one has rows twice, one has a
+# column changed, and one is new; its rows are repeated from another day.
+_LATER = """
+    SELECT * REPLACE (CASE WHEN part_day = DATE '2024-01-20' AND stream_source = 'album'
+                           THEN 'search' ELSE stream_source END AS stream_source)
+    FROM all_streams
+    WHERE part_day <> DATE '2024-01-02'
+      AND NOT (part_day = DATE '2024-01-05' AND isrc LIKE '%7')
+    UNION ALL SELECT * FROM all_streams WHERE part_day = DATE '2024-01-12' AND isrc LIKE '%3'
+    UNION ALL SELECT * REPLACE (DATE '2024-01-29' AS part_day) FROM all_streams
+              WHERE part_day = DATE '2024-01-28'"""
+_CHANGED = """
+    SELECT part_day, CASE WHEN sum(before) = 0 THEN 'new' WHEN sum(now) = 0 THEN 'gone'
+                          ELSE 'changed' END AS change,
+           CAST(sum(before) AS BIGINT) AS rows_before, CAST(sum(now) AS BIGINT) AS rows_now
+    FROM (SELECT * EXCLUDE (before, now), sum(before) AS before, sum(now) AS now
+          FROM (SELECT *, 1 AS before, 0 AS now FROM all_streams
+                UNION ALL SELECT *, 0, 1 FROM later_streams) GROUP BY ALL)
+    GROUP BY part_day HAVING count(*) FILTER (before <> now) > 0"""
+_VERSIONS = {
+    "all_streams": oracle.INPUTS["streams"],
+    "later_streams": _LATER,
+    "changed_streams": _CHANGED,
+}
+
+
+def _later_streams(spark, sf) -> DataFrame:
+    streams, day = inputs.streams(spark, sf), F.col("part_day")
+    on = lambda text: day == F.lit(date.fromisoformat(text))
+    source = F.when(on("2024-01-20") & (F.col("stream_source") == "album"), "search")
+    fewer = on("2024-01-05") & F.col("isrc").endswith("7")
+    kept = streams.filter(~on("2024-01-02") & ~fewer).withColumn(
+        "stream_source", source.otherwise(F.col("stream_source"))
+    )
+    twice = streams.filter(on("2024-01-12") & F.col("isrc").endswith("3"))
+    new = streams.filter(on("2024-01-28")).withColumn("part_day", F.lit(date(2024, 1, 29)))
+    return kept.unionByName(twice).unionByName(new)
+
+
+def _changed_streams(spark, sf) -> DataFrame:
+    before, now = (
+        fingerprints(streams(spark, sf), ["part_day"])
+        for streams in (inputs.streams, _later_streams)
+    )
+    return changed_groups(before, now, ["part_day"])
+
+
+@register("changed_days", "SELECT * FROM changed_streams", _VERSIONS)
+def changed_days(spark, sf):
+    return _changed_streams(spark, sf)
+
+
+@register(
+    "late_report_days",
+    """SELECT DISTINCT report_date
+       FROM (SELECT part_day + CAST(unnest(range(14)) AS INTEGER) AS report_date FROM changed_streams)
+       WHERE report_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-30'""",
+    _VERSIONS,
+)
+def late_report_days(spark, sf):
+    return report_days_of(_changed_streams(spark, sf), "2024-01-08", "2024-01-30")
+
+
+_LATE_DAY = date(2024, 1, 15)
+
+
+@register("late_rebuild", _days_sql("countries", ["spotify_d2", "spotify_d1", "spotify"]))
+def late_rebuild(spark, sf):
+    """Three report days built while two thirds of a stream day's rows were missing, and again when they
+    have arrived. Only the two report days that look at that day are built a second time."""
+    paths, marks = _paths(spark), tables_io.work_path(spark, "marks")
+    full, first, last = _sources(spark, sf), D - timedelta(2), D
+    late = F.col("part_day") == F.lit(_LATE_DAY)
+    early = full.streams.filter(~late | F.col("isrc").rlike("[036]$"))
+    for streams in (early, full.streams, full.streams):
+        version = Sources(streams, full.resources, full.names, full.subdivisions, full.zips)
+        rebuild_changed(spark, version, SPOTIFY, first, last, paths, marks)
+    days = days_between(first, last + timedelta(1))
+    return rounded(written_days(spark, paths.countries, days).drop("part_day"))
+
+
 @register(
     "cohort_archive",
     """SELECT s.isrc, part_day,
@@ -952,13 +1163,19 @@ def existence_probe(spark, sf):
 
 @register(
     "empty_output_alarm",
-    """SELECT 'streams' AS name, DATE '2024-02-15' AS part_day, count(*) AS n_rows,
-              count(*) > 0 AS ready,
-              CASE WHEN count(*) = 0 THEN 'streams has no rows for 2024-02-15' END AS message
-       FROM streams WHERE part_day = DATE '2024-02-15'""",
+    " UNION ALL ".join(
+        f"""SELECT 'streams' AS name, DATE '{day}' AS part_day, count(*) AS n_rows,
+                   count(*) > 0 AS ready,
+                   CASE WHEN count(*) = 0 THEN 'streams has no rows for {day}' END AS message
+            FROM streams WHERE part_day = DATE '{day}'"""
+        for day in ("2024-02-15", "2024-01-28")
+    ),
 )
 def empty_output_alarm(spark, sf):
-    return checks.empty_output_alarm(inputs.streams(spark, sf), "streams", "2024-02-15")
+    streams = inputs.streams(spark, sf)
+    days = ("2024-02-15", "2024-01-28")
+    empty, filled = (checks.empty_output_alarm(streams, "streams", day) for day in days)
+    return empty.unionByName(filled)
 
 
 _AUDITED = [
@@ -998,19 +1215,30 @@ def audit_counts(spark, sf):
     return checks.audit_counts(audited, with_part_day(made), D)
 
 
-@register(
-    "partition_volumes",
-    """SELECT 'streams' AS name, part_day, count(*) AS n_rows FROM streams
-       WHERE part_day >= DATE '2024-01-10' GROUP BY part_day
-       UNION ALL
-       SELECT 'events', CAST(ts AS DATE), count(*) FROM events
-       WHERE CAST(ts AS DATE) >= DATE '2024-01-10' GROUP BY CAST(ts AS DATE)""",
-)
+_VOLUMES = """
+    SELECT 'streams' AS name, part_day, count(*) AS n_rows FROM streams
+    WHERE part_day >= DATE '2024-01-10' GROUP BY part_day
+    UNION ALL
+    SELECT 'events', CAST(ts AS DATE), count(*) FROM events
+    WHERE CAST(ts AS DATE) >= DATE '2024-01-10' GROUP BY CAST(ts AS DATE)"""
+
+
+@register("partition_volumes", _VOLUMES)
 def partition_volumes(spark, sf):
     tables = {"streams": inputs.streams(spark, sf), "events": _event_days(spark, sf)}
     return checks.partition_volumes(tables, "2024-01-10")
 
 
+@register("footer_volumes", _VOLUMES)
+def footer_volumes(spark, sf):
+    """The same from the footers of written tables."""
+    folders = {}
+    for name, df in (("streams", inputs.streams(spark, sf)), ("events", _event_days(spark, sf))):
+        folders[name] = tables_io.work_path(spark, name)
+        tables_io.write_days(df, folders[name])
+    return checks.footer_volumes(spark, folders, "2024-01-10")
+
+
 def _ties_sql(table: str, where: str = "country_code = 'US'") -> str:
     return f"""SELECT rank_lw, streams_lw, count(*) AS n_items FROM {table}
                WHERE {where} GROUP BY rank_lw, streams_lw HAVING count(*) > 1"""
@@ -1048,6 +1276,63 @@ def build_diff(spark, sf):
     return checks.build_diff(left, right, ["rank_lw", "streams_lw"], "n_items")
 
 
+# A second build of the country trends of two days: on the later one a market has lost rows, one has
+# other counts, one has rows twice and one has rows that the first build lacks.
+_DIFF_KEYS = ["report_date", *trends.ITEM_KEYS[1:]]
+_DIFF_VALUES = [c for c in trend_schema(SPOTIFY).names if c not in _DIFF_KEYS]
+_SECOND = f"""
+    SELECT * REPLACE (CASE WHEN report_date = {oracle._day(D)} AND country_code = 'GB'
+                                AND streams_tw % 2 = 0 THEN streams_tw + 1 ELSE streams_tw END
+                      AS streams_tw)
+    FROM first_build
+    WHERE NOT (report_date = {oracle._day(D)} AND country_code = 'SE'
+               AND coalesce(canopus_id % 3 = 0, false))
+    UNION ALL SELECT * FROM first_build
+              WHERE report_date = {oracle._day(D)} AND country_code = 'DE' AND canopus_id % 4 = 0
+    UNION ALL SELECT * REPLACE ('NEW' || isrc AS isrc) FROM first_build
+              WHERE report_date = {oracle._day(D)} AND country_code = 'FR' AND canopus_id % 5 = 0"""
+
+
+@register(
+    "whole_build_diff",
+    f"""SELECT {", ".join(_DIFF_KEYS)}, report_date AS part_day,
+               CAST(coalesce(sum(n) FILTER (n > 0), 0) AS BIGINT) AS rows_left,
+               CAST(coalesce(-sum(n) FILTER (n < 0), 0) AS BIGINT) AS rows_right,
+               CASE WHEN max(n) > 0 AND min(n) < 0 THEN concat_ws(',', {", ".join(
+                   f"CASE WHEN min({c}) FILTER (n > 0) IS DISTINCT FROM min({c}) FILTER (n < 0) THEN '{c}' END"
+                   for c in _DIFF_VALUES)}) END AS changed
+        FROM (SELECT * EXCLUDE (side), sum(side) AS n
+              FROM (SELECT *, 1 AS side FROM first_build UNION ALL SELECT *, -1 FROM second_build)
+              GROUP BY ALL HAVING sum(side) <> 0)
+        GROUP BY {", ".join(_DIFF_KEYS)}""",
+    {
+        "first_build": "SELECT * FROM trends_countries_spotify "
+        "UNION ALL SELECT * FROM trends_countries_spotify_d1",
+        "second_build": _SECOND,
+    },
+)
+def whole_build_diff_query(spark, sf):
+    folders = [tables_io.work_path(spark, f"build-{n}") for n in (1, 2)]
+    for day in (D - timedelta(1), D):
+        tables_io.write_days(trends_of(spark, sf, SPOTIFY, day=day), folders[0], days=[day])
+    first = tables_io.read_table(spark, folders[0])
+    country, later = F.col("country_code"), F.col("report_date") == F.lit(D)
+    even = later & (country == "GB") & (F.col("streams_tw") % 2 == 0)
+    lost = later & (country == "SE") & F.coalesce(F.col("canopus_id") % 3 == 0, F.lit(False))
+    other = F.when(even, F.col("streams_tw") + 1).otherwise(F.col("streams_tw"))
+    twice = first.filter(later & (country == "DE") & (F.col("canopus_id") % 4 == 0))
+    new = first.filter(later & (country == "FR") & (F.col("canopus_id") % 5 == 0))
+    second = (
+        first.filter(~lost)
+        .withColumn("streams_tw", other)
+        .unionByName(twice)
+        .unionByName(new.withColumn("isrc", F.concat(F.lit("NEW"), "isrc")))
+    )
+    tables_io.write_days(second, folders[1])
+    builds = [tables_io.read_table(spark, folder) for folder in folders]
+    return whole_build_diff(*builds, [*_DIFF_KEYS, "part_day"], ["part_day", "country_code"])
+
+
 _COUNT_TEXT = """CASE c_custkey % 7 WHEN 0 THEN '12x' WHEN 1 THEN '' WHEN 2 THEN ' 7'
     WHEN 3 THEN '3000000000' WHEN 4 THEN '-' || CAST(c_custkey AS VARCHAR(20))
     WHEN 5 THEN '+' || CAST(c_custkey % 1000000 * 1000 AS VARCHAR(20))
