@@ -36,6 +36,7 @@ BROADCAST_SEGMENTS = 96  # of filters that are broadcast at a time: 48 MB
 LONGEST_SHARD = 48  # words of this length and more share a filter
 HELD_WORDS = 200_000  # distinct words that a task adds up before it sends them on
 CELLS = 30_000  # letters of words whose edits are made at a time: few enough for the processor's cache
+SENT_ROWS = 100_000
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse
 _RUN = re.compile("[a-zÀ-ÿ]+")
 
@@ -253,37 +254,54 @@ def _positives(
                 arrays[shard][at : at + len(values)] = values
     shared = vocabulary.sparkSession.sparkContext.broadcast(arrays)
 
+    def hits(words: list[str], keys: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
+        """Hash and length of the edits that the filters know, and their words' hashes."""
+        length, filled = len(words[0]), shared.value
+        for places, key, size in edits(words, alphabet):
+            shard = _shard(size)
+            if shard not in filled or not len(key):
+                continue
+            block, mixed = _places(key, size, blocks[shard])
+            if len(filled[shard]) == blocks[shard]:
+                hit = _known(filled[shard][block], mixed)
+            else:  # a part of the filter
+                block = block - part[shard][0] * SEGMENT_BLOCKS
+                here = np.flatnonzero((block >= 0) & (block < len(filled[shard])))
+                hit = here[_known(filled[shard][block[here]], mixed[here])]
+            yield key[hit].view(np.int64), size, keys[places[hit] // length]
+
     def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filled = shared.value
+        held: dict[int, list[tuple[str, int]]] = {}  # words and hashes by length, until they are many
+        found: list[tuple[np.ndarray, int, np.ndarray]] = []
+
+        def ask(length: int) -> None:
+            words, keys = zip(*held.pop(length))
+            found.extend(hits(list(words), np.array(keys, np.int64)))
+
+        def table() -> pd.DataFrame:
+            sizes = [np.full(len(key), size, np.int32) for key, size, _ in found]
+            columns = {
+                "key": np.concatenate([key for key, _, _ in found]),
+                "length": np.concatenate(sizes),
+                "from_key": np.concatenate([own for _, _, own in found]),
+            }
+            found.clear()
+            return pd.DataFrame(columns)
+
         for batch in batches:
-            words, keys = batch["word"], batch["key"].to_numpy()
-            lengths = words.str.len().to_numpy()
-            for length in np.unique(lengths).tolist():
-                if _shard(length) not in filled and _shard(length - 1) not in filled:
+            for word, key in zip(batch["word"].tolist(), batch["key"].tolist()):
+                length = len(word)
+                if _shard(length) not in part and _shard(length - 1) not in part:
                     continue
-                rows = np.flatnonzero(lengths == length)
-                step = max(1, CELLS // length)
-                for first in range(0, len(rows), step):
-                    some = rows[first : first + step]
-                    for places, key, size in edits(words.iloc[some].tolist(), alphabet):
-                        shard = _shard(size)
-                        if shard not in filled or not len(key):
-                            continue
-                        block, mixed = _places(key, size, blocks[shard])
-                        if len(filled[shard]) == blocks[shard]:
-                            hit = _known(filled[shard][block], mixed)
-                        else:  # a part of the filter
-                            block = block - part[shard][0] * SEGMENT_BLOCKS
-                            here = np.flatnonzero((block >= 0) & (block < len(filled[shard])))
-                            hit = here[_known(filled[shard][block[here]], mixed[here])]
-                        if len(hit):
-                            yield pd.DataFrame(
-                                {
-                                    "key": key[hit].view(np.int64),
-                                    "length": np.int32(size),
-                                    "from_key": keys[some[places[hit] // length]],
-                                }
-                            )
+                held.setdefault(length, []).append((word, key))
+                if len(held[length]) * length >= CELLS:
+                    ask(length)
+            if sum(len(key) for key, _, _ in found) >= SENT_ROWS:
+                yield table()
+        for length in list(held):
+            ask(length)
+        if found:
+            yield table()
 
     shards = [F.lit(shard) for shard in part]
     shard_of = lambda size: F.least(size, F.lit(LONGEST_SHARD)).isin(*shards)
