@@ -28,16 +28,36 @@ _FORMATS = (
     r"|\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
     r"|\d{3}-\d{2}-\d{4})" + _END
 )
-# Groups of digits joined by single blanks or hyphens, as far as they go. A group that starts another
-# format, or that a letter or a fraction follows, ends the run before it.
-_GROUP = r"\d{1,19}+(?![A-Za-z0-9]|\.\d)"
-_RUN = rf"(?=\d(?:[ -]?\d){{12}}){_GROUP}(?:(?:-|[ ](?!{_FORMATS})){_GROUP})*+"
+# Card numbers as they are written: unbroken, or in groups of 4-4-4-4, 4-4-4-4-3, 4-6-4 or 4-6-5 with one
+# separator throughout. Groups of four may go on: `_pieces` decides what they are. A group that starts
+# another format, or that a letter or a fraction follows, is not part of a card.
+_GUARD = r"(?![A-Za-z0-9]|\.\d)"
+_FOUR = r"\d{4}" + _GUARD
+_JOINS = ("-", rf"[ ](?!{_FORMATS})")
+_GROUPED = "|".join(
+    [rf"{_FOUR}(?:{j}{_FOUR}){{3,}}+(?:{j}\d{{3}}{_GUARD})?+" for j in _JOINS]
+    + [rf"{_FOUR}{j}\d{{6}}{j}\d{{4,5}}{_GUARD}" for j in _JOINS]
+)
+# Groups with a number before and one behind them are part of a table.
+_CARDS = rf"(?<!\d[ -])(?:{_GROUPED})|(?:{_GROUPED})(?![ -]\d)|\d{{13,19}}{_GUARD}"
 PATTERN = (
-    rf"(?<![A-Za-z0-9._%+-])(?:{_FORMATS}|{_RUN})"
+    rf"(?<![A-Za-z0-9._%+-])(?:{_FORMATS}|{_CARDS})"
     r"|(?<=(?i:token|secret|key|password)[ ]{0,3}[=:][ ]{0,3}[\"']{0,1})"
     r"[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])"
 )
-_CARD_LENGTHS = (16, 15, 19, 14, 13, 18, 17)  # of the readings from a group, the first that validates
+# First digits of card numbers by issuer, with the lengths that go with them.
+_ISSUERS = (
+    r"4[0-9]{12}|4[0-9]{15}|4[0-9]{18}",
+    r"5[1-5][0-9]{14}",
+    r"2(22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}",
+    r"3[47][0-9]{13}",
+    r"3(0[0-5]|[68][0-9])[0-9]{11}",
+    r"35(2[89]|[3-8][0-9])[0-9]{12}",
+    r"6(011|4[4-9][0-9]|5[0-9]{2})[0-9]{12,15}",
+    r"62[0-9]{14,17}",
+    r"(50|5[6-9]|6[0-9])[0-9]{11,17}",
+)
+_KEPT = "if(d LIKE '4%', 1, 4)"  # digits of a card number that tell its issuer and stay
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _BASE_26 = "0123456789abcdefghijklmnop"
 
@@ -105,36 +125,40 @@ def _filled(template: str, symbols: str, kind: str) -> str:
 
 
 def _is_card(value: str) -> str:
-    """SQL whether a string of groups of digits, with nothing around them, is a card number."""
-    digits = _let("t", f"regexp_replace({value}, '[^0-9]', '')", "if(length(t) BETWEEN 13 AND 19, luhn_check(t), false)")
-    return f"({value} RLIKE '^[0-9][0-9 -]*[0-9]$' AND {digits})"
+    """SQL whether a string is a card number: its shape, its issuer's digits and length, its check digit."""
+    shape = (
+        "^([0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\\\\2[0-9]{4}\\\\2[0-9]{4}(\\\\2[0-9]{3})?"
+        "|[0-9]{4}([ -])[0-9]{6}\\\\4[0-9]{4,5})$"
+    )
+    issuer = "^(" + "|".join(_ISSUERS) + ")$"
+    digits = _let("t", f"regexp_replace({value}, '[ -]', '')", f"if(t RLIKE '{issuer}', luhn_check(t), false)")
+    return f"if({value} RLIKE '{shape}', {digits}, false)"
 
 
 def _pieces() -> str:
-    """SQL from a match `m` to its pieces: itself, or of a run of digits its card numbers and what is
-    between. A card number starts and ends with a group; the first in the run is taken, then the next
-    behind it."""
-    reading = "concat(ltrim(' -', g[i - 1]), array_join(slice(g, i + 1, j - i), ''))"
-    readings = (
-        "filter(transform(sequence(i, least(i + 18, size(g))), j -> named_struct('j', j, 'v', "
-        f"{reading})), r -> {_is_card('r.v')})"
-    )
-    lengths = ", ".join(map(str, _CARD_LENGTHS))
-    best = (
-        f"get(filter(transform(array({lengths}), n -> get(filter(found, r -> "
-        "length(regexp_replace(r.v, '[^0-9]', '')) = n), 0)), r -> r IS NOT NULL), 0)"
-    )
-    left_over = "named_struct('next', i + 1, 'out', concat(s.out, array(g[i - 1])))"
-    before = "if(g[i - 1] RLIKE '^[0-9]', '', left(g[i - 1], 1))"
-    taken = f"named_struct('next', r.j + 1, 'out', concat(s.out, array({before}, r.v)))"
-    step = _let("found", readings, _let("r", best, f"if(r IS NULL, {left_over}, {taken})"))
-    walk = (
-        "aggregate(sequence(1, size(g)), named_struct('next', 1, 'out', CAST(array() AS ARRAY<STRING>)), "
-        f"(s, i) -> if(i < s.next, s, {step}), s -> s.out)"
+    """SQL from a match `m` to its pieces: itself, or of groups of four digits the card numbers and what
+    is between.
+
+    Four groups can be a card, with a last one of three digits or without it. Of five, the first four or
+    else the last four can. More are a table of numbers, unless each four of them are a card."""
+    first, second, tail = "left(m, 19)", "substr(m, 6, 19)", "substr(m, 6)"
+    fours = f"if(n = 4, array({first}, substr(m, 20)), array(m))"
+    fives = (
+        f"CASE WHEN {_is_card(first)} THEN array({first}, substr(m, 20))"
+        f" WHEN {_is_card(tail)} THEN array(left(m, 5), {tail})"
+        f" ELSE array(left(m, 5), {second}, substr(m, 25)) END"
     )
-    groups = _let("g", "regexp_extract_all(m, '[ -]?[0-9]+', 0)", walk)
-    whole = "m NOT RLIKE '^[0-9 -]+$' OR length(regexp_replace(m, '[^0-9]', '')) < 13 OR m NOT RLIKE '[0-9][ -]'"
-    return f"CASE WHEN {whole} THEN array(m) WHEN {_is_card('m')} THEN array(m) ELSE {groups} END"
+    quads = "transform(sequence(0, n div 4 - 1), k -> substr(m, 20 * k + 1, 19))"
+    every = _let(
+        "q", quads,
+        f"if(n % 4 = 0 AND forall(q, c -> {_is_card('c')}),"
+        " flatten(transform(q, (c, k) -> array(c, substr(m, 20 * k + 20, if(k = n div 4 - 1, 4, 1))))), array(m))",
+    )
+    by_number = _let(
+        "n", "(length(m) + 1) div 5",
+        f"CASE WHEN {_is_card('m')} THEN array(m) WHEN n = 4 THEN {fours} WHEN n = 5 THEN {fives} ELSE {every} END",
+    )
+    return f"if(m RLIKE '^[0-9]{{4}}([ -][0-9]{{4}}){{3}}', {by_number}, array(m))"
 
 
 def _pseudonym(key: str) -> str:
@@ -157,7 +181,7 @@ def _pseudonym(key: str) -> str:
     area, group, serial = (f"CAST(substr(m, {a}, {n}) AS BIGINT)" for a, n in ((1, 3), (5, 2), (8, 4)))
     person = f"(({area} - if({area} > 666, 2, 1)) * {_GROUPS} + {group} - 1) * {_SERIALS} + {serial} - 1"
     numbers = f"""CASE kind
-        WHEN 'card' THEN if({_is_card('m')}, array({_number("substr(d, 2, length(d) - 2)", _power("10", "length(d) - 2"))}), NULL)
+        WHEN 'card' THEN if({_is_card('m')}, array({_number(f"substr(d, {_KEPT} + 1, length(d) - {_KEPT} - 1)", _power("10", f"length(d) - {_KEPT} - 1"))}), NULL)
         WHEN 'phone' THEN array({_number("right(d, least(10, length(d) - 1))", _power("10", "least(10, length(d) - 1)"))})
         WHEN 'date' THEN if({day} BETWEEN DATE'{_FIRST_DAY}' AND date_add(DATE'{_FIRST_DAY}', {_DAYS - 1}),
             array({_number(f"datediff({day}, DATE'{_FIRST_DAY}')", str(_DAYS))}), NULL)
@@ -169,7 +193,7 @@ def _pseudonym(key: str) -> str:
     secret = permuted("c.x", "c.n", "concat(kind, CAST(j AS STRING))", key)
     outs = f"transform(numbers, (c, j) -> lpad(lower(conv(CAST({secret} AS STRING), 10, c.base)), c.width, '0'))"
     value = "CAST(outs[0] AS BIGINT)"
-    known = "concat(left(d, 1), right(outs[0], length(d) - 2))"
+    known = f"concat(left(d, {_KEPT}), right(outs[0], length(d) - {_KEPT} - 1))"
     check = "filter(array('0','1','2','3','4','5','6','7','8','9'), z -> luhn_check(concat(body, z)))[0]"
     card = _let("body", known, _let("full", f"concat(body, {check})", _filled("m", "full", "[0-9]")))
     phone = _let(
@@ -214,26 +238,39 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     """`docs` with pseudonyms in its text column, and `private_kinds`, the kinds of what was replaced
     in order of place (`card`, `phone`, `date`, `ip`, `ssn`, `email`, `key`).
 
-    A card number is found next to other groups of digits; if a run can be read as cards in several ways,
-    the first group that starts one counts, and of its readings 16 digits before other lengths. A date
+    A card number has an issuer's first digits with their length, a check digit, and a shape that cards
+    are written in; its issuer's digits stay. In groups it is found if there is no number, set off by a
+    blank or hyphen, on one side at least; next to other groups of four digits, if these are five with its
+    own, or all of them are cards. A date
     nn/nn/nnnn is read day first, and month first if that is none; it is written as it was read.
     The text between matches, and matches that do not validate, stay character for character. A null
     text stays null, an empty one empty, and both have no kinds. Whoever knows `key` can undo the
-    permutation; choose one and keep it. A column `private_kinds` is replaced. An empty table gives an
-    empty table. Rows stay where they are.
+    permutation; choose one and keep it. A column `private_kinds` is replaced; other columns are left
+    alone whatever their names. An empty table gives an empty table. Rows stay where they are.
     """
     kept = [c for c in docs.columns if c != "private_kinds"]
-    found = docs.select(*kept, F.regexp_extract_all(text, F.lit(PATTERN), 0).alias("_found"))
-    made = found.withColumn(
-        "_made", F.expr(f"transform(transform(_found, m -> {_pieces()}), p -> transform(p, m -> {_pseudonym(key)}))")
-    )
+    found, made = (_free(name, docs.columns) for name in ("found", "made"))
+    none = F.array().cast("array<string>")
+    matches = F.regexp_extract_all(text, F.lit(PATTERN), 0)
+    # Nothing without a digit or an @ can match.
+    looked = docs.select(*kept, F.when(F.col(text).rlike("[0-9@]"), matches).otherwise(none).alias(found))
+    pieces = f"transform(transform({found}, m -> {_pieces()}), p -> transform(p, m -> {_pseudonym(key)}))"
+    written = looked.withColumn(made, F.expr(pieces))
     between = F.split(text, PATTERN, -1)
-    value = F.transform("_made", lambda x: F.array_join(F.transform(x, lambda y: y["value"]), ""))
+    value = F.transform(made, lambda x: F.array_join(F.transform(x, lambda y: y["value"]), ""))
     values = F.concat(value, F.array(F.lit("")))
     joined = F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")
-    kinds = F.filter(F.transform(F.flatten("_made"), lambda x: x["kind"]), lambda k: k.isNotNull())
+    kinds = F.filter(F.transform(F.flatten(made), lambda x: x["kind"]), lambda k: k.isNotNull())
     columns = [
-        F.when(F.size("_found") > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
+        F.when(F.size(found) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
         for c in kept
     ]
-    return made.select(*columns, F.coalesce(kinds, F.array().cast("array<string>")).alias("private_kinds"))
+    return written.select(*columns, F.coalesce(kinds, none).alias("private_kinds"))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that is not taken, in whatever case."""
+    lowered = {c.lower() for c in taken}
+    while name in lowered:
+        name += "_"
+    return name
