@@ -124,3 +124,48 @@ def test_components(spark):
     assert all(c <= i and parent[c] == c for i, c in parent.items())
     empty = connected_components(spark.createDataFrame([], "a long, b long"))
     assert empty.count() == 0
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_an_id_with_several_texts_loses_no_link(spark, turned):
+    pick = random.Random(3)
+    one, two, three = ([f"{p}{pick.randrange(10**6)}" for _ in range(40)] for p in "xyz")
+    copy = lambda words: " ".join([*words[:-1], "end"])
+    texts = [" ".join(one), " ".join(two), " ".join(three)]
+    first = [(1, texts[0]), (1, texts[1])]
+    rows = first[::-1] if turned else first
+    rows = rows + [(2, copy(one)), (3, copy(two)), (7, texts[2]), (7, texts[0]), (5, copy(three)), (9, texts[2])]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(table, 2).collect())
+    assert found == [
+        (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (5, 5, True), (7, 1, False),
+        (7, 5, False), (9, 5, False),
+    ]
+
+
+def test_small_sets_share_a_band_as_often_as_independent_registers_do():
+    """Pairs that share four of five shingles: 40,000 of them, none without a common band."""
+    rng = np.random.default_rng(11)
+    missed = 0
+    for _ in range(10):
+        shared = rng.integers(0, 1 << 55, (4000, 4), dtype=np.uint64)
+        extra = rng.integers(0, 1 << 55, (4000, 1), dtype=np.uint64)
+        owner = np.repeat(np.arange(4000), 4)
+        one = N.sketch(owner, shared.ravel(), 4000)
+        both = np.hstack((shared, extra))
+        other = N.sketch(np.repeat(np.arange(4000), 5), both.ravel(), 4000)
+        used = N.BANDS * N.BAND_REGISTERS
+        agrees = (one[:, :used] == other[:, :used]).reshape(-1, N.BANDS, N.BAND_REGISTERS).all(axis=2)
+        missed += int((~agrees.any(axis=1)).sum())
+        rate = agrees.mean()
+    assert missed == 0 and abs(rate - 0.8**6) < 0.01
+
+
+def test_hubs_of_many_links_are_split(spark, monkeypatch):
+    from upswing.llm import hot
+
+    monkeypatch.setattr(hot, "HOT_SHARE", 0.05)
+    links = [(0, i) for i in range(1, 400)] + [(399, i) for i in range(500, 900)] + [(900, 901)]
+    rows = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r["component"] for r in rows if r["id"] < 900} == {0}
+    assert {r["component"] for r in rows if r["id"] >= 900} == {900}

@@ -2,6 +2,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from verification.compare import duckdb_tables, spark_rows, sql_rows
 
 from upswing.llm.queries import QUERIES, SQL
@@ -25,9 +26,39 @@ def test_run_packs_what_the_stages_keep(spark, sf_dir):
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_stages_with_odd_rows_and_columns(spark, sf_dir, odd_docs, no_docs):
+    """Nulls, empty and repeated rows, a very long text, no rows at all, and columns whose names the
+    operators use inside."""
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    plain = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id < 40")
+    more = spark.createDataFrame(
+        [(500, item, "en", "s"), (None, "the year of the card 4845168114407329 was fine", "en", None)],
+        odd_docs.schema,
+    )
+    docs = odd_docs.unionByName(plain.select(*odd_docs.columns)).unionByName(more).unionByName(more)
+    clashing = ["found", "made", "text_key", "rep", "runs", "score", "private_kinds", "cell", "_found"]
+    wide = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(clashing)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.staged(stage(spark, wide, sf_dir), "odd")
+        assert kept.columns == wide.columns, name
+        assert kept.select(*clashing).distinct().collect() == [tuple(range(len(clashing)))], name
+        assert stage(spark, wide.limit(0), sf_dir).count() == 0, name
+        rows = {(r["doc_id"], r["text"]) for r in kept.collect()}
+        if name == "language id":
+            assert (0, None) not in rows and (1, "") not in rows
+        if name == "benchmark decontamination":
+            assert 500 not in {i for i, _ in rows}
+        if name == "pseudonyms":
+            assert kept.count() == wide.count()
+            assert not any("4845168114407329" in (t or "") for _, t in rows)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, wide, sf_dir)
+    assert pieces.filter("start = 0").count() == wide.count()
+    assert corpus_pipeline.STAGES[-1][1](spark, wide.limit(0), sf_dir).count() == 0
+
+
 def test_every_dealt_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

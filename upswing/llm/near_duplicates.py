@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from upswing.llm.components import connected_components
 from upswing.llm.hashing import WHITE_SPACE, blocks, mix, shingles, words
+from upswing.llm.hot import join_by_key
 from upswing.sources.tables import staged
 
 SHINGLE_WORDS = 5
 PERCENT = 80  # links need 100 * intersection >= PERCENT * union
-# 50 bands of 6 registers miss a pair of similarity 0.8 with probability 3e-7. The number of registers
-# is prime, so that any step walks through all of them.
+# 50 bands of 6 independent registers miss a pair of similarity 0.8 with probability 3e-7.
 REGISTERS, BANDS, BAND_REGISTERS = 307, 50, 6
 LOG_BASE = float(np.log(1.001))
 RATE = 20.0
@@ -42,7 +42,8 @@ MEMBERS_PER_GROUP = 64
 HOT_SHARE = 0.001
 CELL_MEMBERS = 256
 # Up to so many rows (of a few numbers each) are sent to where the texts are; beyond, texts are shuffled.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 300_000
+TURN_CELLS = 1 << 16  # numbers that are drawn at a time
 _BAND_BITS = 6  # the low bits of a bucket tell its band
 _SLACK = 6.0
 _ELEMENT_BITS = 55  # with 512 texts in a block, 9 bits tell the text
@@ -75,40 +76,41 @@ def block_sets(
 def _lower(
     minima: np.ndarray, owner: np.ndarray, element: np.ndarray, limit: np.ndarray
 ) -> None:
-    """Let every element lower the registers of its set: it visits all registers in an order of its
-    own, at ascending values, until a value is beyond `limit`."""
-    value = np.zeros(len(element))
-    register = (mix(element ^ _STEP) % np.uint64(REGISTERS)).astype(np.int64)
-    stride = (mix(element + _STEP) % np.uint64(REGISTERS - 1)).astype(np.int64) + 1
-    for turn in range(REGISTERS):
-        salt = np.uint64((turn + 2) * int(_STEP) & (1 << 64) - 1)
-        uniform = (mix(element + salt) >> np.uint64(11)) + 0.5
-        value = value - np.log(uniform * 2.0**-53) / (REGISTERS - turn)
-        active = value <= limit
+    """Let every element lower the registers of its set. Its values rise by exponential steps, and each
+    goes to a register drawn anew, until one is beyond `limit`: a Poisson process that is dealt out at
+    random, so that an element's first values in different registers are independent of each other."""
+    value, turn = np.zeros(len(element)), 1
+    while len(element):
+        turns = max(1, min(64, TURN_CELLS // len(element)))
+        salts = np.arange(turn, turn + turns, dtype=np.uint64) * _STEP
+        drawn = mix(element[:, None] + salts[None, :])
+        uniform = ((drawn >> np.uint64(24)) + 0.5) * 2.0**-40
+        values = value[:, None] + np.cumsum(-np.log(uniform) / REGISTERS, axis=1)
+        register = ((drawn & np.uint64(0xFFFFFF)) * np.uint64(REGISTERS)) >> np.uint64(24)
+        within = values <= limit[:, None]
+        place = owner[:, None] * REGISTERS + register.astype(np.int64)
+        np.minimum.at(minima, place[within], values[within])
+        value, turn = values[:, -1], turn + turns
+        active = within[:, -1]
         if not active.all():
-            owner, element, value = owner[active], element[active], value[active]
-            limit, register, stride = limit[active], register[active], stride[active]
-        if not len(element):
-            return
-        np.minimum.at(minima, owner * REGISTERS + register, value)
-        register = register + stride
-        register -= (register >= REGISTERS) * REGISTERS
+            owner, element, value, limit = owner[active], element[active], value[active], limit[active]
 
 
 def sketch(owner: np.ndarray, element: np.ndarray, sets: int) -> np.ndarray:
     """Registers (uint16) of each of `sets` sets; an empty set has zeros.
 
     Values beyond a limit that all registers of a set stay below with probability 0.998 are left out
-    at first; sets where that was wrong are done again without limit, so registers are exact.
+    at first; sets where that was wrong are done again with a higher one, so registers are exact.
     """
     count = np.bincount(owner, minlength=sets)
     minima = np.full(sets * REGISTERS, np.inf)
     limit = (np.log(REGISTERS) + _SLACK) / np.maximum(count, 1)
-    _lower(minima, owner, element, limit[owner])
-    open_sets = np.isinf(minima.reshape(sets, REGISTERS)).any(axis=1)
-    again = open_sets[owner]
-    if again.any():
-        _lower(minima, owner[again], element[again], np.full(int(again.sum()), np.inf))
+    again = np.ones(len(owner), bool)
+    while again.any():
+        _lower(minima, owner[again], element[again], limit[owner[again]])
+        open_sets = np.isinf(minima.reshape(sets, REGISTERS)).any(axis=1)
+        limit = np.where(open_sets, 2 * limit, limit)
+        again = open_sets[owner]
     with np.errstate(divide="ignore"):
         exponent = np.floor(1.0 - np.log(minima / RATE) / LOG_BASE)
     return np.clip(exponent, 0, 65535).astype(np.uint16).reshape(sets, REGISTERS)
@@ -128,7 +130,8 @@ def _registers(column: pa.Array) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """Per document: number of shingles, two 64-bit sums that stand for the set, registers."""
+    """Per document: a hash of its text, the number of shingles, two 64-bit sums that stand for the set,
+    registers."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,15 +146,29 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, sets),
+                        batch.column(2).slice(first, sets),
                         pa.array(np.bincount(owner, minlength=sets).astype(np.int64)),
                         *sums,
                         _binary(sketch(owner, element, sets)),
                     ],
-                    names=["doc_id", "n_shingles", "sum_1", "sum_2", "registers"],
+                    names=["doc_id", "text_key", "n_shingles", "sum_1", "sum_2", "registers"],
                 )
 
-    schema = "doc_id long, n_shingles long, sum_1 long, sum_2 long, registers binary"
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    schema = "doc_id long, text_key long, n_shingles long, sum_1 long, sum_2 long, registers binary"
+    return docs.select("doc_id", "text", _text_key()).mapInArrow(sign, schema)
+
+
+def _text_key() -> Column:
+    return F.xxhash64("text").alias("text_key")
+
+
+def _texts(docs: DataFrame, rows: DataFrame, column: str, classes: DataFrame) -> DataFrame:
+    """`rows` with the `text` of the class that `column` names: found by id and by a hash of the text, as
+    an id may stand for several texts."""
+    named = classes.select(F.col("rep").alias(column), "doc_id", "text_key")
+    placed = staged(rows.join(named, column), "places")
+    keyed = docs.select("doc_id", "text", _text_key())
+    return keyed.join(_sent(placed), ["doc_id", "text_key"]).drop("doc_id", "text_key")
 
 
 def _bands(sketches: DataFrame) -> DataFrame:
@@ -244,36 +261,39 @@ def _linked(one: frozenset, other: frozenset, percent: int) -> bool:
     return 100 * common >= percent * (len(one) + len(other) - common) > 0
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def _verified(
+    pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int
+) -> DataFrame:
     """The pairs that are links by their full sets. The text of `a` is sent once to each group of at
     most about `MEMBERS_PER_GROUP` of its partners, so a hub with many partners is spread."""
-    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS_PER_GROUP).alias("groups"))
-    dealt = pairs.join(crowd, "a").select(
+    crowd = pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn(
+        "groups", F.ceil(F.col("n") / MEMBERS_PER_GROUP)
+    )
+    dealt = join_by_key(pairs, crowd, "a", "n", pairs.count()).select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("groups")).cast("int").alias("part")
     )
-    ends = dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("doc_id")).distinct()
+    ends = dealt.select("a", "part", F.lit(0).alias("role"), F.col("a").alias("rep")).distinct()
     ends = ends.unionByName(
-        dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("doc_id"))
+        dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("rep"))
     )
-    ends = staged(ends, "ends")
-    sent = docs.select("doc_id", "text").join(_sent(ends), "doc_id").repartition("a", "part")
+    sent = _texts(docs, ends, "rep", classes).repartition("a", "part")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, hub = None, frozenset()
         for batch in batches:
             found = []
-            for a, part, role, doc_id, text in zip(
-                batch["a"], batch["part"], batch["role"], batch["doc_id"], batch["text"]
+            for a, part, role, rep, text in zip(
+                batch["a"], batch["part"], batch["role"], batch["rep"], batch["text"]
             ):
                 own = _shingle_set(text, size)
                 if role == 0:
                     key, hub = (a, part), own
                 elif key == (a, part) and _linked(hub, own, percent):
-                    found.append((a, doc_id))
+                    found.append((a, rep))
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    ordered = sent.sortWithinPartitions("a", "part", "role", "doc_id")
-    return ordered.select("a", "part", "role", "doc_id", "text").mapInPandas(
+    ordered = sent.sortWithinPartitions("a", "part", "role", "rep")
+    return ordered.select("a", "part", "role", "rep", "text").mapInPandas(
         compare, "a long, b long"
     )
 
@@ -299,7 +319,7 @@ def _similar_size(one: Column | str, other: Column | str, percent: int) -> Colum
 
 
 def _across(
-    members: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int
+    members: DataFrame, sketches: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """Links (`a`, `b`) between members of a bucket that are in different components.
 
@@ -336,7 +356,7 @@ def _across(
     sides = sketches.join(_sent(cells), "rep").select(
         *key, "n_shingles", "registers", no_text.alias("text")
     )
-    texts = docs.join(_sent(cells), docs["doc_id"] == cells["rep"]).select(
+    texts = _texts(docs, cells, "rep", classes).select(
         *key, F.lit(0).cast("long").alias("n_shingles"), no_registers.alias("registers"), "text"
     )
 
@@ -389,7 +409,7 @@ def _across(
 
 
 def _links(
-    members: DataFrame, sketches: DataFrame, docs: DataFrame, size: int, percent: int
+    members: DataFrame, sketches: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int
 ) -> DataFrame:
     """`id` and `component` of every class that is linked to another one.
 
@@ -419,7 +439,7 @@ def _links(
         pairs = staged(met.select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
         likely = staged(_likely(pairs, sketches, percent), "likely")
         if not likely.isEmpty():
-            known = extended(_verified(likely, docs, size, percent))
+            known = extended(_verified(likely, docs, classes, size, percent))
         rest = members.filter("rep <> hub.rep").select(*kept)
         labelled = rest.join(known, rest["rep"] == known["id"], "left").select(
             *kept, F.coalesce("component", "rep").alias("component")
@@ -432,7 +452,7 @@ def _links(
         )
         if members.isEmpty():
             return known
-    return extended(_across(members, sketches, docs, size, percent))
+    return extended(_across(members, sketches, docs, classes, size, percent))
 
 
 def near_duplicates(
@@ -444,17 +464,27 @@ def near_duplicates(
     Documents are linked if their sets of word shingles overlap by `percent` or more; `component_id`
     is the smallest id reachable, `kept` tells whether it is the document's own. Null and empty texts
     have no shingles and no links. A text with fewer words has its word sequence as its only shingle.
-    A null id has a null component and is kept. Repeated rows come back as often as they came. An
-    empty table gives an empty table.
+    A null id has a null component and is kept. Rows that repeat an id are documents of their own: with the
+    same set they share a component, with another text they are linked as that text is. Every row comes
+    back. An empty table gives an empty table.
     """
+    return _groups(docs, shingle_words, percent).drop("text_key")
+
+
+def _groups(docs: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     signed = staged(signatures(docs, shingle_words), "signatures")
     usable = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["n_shingles", "sum_1", "sum_2"]
-    classes = staged(usable.groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
-    first = classes.select(*same, "rep", F.col("rep").alias("doc_id"))
+    firsts = usable.groupBy(*same).agg(
+        F.min(F.struct("doc_id", "text_key")).alias("first"), F.count("*").alias("n")
+    )
+    # A class is known by a number of its own, as an id may have several texts.
+    classes = staged(
+        firsts.select(*same, "first.*", "n", F.monotonically_increasing_id().alias("rep")), "classes"
+    )
     sketches = staged(
-        signed.join(first, ["doc_id", *same]).select("rep", "n_shingles", "registers")
-        .dropDuplicates(["rep"]), "sketches",
+        signed.join(classes.drop("n"), ["doc_id", "text_key", *same])
+        .select("rep", "n_shingles", "registers").dropDuplicates(["rep"]), "sketches",
     )
     bands = _bands(sketches)
     hot = F.col("n") > HOT_SHARE * sketches.count()
@@ -463,20 +493,42 @@ def near_duplicates(
     few = F.broadcast(crowded.filter("hot").select("bucket", F.lit(True).alias("known_hot")))
     flagged = bands.join(few, "bucket", "left").withColumn("hot", F.coalesce("known_hot", F.lit(False)))
     members = staged(_with_bucket(flagged.drop("known_hot"), crowded), "buckets")
-    linked = _links(members, sketches, docs, shingle_words, percent)
-    of_class = classes.join(linked, classes["rep"] == linked["id"], "left").select(
-        *same, F.coalesce("component", "rep").alias("component_id")
-    )
-    found = usable.select("doc_id", *same).join(of_class, same)
+    linked = _links(members, sketches, docs, classes, shingle_words, percent)
+    of_class = staged(_first_ids(classes, linked).select(*same, "component_id", "n"), "component-ids")
+    found = _of_sets(usable.select("doc_id", "text_key", *same), of_class, same)
     alone = signed.filter("n_shingles = 0 OR doc_id IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id")
     )
-    both = found.select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    both = found.select("doc_id", "text_key", "n_shingles", "component_id").unionByName(alone)
     return both.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+def _first_ids(classes: DataFrame, linked: DataFrame) -> DataFrame:
+    """`classes` with `component_id`, the smallest id of a class of their component."""
+    met = classes.join(linked, classes["rep"] == linked["id"], "left").drop("id")
+    met = staged(met.withColumn("component", F.coalesce("component", "rep")), "components")
+    several = met.groupBy("component").agg(
+        F.min("doc_id").alias("component_id"), F.count("*").alias("members")
+    )
+    return join_by_key(met, several, "component", "members", met.count())
+
+
+def _of_sets(rows: DataFrame, of_class: DataFrame, same: list[str]) -> DataFrame:
+    """Rows with the component of their set. Sets that a large part of all rows has are sent to them."""
+    hot = F.col("n") > HOT_SHARE * rows.count()
+    few = of_class.filter(hot).drop("n")
+    rest = rows.join(F.broadcast(few.select(*same)), same, "left_anti")
+    return rows.join(F.broadcast(few), same).unionByName(rest.join(of_class.filter(~hot).drop("n"), same))
+
+
+def without_near_duplicates(
+    docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The rows of `docs` that are the first of their group, with their own columns."""
-    groups = near_duplicates(docs, **options)
-    dropped = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    groups = _groups(docs, shingle_words, percent)
+    dropped = groups.filter(~F.col("kept")).select("doc_id", "text_key").distinct()
+    dropped = dropped.withColumnsRenamed({"doc_id": "dropped_id", "text_key": "dropped_key"})
+    same = (docs["doc_id"] == F.col("dropped_id")) & (
+        F.xxhash64(docs["text"]) == F.col("dropped_key")
+    )
+    return docs.join(dropped, same, "left_anti")

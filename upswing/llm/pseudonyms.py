@@ -234,9 +234,11 @@ def _pseudonym(key: str) -> str:
     return _let("kind", kind, _let("d", "regexp_replace(m, '[^0-9]', '')", chosen))
 
 
-def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """`docs` with pseudonyms in its text column, and `private_kinds`, the kinds of what was replaced
-    in order of place (`card`, `phone`, `date`, `ip`, `ssn`, `email`, `key`).
+def pseudonymised(
+    docs: DataFrame, key: str = KEY, text: str = "text", kinds: str | None = "private_kinds"
+) -> DataFrame:
+    """`docs` with pseudonyms in its text column, and in a column `kinds`, if named, the kinds of what was
+    replaced in order of place (`card`, `phone`, `date`, `ip`, `ssn`, `email`, `key`).
 
     A card number has an issuer's first digits with their length, a check digit, and a shape that cards
     are written in; its issuer's digits stay. In groups it is found if there is no number, set off by a
@@ -245,10 +247,10 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     nn/nn/nnnn is read day first, and month first if that is none; it is written as it was read.
     The text between matches, and matches that do not validate, stay character for character. A null
     text stays null, an empty one empty, and both have no kinds. Whoever knows `key` can undo the
-    permutation; choose one and keep it. A column `private_kinds` is replaced; other columns are left
+    permutation; choose one and keep it. A column named as `kinds` says is replaced; others are left
     alone whatever their names. An empty table gives an empty table. Rows stay where they are.
     """
-    kept = [c for c in docs.columns if c != "private_kinds"]
+    kept = [c for c in docs.columns if c != kinds]
     found, made = (_free(name, docs.columns) for name in ("found", "made"))
     none = F.array().cast("array<string>")
     matches = F.regexp_extract_all(text, F.lit(PATTERN), 0)
@@ -260,12 +262,14 @@ def pseudonymised(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFr
     value = F.transform(made, lambda x: F.array_join(F.transform(x, lambda y: y["value"]), ""))
     values = F.concat(value, F.array(F.lit("")))
     joined = F.array_join(F.zip_with(between, values, lambda a, b: F.concat(a, b)), "")
-    kinds = F.filter(F.transform(F.flatten(made), lambda x: x["kind"]), lambda k: k.isNotNull())
+    all_kinds = F.filter(F.transform(F.flatten(made), lambda x: x["kind"]), lambda k: k.isNotNull())
     columns = [
         F.when(F.size(found) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c)
         for c in kept
     ]
-    return written.select(*columns, F.coalesce(kinds, none).alias("private_kinds"))
+    if kinds is not None:
+        columns.append(F.coalesce(all_kinds, none).alias(kinds))
+    return written.select(*columns)
 
 
 def _free(name: str, taken: list[str]) -> str:

@@ -50,7 +50,34 @@ def op1(spark, sf):
     return packing.packed(table(spark, sf, "documents"), tokenizer_path()).drop("ids")
 
 
-@register("op2_near_duplicates")
+@register(
+    "op2_near_duplicates",
+    r"""WITH RECURSIVE w AS (
+         SELECT doc_id, regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x20\x09-\x0D]+') AS words
+         FROM documents),
+       s AS (
+         SELECT DISTINCT doc_id, unnest(
+                  CASE WHEN len(words) = 1 THEN words
+                       ELSE [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))] END
+                ) AS shingle
+         FROM w),
+       n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+       common AS (
+         SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+         FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+       links AS (
+         SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b
+         WHERE 100 * c >= 80 * (x.n_shingles + y.n_shingles - c)),
+       reached AS (
+         SELECT doc_id AS a, doc_id AS b FROM documents
+         UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+       first AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+       SELECT d.doc_id, coalesce(n_shingles, 0) AS n_shingles, component_id,
+              d.doc_id = component_id AS kept
+       FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN first ON first.doc_id = d.doc_id""",
+)
 def op2(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return near_duplicates.near_duplicates(docs, shingle_words=2)
