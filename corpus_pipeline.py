@@ -35,7 +35,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates, addresses and keys get pseudonyms."""
-    return pseudonyms.pseudonymised(docs).select(*docs.columns)
+    return pseudonyms.pseudonymised(docs, kinds=None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
