@@ -59,6 +59,7 @@ def test_generated_documents(docs, size):
 def test_chains_of_copies(spark, monkeypatch, seed, rounds, hot):
     monkeypatch.setattr(N, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(N, "HOT_SHARE", hot)
+    monkeypatch.setattr(N, "HOT_ROWS", 3)
     monkeypatch.setattr(N, "MEMBERS_PER_GROUP", 3)
     rows = variants(seed)
     pick = random.Random(seed)
@@ -165,6 +166,7 @@ def test_hubs_of_many_links_are_split(spark, monkeypatch):
     from upswing.llm import hot
 
     monkeypatch.setattr(hot, "HOT_SHARE", 0.05)
+    monkeypatch.setattr(hot, "HOT_ROWS", 3)
     links = [(0, i) for i in range(1, 400)] + [(399, i) for i in range(500, 900)] + [(900, 901)]
     rows = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["component"] for r in rows if r["id"] < 900} == {0}

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from upswing.llm.components import connected_components
 from upswing.llm.hashing import WHITE_SPACE, blocks, mix, shingles, words
-from upswing.llm.hot import join_by_key
+from upswing.llm.hot import HOT_ROWS, join_by_key
 from upswing.sources.tables import staged
 
 SHINGLE_WORDS = 5
@@ -42,7 +42,7 @@ MEMBERS_PER_GROUP = 64
 HOT_SHARE = 0.001
 CELL_MEMBERS = 256
 # Up to so many rows (of a few numbers each) are sent to where the texts are; beyond, texts are shuffled.
-BROADCAST_ROWS = 300_000
+BROADCAST_ROWS = 200_000
 TURN_CELLS = 1 << 16  # numbers that are drawn at a time
 _BAND_BITS = 6  # the low bits of a bucket tell its band
 _SLACK = 6.0
@@ -515,10 +515,13 @@ def _first_ids(classes: DataFrame, linked: DataFrame) -> DataFrame:
 
 def _of_sets(rows: DataFrame, of_class: DataFrame, same: list[str]) -> DataFrame:
     """Rows with the component of their set. Sets that a large part of all rows has are sent to them."""
-    hot = F.col("n") > HOT_SHARE * rows.count()
+    hot = F.col("n") > max(HOT_ROWS, HOT_SHARE * rows.count())
     few = of_class.filter(hot).drop("n")
-    rest = rows.join(F.broadcast(few.select(*same)), same, "left_anti")
-    return rows.join(F.broadcast(few), same).unionByName(rest.join(of_class.filter(~hot).drop("n"), same))
+    met = rows.join(F.broadcast(few), same, "left")
+    rest = met.filter("component_id IS NULL").select(*rows.columns)
+    return met.filter("component_id IS NOT NULL").unionByName(
+        rest.join(of_class.filter(~hot).drop("n"), same)
+    )
 
 
 def without_near_duplicates(
