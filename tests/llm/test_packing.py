@@ -106,21 +106,63 @@ def test_a_seed_asks_with_all_its_terms():
             tf = [(df[t], int((d == t).sum())) for t in np.unique(docs[seed]).tolist()]
             norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
             expected.append(sum(np.log1p((40 - n + 0.5) / (n + 0.5)) * f * (packing.K1 + 1) / (f + norm) for n, f in tf))
-        assert len(np.unique(docs[seed])) > 30 and np.allclose(index.scores(seed), expected)
+        assert len(np.unique(docs[seed])) > 30 and np.allclose(index.scores(np.array([seed]))[0], expected)
 
 
 def test_statistics_are_those_of_all_documents(docs, tokenizer):
-    made = packing.encoded(docs.repartition(5), tokenizer)
-    own = [packing._wide(r["ids"]) for r in made.collect()]
+    made = packing.staged(packing.encoded(docs.repartition(5), tokenizer), "encoded")
+    own = [packing._wide(r["ids"]) for r in made.filter("NOT counted").collect()]
     whole, expected = packing._statistics(made), packing.statistics(own)
     assert (whole.df == expected.df).all()
     assert (whole.documents, whole.mean_length) == (expected.documents, expected.mean_length)
-    part = packing.Bm25(own[:50], whole)
-    assert np.allclose(part.scores(3), packing.Bm25(own).scores(3)[:50])
+    part, asked = packing.Bm25(own[:50], whole), np.array([3, 11])
+    before = part.scores(asked)
+    assert np.allclose(before, packing.Bm25(own).scores(asked)[:, :50])
     wanted = np.arange(50) % 3 == 0
-    before = part.scores(3)
     part.keep(wanted)
-    assert np.allclose(part.scores(3), np.where(wanted, before, 0))
+    assert np.allclose(part.scores(asked), before[:, wanted])
+
+
+def plain_pack(docs, window, whole, most=32):
+    """Pieces by asking for one seed at a time, with the scores of all documents."""
+    df, mean = whole.df, whole.mean_length
+    idf = np.log1p((whole.documents - df + 0.5) / (df + 0.5))
+    weights = []
+    for d in docs:
+        terms, tf = np.unique(d, return_counts=True)
+        norm = packing.K1 * (1 - packing.B + packing.B * len(d) / mean)
+        weights.append(dict(zip(terms.tolist(), (idf[terms] * tf * (packing.K1 + 1) / (tf + norm)).tolist())))
+    unused, pieces, neighbours = set(range(len(docs))), [], []
+    sequence = offset = 0
+    while unused:
+        current = neighbours.pop(0) if neighbours else min(unused)
+        unused.discard(current)
+        start, total = 0, len(docs[current])
+        while start < total:
+            if offset == 0:
+                asked = set(docs[current].tolist())
+                scores = {d: round(sum(weights[d].get(t, 0.0) for t in asked), 9) for d in unused}
+                found = sorted((-s, d) for d, s in scores.items() if s > 0)
+                neighbours = [d for _, d in found[:most]]
+            length = min(total - start, window - offset)
+            pieces.append((current, start, length, sequence, offset))
+            start, offset = start + length, offset + length
+            if offset == window:
+                sequence, offset = sequence + 1, 0
+    return pieces
+
+
+@pytest.mark.parametrize("wide, listed, batch", [(1 / 24, 256, 64), (0.9, 33, 3), (0.001, 40, 7)])
+def test_pieces_are_those_of_asking_one_by_one(docs, tokenizer, monkeypatch, wide, listed, batch):
+    monkeypatch.setattr(packing, "WIDE_SHARE", wide)
+    monkeypatch.setattr(packing, "LISTED", listed)
+    monkeypatch.setattr(packing, "SEEDS_PER_BATCH", batch)
+    encode = packing.encoder(tokenizer)
+    own = [np.array([*encode(r["text"]), 0], "<u4") for r in docs.limit(120).collect()]
+    own += [own[3], own[5], own[3], np.zeros(1, "<u4")]
+    whole = packing.statistics(own + [own[0]] * 30)
+    for window in (64, 1024):
+        assert list(packing.pack(own, window, whole)) == plain_pack(own, window, whole)
 
 
 def test_like_documents_share_cells():
@@ -130,11 +172,11 @@ def test_like_documents_share_cells():
     whole = packing.statistics(docs)
     x = np.array([packing.likeness(d, whole) for d in docs])
     cells = packing.Cells(x, np.full(len(docs), 80.0), 8)
-    found = np.array([cells.of(v) for v in x])
+    found = cells.of(x)
     assert sorted(set(found.tolist())) == list(range(8))
     assert all(np.bincount(found[t::8]).max() >= 35 for t in range(8))
     one = packing.Cells(x[:1].repeat(9, axis=0), np.ones(9), 4)  # copies only
-    assert 0 <= one.of(x[0]) < 4
+    assert 0 <= one.of(x[:1])[0] < 4
 
 
 def test_dealing_brings_topics_together(spark, tokenizer, monkeypatch):

@@ -18,7 +18,6 @@ from dataclasses import dataclass
 from functools import cached_property, lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 import tiktoken
@@ -36,6 +35,10 @@ SHARD_TOKENS = 2_000_000
 AXES = 128  # of a likeness vector
 CELLS, SAMPLED, MOST_SAMPLED = 4, 64, 40_000  # cells and sampled documents of a shard; sampled at most
 K1, B = 1.2, 0.75
+MOST_NEIGHBOURS, LISTED = 32, 256  # of a seed: taken at most, and in a list
+SEEDS_PER_BATCH, BATCH_CELLS = 64, 1 << 20  # seeds asked together, and scores they make
+# Terms that so many of a shard's documents have are held as rows of a matrix, within these bounds.
+WIDE_SHARE, WIDE_TERMS, WIDE_CELLS = 1 / 24, 2000, 1 << 22
 _ID = np.dtype("<u4")
 
 
@@ -65,14 +68,18 @@ def encoder(path: str):
 
 
 def encoded(docs: DataFrame, path: str) -> DataFrame:
-    """`doc_id, ids` (32-bit, with the separator at the end), and two hashes to deal documents by."""
+    """`doc_id, ids` (32-bit, with the separator at the end), and two hashes to deal documents by. Rows
+    with `counted` say for a token id in how many of a task's documents it is (`doc_id` and `low`); -1
+    stands for the number of documents and -2 for that of tokens."""
+    names = ["counted", "doc_id", "ids", "low", "next_low"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path)
+        df, documents, tokens = np.zeros(1 << 16, np.int64), 0, 0
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                rows, low, next_low = [], [], []
+                rows, low, next_low, made = [], [], [], []
                 for text in part.column(1):
                     ids = np.array([*ids_of(text.as_py()), SEPARATOR], _ID)
                     hashes = mix(ids.astype(np.uint64) + np.uint64(1))
@@ -81,14 +88,41 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
                     rows.append(_narrow(ids))
                     low.append(int(smallest >> np.uint64(1)))
                     next_low.append(int((rest.min() if len(rest) else smallest) >> np.uint64(1)))
-                columns = [part.column(0), pa.array(rows, pa.binary()), pa.array(low), pa.array(next_low)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "low", "next_low"])
+                    made.append(ids)
+                seen = _document_frequencies(made)
+                if len(seen) > len(df):
+                    df = np.concatenate((df, np.zeros(len(seen) - len(df), np.int64)))
+                df[: len(seen)] += seen
+                documents, tokens = documents + len(made), tokens + sum(map(len, made))
+                columns = [
+                    pa.array(np.zeros(len(rows), bool)), part.column(0), pa.array(rows, pa.binary()),
+                    pa.array(low), pa.array(next_low),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        term = np.flatnonzero(df)
+        terms = pa.array([*term.tolist(), -1, -2], pa.int64())
+        counts = pa.array([*df[term].tolist(), documents, tokens], pa.int64())
+        none, flags = pa.nulls(len(terms), pa.binary()), pa.array(np.ones(len(terms), bool))
+        yield pa.RecordBatch.from_arrays([flags, terms, none, counts, counts], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(
-        encode, "doc_id long, ids binary, low long, next_low long"
+        encode, "counted boolean, doc_id long, ids binary, low long, next_low long"
     )
 
 
+def _document_frequencies(docs: list[np.ndarray]) -> np.ndarray:
+    """In how many of at most 256 documents each token id is."""
+    if not docs:
+        return np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(docs), dtype=np.uint64), [len(d) for d in docs])
+    key = (np.concatenate(docs).astype(np.uint64) << np.uint64(8)) | owner
+    if key.max() < 1 << 32:
+        key = key.astype(np.uint32)
+    key.sort()
+    first = np.concatenate(([True], key[1:] != key[:-1]))
+    return np.bincount((key[first] >> 8).astype(np.int64))
+
+
 def _narrow(ids: np.ndarray) -> bytes:
     """Ids in two bytes each if all fit, after a byte that tells the width."""
     small = ids.max() < 1 << 16
@@ -173,17 +207,25 @@ class Cells:
         )
         return node
 
-    def of(self, vector: np.ndarray) -> int:
-        node = self.root
-        while node >= 0:
-            node = self.below[node][int(vector @ self.planes[node] >= self.cuts[node])]
-        return -1 - node
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """Cells of many vectors, a level of the tree at a time."""
+        node = np.full(len(vectors), self.root, np.int64)
+        planes = np.array(self.planes, np.float32).reshape(-1, AXES)
+        cuts, below = np.array(self.cuts), np.array(self.below, np.int64).reshape(-1, 2)
+        while True:
+            inner = np.flatnonzero(node >= 0)
+            if not len(inner):
+                return -1 - node
+            here = node[inner]
+            along = np.einsum("ij,ij->i", vectors[inner], planes[here])
+            node[inner] = below[here, (along >= cuts[here]).astype(np.int64)]
 
 
 class Bm25:
     """Inverted index over the token ids of a shard's documents, weighted by the statistics of all.
 
-    Only postings are kept, sorted by term and document; a seed's terms are looked up when it asks."""
+    Only postings are kept, sorted by term and document. Seeds are asked for many at a time: the postings
+    of terms that many documents have make one matrix product, those of the others are added up."""
 
     def __init__(self, docs: list[np.ndarray], whole: Statistics | None = None):
         whole = whole or statistics(docs)
@@ -199,55 +241,145 @@ class Bm25:
         self.posting_doc = key.astype(np.uint32).astype(np.int32)
         key >>= np.uint64(32)
         self.of_term = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
-        self.terms = key[self.of_term[:-1]].astype(np.uint32)
+        terms = key[self.of_term[:-1]].astype(np.uint32)
+        df = np.diff(self.of_term)
         norm = K1 * (1 - B + B * lengths[self.posting_doc] / whole.mean_length)
-        self.posting_weight = np.repeat(whole.idf[self.terms], np.diff(self.of_term)) * (tf * (K1 + 1) / (tf + norm))
+        self.posting_weight = np.repeat(whole.idf[terms], df) * (tf * (K1 + 1) / (tf + norm))
+        # The terms of each document, by number.
+        narrow = self.posting_doc.astype(np.uint16 if len(docs) < 1 << 16 else np.uint32)
+        order = np.argsort(narrow, kind="stable")
+        self.doc_terms = np.repeat(np.arange(len(terms), dtype=np.int32), df)[order]
+        self.of_doc = np.searchsorted(narrow[order], np.arange(len(docs) + 1))
+        self.wide = np.full(len(terms), -1, np.int64)
+        self.held = np.arange(self.size)
+        self._widen()
+
+    def _widen(self) -> None:
+        """Lay out the weights of the most frequent terms as rows of a matrix over the held documents."""
+        df, column = np.diff(self.of_term), np.zeros(self.size, np.int64)
+        column[self.held] = np.arange(len(self.held))
+        most = max(1, min(WIDE_TERMS, WIDE_CELLS // max(1, len(self.held))))
+        chosen = np.flatnonzero(df >= max(1, len(self.held) * WIDE_SHARE))
+        chosen = chosen[np.argsort(-df[chosen], kind="stable")[:most]]
+        self.wide[:] = -1
+        self.wide[chosen] = np.arange(len(chosen))
+        self.weights = np.zeros((len(chosen), len(self.held)))
+        at = _ranges(self.of_term[chosen], df[chosen])
+        self.weights[np.repeat(np.arange(len(chosen)), df[chosen]), column[self.posting_doc[at]]] = (
+            self.posting_weight[at]
+        )
+        self.column = column
 
     def keep(self, wanted: np.ndarray) -> None:
         """Drop the postings of other documents; their scores are 0 from now on."""
         held = wanted[self.posting_doc]
         self.of_term = np.concatenate(([0], np.cumsum(held)))[self.of_term]
         self.posting_doc, self.posting_weight = self.posting_doc[held], self.posting_weight[held]
-
-    def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document for all distinct terms of the seed."""
-        terms = np.searchsorted(self.terms, np.unique(self.docs[seed]))
-        parts = [slice(a, b) for a, b in zip(self.of_term[terms].tolist(), self.of_term[terms + 1].tolist())]
-        return np.bincount(
-            np.concatenate([self.posting_doc[p] for p in parts]),
-            weights=np.concatenate([self.posting_weight[p] for p in parts]), minlength=self.size,
-        )
+        self.held = np.flatnonzero(wanted)
+        self._widen()
+
+    def scores(self, seeds: np.ndarray) -> np.ndarray:
+        """BM25 scores of the held documents for all distinct terms of each seed (a row each), to nine
+        digits, so that equal documents have equal scores."""
+        count = self.of_doc[seeds + 1] - self.of_doc[seeds]
+        terms = self.doc_terms[_ranges(self.of_doc[seeds], count)]
+        row = np.repeat(np.arange(len(seeds)), count)
+        wide = self.wide[terms]
+        asked = np.zeros((len(seeds), len(self.weights)))
+        asked[row[wide >= 0], wide[wide >= 0]] = 1.0
+        found = asked @ self.weights
+        row, terms = row[wide < 0], terms[wide < 0]
+        postings = self.of_term[terms + 1] - self.of_term[terms]
+        at = _ranges(self.of_term[terms], postings)
+        place = np.repeat(row * len(self.held), postings) + self.column[self.posting_doc[at]]
+        found += np.bincount(place, self.posting_weight[at], found.size).reshape(found.shape)
+        return np.round(found, 9)
+
+    def best(self, seeds: np.ndarray, most: int, wanted: np.ndarray) -> list[list[int]]:
+        """For each seed the `most` wanted documents with the highest scores above 0, itself left out, the
+        best first and ties in order."""
+        score = self.scores(seeds)
+        score[:, ~wanted[self.held]] = 0.0
+        own = np.flatnonzero(np.isin(seeds, self.held))
+        score[own, self.column[seeds[own]]] = 0.0
+        most = min(most, len(self.held))
+        if not most:
+            return [[] for _ in seeds]
+        bar = np.partition(score, score.shape[1] - most, axis=1)[:, score.shape[1] - most]
+        row, column = np.nonzero((score >= bar[:, None]) & (score > 0))
+        order = np.lexsort((column, -score[row, column], row))
+        row, docs = row[order], self.held[column[order]]
+        bounds = np.searchsorted(row, np.arange(len(seeds) + 1)).tolist()
+        return [docs[a : min(b, a + most)].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All positions of the given ranges, one after the other."""
+    first = np.cumsum(lengths) - lengths
+    return np.arange(lengths.sum()) + np.repeat(starts - first, lengths)
+
+
+class Neighbours:
+    """The unused neighbours of seeds, best first.
+
+    A list is made for many documents together, the longest first, as these become seeds; it holds more
+    than a window takes. A seed whose list was used up is asked again, so that lists are never short."""
+
+    def __init__(self, docs: list[np.ndarray], whole: Statistics | None, unused: np.ndarray):
+        self.index, self.unused = Bm25(docs, whole), unused
+        self.longest = self.waiting = np.argsort([-len(d) for d in docs], kind="stable")
+        self.lists: dict[int, list[int]] = {}
+
+    def of(self, seed: int) -> Iterator[int]:
+        """Up to `MOST_NEIGHBOURS` documents that are unused when they are taken."""
+        given = 0
+        while given < MOST_NEIGHBOURS:
+            if seed not in self.lists:
+                self._ask(seed)
+            listed = self.lists.pop(seed)
+            for doc in listed:
+                if self.unused[doc]:
+                    yield doc
+                    given += 1
+                    if given == MOST_NEIGHBOURS:
+                        return
+            if len(listed) < LISTED:
+                return
+
+    def _ask(self, seed: int) -> None:
+        held = int(self.unused.sum())
+        if held < 0.9 * len(self.index.held):
+            self.index.keep(self.unused)
+        batch = max(1, min(SEEDS_PER_BATCH, BATCH_CELLS // max(1, len(self.index.held))))
+        self.waiting = self.waiting[self.unused[self.waiting]]
+        if not len(self.waiting):  # all have been asked for: once more, as lists have been used up
+            self.waiting = self.longest = self.longest[self.unused[self.longest]]
+        seeds = np.concatenate(([seed], self.waiting[: batch - 1]))
+        seeds = seeds[np.sort(np.unique(seeds, return_index=True)[1])]
+        self.waiting = self.waiting[batch - 1 :]
+        for one, listed in zip(seeds.tolist(), self.index.best(seeds, LISTED, self.unused)):
+            self.lists[one] = listed
 
 
 def pack(
     docs: list[np.ndarray], window: int = WINDOW, whole: Statistics | None = None
 ) -> Iterator[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of every piece of a shard."""
-    index = Bm25(docs, whole)
     unused = np.ones(len(docs), bool)
-    in_order, left, indexed = 0, len(docs), len(docs)
-    sequence, offset, seed = 0, 0, -1
-    neighbours: list[int] = []
+    index = Neighbours(docs, whole, unused)
+    in_order, sequence, offset = 0, 0, 0
+    neighbours: Iterator[int] = iter(())
     for _ in range(len(docs)):
-        if seed >= 0 and not neighbours:
-            if left < 0.8 * indexed:
-                index.keep(unused)
-                indexed = left
-            score = np.where(unused, index.scores(seed), 0.0)
-            best = np.argsort(-score, kind="stable")[:32]
-            neighbours = [int(d) for d in best[score[best] > 0]][::-1]
-        if neighbours:
-            current = neighbours.pop()
-        else:
+        current = next(neighbours, -1)
+        if current < 0:
             while not unused[in_order]:
                 in_order += 1
             current = in_order
         unused[current] = False
-        left -= 1
         start, total = 0, len(docs[current])
         while start < total:
-            if offset == 0:
-                seed, neighbours = current, []  # the first document of a window is its seed
+            if offset == 0:  # the first document of a window is its seed
+                neighbours = index.of(current)
             length = min(total - start, window - offset)
             yield current, start, length, sequence, offset
             start += length
@@ -257,23 +389,9 @@ def pack(
 
 
 def _statistics(made: DataFrame) -> Statistics:
-    """Of all documents; each task counts its own, and a row per token id is sent."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, documents, tokens = np.zeros(1 << 16, np.int64), 0, 0
-        for batch in batches:
-            for raw in batch.column(0):
-                ids = np.unique(wide := _wide(raw.as_py()))
-                if ids[-1] >= len(df):
-                    df = np.concatenate((df, np.zeros(int(ids[-1]) + 1, np.int64)))
-                df[ids] += 1
-                documents, tokens = documents + 1, tokens + len(wide)
-        term = np.flatnonzero(df)
-        terms, counts = [*term.tolist(), -1, -2], [*df[term].tolist(), documents, tokens]
-        yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(counts)], names=["term", "n"])
-
-    counted = made.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {r["term"]: r["n"] for r in counted.collect()}
+    """Of all documents, out of what the tasks have counted: a row per token id is sent."""
+    counted = made.filter("counted").groupBy("doc_id").agg(F.sum("low").alias("n"))
+    found = {r["doc_id"]: r["n"] for r in counted.collect()}
     documents, tokens = found.pop(-1, 0), found.pop(-2, 0)
     df = np.zeros(max(found, default=0) + 1, np.int64)
     df[list(found)] = list(found.values())
@@ -301,24 +419,25 @@ def _cells(made: DataFrame, whole: Statistics, shards: int) -> Cells:
     return Cells(x, np.array([r["tokens"] for r in rows], float), CELLS * shards)
 
 
-def packed(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
-    """`doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids`: the pieces of all
-    documents (`doc_id`, `text`, others are ignored), every token in exactly one.
+def packed(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+    """`doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`, and `ids` if wanted: the pieces
+    of all documents (`doc_id`, `text`, others are ignored), every token in exactly one.
 
     A document's tokens are those of its whole text and the separator; a null text counts as empty, so
     each document has a piece. A null doc_id stays null, and rows that repeat are packed each. Sequences
     are full but for the last of a shard. An empty table gives an empty table.
     """
-    made = staged(encoded(docs, path), "encoded")
-    tokens = made.agg(F.sum(F.octet_length("ids").cast("long"))).first()[0] or 0
-    shards = max(1, -(-(tokens // 2) // SHARD_TOKENS))
-    whole = _statistics(made)
+    written = staged(encoded(docs, path), "encoded")
+    whole = _statistics(written)
+    made = written.filter("NOT counted").drop("counted")
+    shards = max(1, -(-int(whole.mean_length * whole.documents) // SHARD_TOKENS))
     shared = docs.sparkSession.sparkContext.broadcast((whole, _cells(made, whole, shards)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole, cells = shared.value
         for batch in batches:
-            numbers = [cells.of(likeness(_wide(raw.as_py()), whole)) for raw in batch.column("ids")]
+            vectors = [likeness(_wide(raw.as_py()), whole) for raw in batch.column("ids")]
+            numbers = cells.of(np.array(vectors).reshape(-1, AXES))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "cell"]
             )
@@ -329,26 +448,33 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
         placed = made.withColumn("cell", F.lit(0).cast("long"))
     keys = ["cell", "low", "next_low", "doc_id"]
     dealt = placed.repartitionByRange(shards, *keys).sortWithinPartitions(*keys, "ids")
+    schema = (
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
+        " offset long" + (", ids binary" if with_ids else "")
+    )
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def write(ids: list, docs: list[np.ndarray], sequences: int) -> tuple[pa.RecordBatch, int]:
+        pieces = list(pack(docs, window, shared.value[0]))
+        cut = [docs[doc][start : start + length] for doc, start, length, _, _ in pieces]
+        doc, start, length, sequence, offset = np.array(pieces, np.int64).T
+        sizes = np.array([len(d) for d in docs], np.int64)
+        columns = [
+            pa.array([ids[d] for d in doc.tolist()], pa.int64()), start, length,
+            pa.array([zlib.crc32(c) for c in cut], pa.int64()), sizes[doc], sequences + sequence, offset,
+        ]
+        if with_ids:
+            columns.append(pa.array([c.tobytes() for c in cut], pa.binary()))
+        table = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        return table, sequences + int(sequence.max()) + 1
 
-    def write(ids: list, docs: list[np.ndarray], sequences: int) -> tuple[pd.DataFrame, int]:
-        rows = []
-        for doc, start, length, sequence, offset in pack(docs, window, shared.value[0]):
-            piece = docs[doc][start : start + length]
-            crc = zlib.crc32(piece.tobytes())
-            rows.append((ids[doc], start, length, crc, len(docs[doc]), sequences + sequence, offset, piece.tobytes()))
-        table = pd.DataFrame(
-            rows,
-            columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
-        )
-        return table.astype({"doc_id": "Int64"}), int(table["sequence_id"].max()) + 1
-
-    def shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequences = TaskContext.get().partitionId() << 40
         ids, held, size = [], [], 0
         for batch in batches:
-            for doc_id, raw in zip(batch["doc_id"], batch["ids"]):
-                ids.append(None if pd.isna(doc_id) else int(doc_id))
-                held.append(_wide(raw))
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids.append(doc_id)
+                held.append(_wide(raw.as_py()))
                 size += len(held[-1])
                 if size >= 2 * SHARD_TOKENS:  # long documents: pack what is held, and go on
                     table, sequences = write(ids, held, sequences)
@@ -357,8 +483,4 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW) -> DataFrame:
         if held:
             yield write(ids, held, sequences)[0]
 
-    schema = (
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
-        " offset long, ids binary"
-    )
-    return dealt.select("doc_id", "ids").mapInPandas(shard, schema)
+    return dealt.select("doc_id", "ids").mapInArrow(shard, schema)

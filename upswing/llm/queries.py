@@ -47,7 +47,7 @@ def crc_remainder(column: str, divisor: int) -> Column:
 
 @register("op1_retrieval_packing")
 def op1(spark, sf):
-    return packing.packed(table(spark, sf, "documents"), tokenizer_path()).drop("ids")
+    return packing.packed(table(spark, sf, "documents"), tokenizer_path(), with_ids=False)
 
 
 @register(
