@@ -40,7 +40,7 @@ def with_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, in windows of related ones."""
-    return packing.packed(docs, tokenizer_path()).drop("ids")
+    return packing.packed(docs, tokenizer_path(), with_ids=False)
 
 
 STAGES = [
