@@ -1,8 +1,11 @@
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from upswing.llm import decontamination as D
 
@@ -98,3 +101,35 @@ def test_odd_tables(odd_docs, no_docs, spark):
     assert D.contaminated(no_docs, items).count() == 0
     assert D.contaminated(odd_docs, items.limit(0)).count() == 0
     assert D.without_contaminated(odd_docs, items.limit(0)).count() == odd_docs.count()
+
+
+def test_a_common_phrase_takes_bounded_work():
+    """4,000 items that begin with the same twelve words, and a text that has these 500 times."""
+    pick = random.Random(2)
+    phrase = "which of the following is the best answer to the question below".split()
+    items = [" ".join(phrase + [f"w{pick.randrange(10**6)}" for _ in range(20)]) for _ in range(4000)]
+    text = " ".join(" ".join([*phrase, f"x{i}"]) for i in range(500)) + " " + items[1234]
+    index = D.ItemIndex(list(range(4000)), items)
+    assert index.prepared
+    tracemalloc.start()
+    begun = time.process_time()
+    for first, data, offsets in D.blocks(D._normal(pa.array([text, "nothing", items[7].upper()]))):
+        hits = index.leaks(data, offsets)
+    took, peak = time.process_time() - begun, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(t, i, s) for t, i, _, _, s, _ in hits] == [(0, 1234, 1.0), (2, 7, 1.0)]
+    assert took < 4 and peak < 300e6
+
+
+def test_items_of_little_but_a_common_phrase(monkeypatch):
+    monkeypatch.setattr(D, "PARCEL", 50)
+    monkeypatch.setattr(D, "WINDOWS_AT_ONCE", 7)
+    phrase = "one two three four five six seven eight nine ten eleven twelve".split()
+    items = [(i, " ".join([*phrase, f"w{i}"])) for i in range(40)] + [(99, "one two three four five " * 4)]
+    texts = [" ".join(phrase * 6), " ".join([*phrase, "w3", "w4", *phrase, "w5"]), "one two three four five " * 9]
+    index = D.ItemIndex([i for i, _ in items], [t for _, t in items])
+    hits = []
+    for first, data, offsets in D.blocks(D._normal(pa.array(texts))):
+        hits += [(first + t, i, round(s, 9)) for t, i, _, _, s, _ in index.leaks(data, offsets)]
+    expected = brute(list(enumerate(texts)), items)
+    assert {(t, i): s for t, i, s in hits} == expected and len(expected) > 40
