@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
@@ -79,24 +80,18 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                rows, low, next_low, made = [], [], [], []
-                for text in part.column(1):
-                    ids = np.array([*ids_of(text.as_py()), SEPARATOR], _ID)
-                    hashes = mix(ids.astype(np.uint64) + np.uint64(1))
-                    smallest = hashes.min()
-                    rest = hashes[hashes > smallest]
-                    rows.append(_narrow(ids))
-                    low.append(int(smallest >> np.uint64(1)))
-                    next_low.append(int((rest.min() if len(rest) else smallest) >> np.uint64(1)))
-                    made.append(ids)
+                made = [
+                    np.array([*ids_of(text.as_py()), SEPARATOR], _ID) for text in part.column(1)
+                ]
+                low, next_low = _smallest_hashes(made)
                 seen = _document_frequencies(made)
                 if len(seen) > len(df):
                     df = np.concatenate((df, np.zeros(len(seen) - len(df), np.int64)))
                 df[: len(seen)] += seen
                 documents, tokens = documents + len(made), tokens + sum(map(len, made))
                 columns = [
-                    pa.array(np.zeros(len(rows), bool)), part.column(0), pa.array(rows, pa.binary()),
-                    pa.array(low), pa.array(next_low),
+                    pa.array(np.zeros(len(made), bool)), part.column(0),
+                    pa.array([_narrow(ids) for ids in made], pa.binary()), pa.array(low), pa.array(next_low),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
         term = np.flatnonzero(df)
@@ -110,6 +105,18 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     )
 
 
+def _smallest_hashes(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest and the next smallest hash of each document's ids; equal if there is only one."""
+    hashes = mix(np.concatenate(docs).astype(np.uint64) + np.uint64(1)) >> np.uint64(1)
+    lengths = np.array([len(d) for d in docs])
+    starts = np.cumsum(lengths) - lengths
+    low = np.minimum.reduceat(hashes, starts)
+    rest = np.where(hashes > np.repeat(low, lengths), hashes, np.uint64((1 << 64) - 1))
+    next_low = np.minimum.reduceat(rest, starts)
+    next_low = np.where(next_low == np.uint64((1 << 64) - 1), low, next_low)
+    return low.astype(np.int64), next_low.astype(np.int64)
+
+
 def _document_frequencies(docs: list[np.ndarray]) -> np.ndarray:
     """In how many of at most 256 documents each token id is."""
     if not docs:
@@ -398,25 +405,59 @@ def _statistics(made: DataFrame) -> Statistics:
     return Statistics(df, documents, tokens / max(1, documents))
 
 
-def _cells(made: DataFrame, whole: Statistics, shards: int) -> Cells:
-    """Cells learnt from the likeness vectors of a bounded sample of the documents."""
+class Dealing:
+    """Which shard a document belongs to: documents in the order of their cell, then of their hashes and
+    id, are cut where the tokens of a bounded sample say that a shard is full. A cell, or a group of equal
+    documents, of any size is cut like that, too."""
+
+    def __init__(self, rows: list[tuple], shards: int):
+        """`rows` of the sample: (two hashes, id, likeness vector, tokens)."""
+        x = np.array([row[3] for row in rows], np.float32).reshape(-1, AXES)
+        tokens = np.array([row[4] for row in rows], float)
+        self.cells = Cells(x, tokens, CELLS * shards)
+        keys = [
+            (cell, *key[:2], _order(key[2])) for cell, key in zip(self.cells.of(x).tolist(), rows)
+        ]
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        until = np.cumsum(tokens[order])
+        bounds = until[-1] / shards * np.arange(1, shards) if len(order) else np.zeros(0)
+        self.bounds = [keys[order[i]] for i in np.searchsorted(until, bounds).tolist()]
+
+    def of(self, cells: list[int], low: list[int], next_low: list[int], ids: list) -> list[int]:
+        return [
+            bisect(self.bounds, (cell, a, b, _order(doc_id)))
+            for cell, a, b, doc_id in zip(cells, low, next_low, ids)
+        ]
+
+
+def _order(doc_id: int | None) -> tuple:
+    return (doc_id is not None, doc_id or 0)
+
+
+def _dealing(made: DataFrame, whole: Statistics, shards: int) -> Dealing:
+    """Learnt from a bounded sample of the documents."""
     if shards < 2:
-        return Cells(np.zeros((0, AXES), np.float32), np.zeros(0), 1)
+        return Dealing([], 1)
     share = min(1.0, min(SAMPLED * shards, MOST_SAMPLED) / whole.documents)
     order = F.pmod(F.xxhash64("doc_id", "low", "next_low"), F.lit(1 << 30))
     shared = made.sparkSession.sparkContext.broadcast(whole)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [_wide(raw.as_py()) for raw in batch.column(0)]
+            ids = [_wide(raw.as_py()) for raw in batch.column("ids")]
             made = [likeness(i, shared.value).tobytes() for i in ids]
-            columns = [pa.array(made, pa.binary()), pa.array([len(i) for i in ids], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["vector", "tokens"])
-
-    sample = made.filter(order < int(share * (1 << 30))).select("ids")
-    rows = sorted(sample.mapInArrow(vectors, "vector binary, tokens long").collect())
-    x = np.array([np.frombuffer(r["vector"], np.float32) for r in rows]).reshape(-1, AXES)
-    return Cells(x, np.array([r["tokens"] for r in rows], float), CELLS * shards)
+            columns = [
+                batch.column("low"), batch.column("next_low"), batch.column("doc_id"),
+                pa.array(made, pa.binary()), pa.array([len(i) for i in ids], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["low", "next_low", "doc_id", "vector", "tokens"])
+
+    sample = made.filter(order < int(share * (1 << 30))).mapInArrow(
+        vectors, "low long, next_low long, doc_id long, vector binary, tokens long"
+    )
+    rows = [(*r[:3], np.frombuffer(r[3], np.float32), r[4]) for r in sample.collect()]
+    rows.sort(key=lambda r: (r[0], r[1], _order(r[2])))
+    return Dealing(rows, shards)
 
 
 def packed(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
@@ -431,23 +472,26 @@ def packed(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = Tr
     whole = _statistics(written)
     made = written.filter("NOT counted").drop("counted")
     shards = max(1, -(-int(whole.mean_length * whole.documents) // SHARD_TOKENS))
-    shared = docs.sparkSession.sparkContext.broadcast((whole, _cells(made, whole, shards)))
+    shared = docs.sparkSession.sparkContext.broadcast((whole, _dealing(made, whole, shards)))
+    own = "doc_id long, ids binary, low long, next_low long, cell long, shard int"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole, cells = shared.value
+        whole, dealing = shared.value
         for batch in batches:
             vectors = [likeness(_wide(raw.as_py()), whole) for raw in batch.column("ids")]
-            numbers = cells.of(np.array(vectors).reshape(-1, AXES))
+            cells = dealing.cells.of(np.array(vectors).reshape(-1, AXES)).tolist()
+            key = [batch.column(name).to_pylist() for name in ("low", "next_low", "doc_id")]
+            made = [pa.array(cells, pa.int64()), pa.array(dealing.of(cells, *key), pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(numbers, pa.int64())], names=[*batch.schema.names, "cell"]
+                [*batch.columns, *made], names=[*batch.schema.names, "cell", "shard"]
             )
 
     if shards > 1:
-        placed = made.mapInArrow(place, "doc_id long, ids binary, low long, next_low long, cell long")
+        placed = made.mapInArrow(place, own)
     else:
-        placed = made.withColumn("cell", F.lit(0).cast("long"))
+        placed = made.withColumns({"cell": F.lit(0).cast("long"), "shard": F.lit(0)})
     keys = ["cell", "low", "next_low", "doc_id"]
-    dealt = placed.repartitionByRange(shards, *keys).sortWithinPartitions(*keys, "ids")
+    dealt = placed.repartitionById(shards, "shard").sortWithinPartitions(*keys, "ids")
     schema = (
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long,"
         " offset long" + (", ids binary" if with_ids else "")
