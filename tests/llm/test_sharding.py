@@ -1,9 +1,11 @@
+import random
 from collections import Counter
 from math import comb
 
 import pytest
 from pyspark.sql import functions as F
 
+from upswing.llm import sharding
 from upswing.llm.sharding import communication_matrix, hypergeometric, uniform_shards
 
 
@@ -53,3 +55,38 @@ def test_odd_tables(odd_docs, no_docs, spark):
     found = uniform_shards(nulls, ["doc_id", "text"]).groupBy("shard").count().collect()
     assert sorted(r["count"] for r in found) == [2] * 8 + [3] * 8
     assert uniform_shards(odd_docs, ["doc_id", "text"]).count() == odd_docs.count()
+
+
+def test_matrix_by_parts_has_the_margins_of_the_whole(spark, monkeypatch):
+    pick = random.Random(1)
+    expected = {b: pick.choice([0, 3, 50, 700]) for b in range(64) if b % 5}
+    sizes = spark.createDataFrame(list(expected.items()), "block long, n long")
+    for at_once in (12, 4, 1):
+        monkeypatch.setattr(sharding, "LEVELS_AT_ONCE", at_once)
+        rows = communication_matrix(sizes, 6, 16, 7).collect()
+        assert sorted(r["block"] for r in rows) == list(range(64))
+        assert all(sum(r["counts"]) == expected.get(r["block"], 0) for r in rows)
+        columns = [sum(c) for c in zip(*(r["counts"] for r in rows))]
+        assert max(columns) - min(columns) <= 1 and min(min(r["counts"]) for r in rows) >= 0
+    plan = communication_matrix(sizes, 6, 16, 7)._jdf.queryExecution().toString()
+    assert "Python" not in plan
+
+
+def test_columns_with_clashing_names(spark):
+    names = ["_bounds", "_block", "_place", "_cell", "block", "place", "bounds", "cell", "row", "within", "a.b"]
+    rows = [(i, *(f"{n}{i}" for n in names)) for i in range(200)]
+    docs = spark.createDataFrame(rows, ["doc_id", *names])
+    found = uniform_shards(docs, ["doc_id"], block_rows=10)
+    assert found.columns == ["doc_id", *names, "shard", "slot"]
+    assert sorted(tuple(r)[:-2] for r in found.collect()) == rows
+
+
+def test_a_shard_is_a_random_sample(spark):
+    """Positions of the rows of each shard are spread like those of a uniform shuffle."""
+    found = uniform_shards(spark.range(8000), ["id"], block_rows=100).collect()
+    for shard in range(16):
+        own = [r["id"] for r in found if r["shard"] == shard]
+        assert len(own) == 500 and abs(sum(own) / 500 - 3999.5) < 5 * 8000 / (12 * 500) ** 0.5
+        slots = sorted((r["slot"], r["id"]) for r in found if r["shard"] == shard)
+        rises = sum(a[1] < b[1] for a, b in zip(slots, slots[1:]))
+        assert 180 < rises < 320

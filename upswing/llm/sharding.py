@@ -17,6 +17,7 @@ from upswing.sources.tables import staged
 SHARDS = 16
 BLOCK_ROWS = 16_384
 SEED = 20_240_131
+LEVELS_AT_ONCE = 12
 _WIDTH = 12  # a draw looks this many standard deviations around the mode
 
 
@@ -128,24 +129,40 @@ def _left_share(capacities: Column, drawn: Column, node: Column, shards: int, se
 def communication_matrix(sizes: DataFrame, levels: int, shards: int, seed: int) -> DataFrame:
     """Per block (2 ** `levels` of them, `block` and `n`): array `counts`, its rows for each shard.
 
-    Row sums are the block sizes; column sums are the shard sizes, at most one apart.
+    Row sums are the block sizes; column sums are the shard sizes, at most one apart. The tree of draws
+    goes down `LEVELS_AT_ONCE` levels at a time from nodes that each hold the sizes below them; more
+    levels start from the matrix of the larger blocks above them, so no row holds more than 2 **
+    `LEVELS_AT_ONCE` sizes.
     """
+    return _matrix(sizes, levels, shards, seed).select("block", "counts")
+
+
+def _matrix(sizes: DataFrame, levels: int, shards: int, seed: int) -> DataFrame:
     spark = sizes.sparkSession
+    here = min(levels, LEVELS_AT_ONCE)
     every = spark.range(1 << levels).withColumnRenamed("id", "block").join(sizes, "block", "left")
-    total = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n)
-    nodes = every.agg(
-        F.sort_array(F.collect_list(F.struct("block", F.coalesce("n", F.lit(0)).alias("n")))).alias("b")
-    ).select(F.lit(1).cast("long").alias("node"), F.col("b")["n"].alias("sizes"))
-    even = F.transform(
-        F.sequence(F.lit(0), F.lit(shards - 1)),
-        lambda s: F.floor(total / shards) + F.when(s < total % shards, 1).otherwise(0),
-    )
-    nodes = nodes.withColumn("counts", even)
-    for level in range(levels):
-        half = 1 << (levels - level - 1)
+    filled = every.select("block", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    above = F.shiftright("block", here)
+    within = F.sort_array(F.collect_list(F.struct("block", "n")))["n"]
+    grouped = filled.groupBy(above.alias("above")).agg(within.alias("sizes"))
+    if levels == here:
+        total = F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n)
+        even = F.transform(
+            F.sequence(F.lit(0), F.lit(shards - 1)),
+            lambda s: F.floor(total / shards) + F.when(s < total % shards, 1).otherwise(0),
+        )
+        nodes = grouped.select(F.lit(1).cast("long").alias("node"), "sizes", even.alias("counts"))
+    else:
+        sums = filled.groupBy(above.alias("block")).agg(F.sum("n").alias("n"))
+        larger = staged(_matrix(sums, levels - here, shards, seed), "larger-blocks")
+        nodes = grouped.join(larger, grouped["above"] == larger["block"]).select(
+            (F.col("above") + (1 << (levels - here))).alias("node"), "sizes", "counts"
+        )
+    for level in range(here):
+        half = 1 << (here - level - 1)
         left = F.slice("sizes", 1, half)
         drawn = F.aggregate(left, F.lit(0).cast("long"), lambda a, n: a + n)
-        if level == 6:  # enough nodes for many tasks
+        if level == 6 and levels == here:  # enough nodes for many tasks
             nodes = nodes.repartition(64, "node")
         nodes = nodes.withColumn(
             "left_counts", _left_share(F.col("counts"), drawn, F.col("node"), shards, seed)
@@ -179,44 +196,50 @@ def uniform_shards(
 
     Shard sizes differ by one at most. `id_columns` tell rows apart for the random order; rows that
     agree in all of them get neighbouring places in any order, and a block holds all of them. Nulls in
-    any column are values like others. Columns named `shard` or `slot` are replaced. An empty table
-    gives an empty table.
+    any column are values like others. Columns named `shard` or `slot` are replaced, others are left alone
+    whatever their names. An empty table gives an empty table.
     """
-    rows = docs.drop("shard", "slot")
+    names = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select(F.struct(*(F.col(_quoted(c)) for c in names)).alias("row"))
     total = rows.count()
     levels = max(0, (max(1, total // block_rows) * 2 - 1).bit_length() - 1)
-    key = [F.col(c) for c in id_columns]
+    key = [F.col("row").getField(c) for c in id_columns]
 
     def order(name: str) -> list[Column]:
         return [F.xxhash64(F.lit(seed), F.lit(name), *key), *key]
 
     block = F.pmod(F.xxhash64(F.lit(seed), F.lit("block"), *key), F.lit(1 << levels))
-    rows = rows.withColumn("_block", block)
-    sizes = rows.groupBy(F.col("_block").alias("block")).agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("block", block)
+    sizes = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
     matrix = staged(communication_matrix(sizes, levels, shards, seed), "communication")
-    place = F.row_number().over(Window.partitionBy("_block").orderBy(*order("within block")))
+    place = F.row_number().over(Window.partitionBy("block").orderBy(*order("within block")))
     bounds = F.aggregate(
         "counts", F.array(F.lit(0).cast("long")), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n))
     )
-    passed = matrix.select(F.col("block").alias("_block"), bounds.alias("_bounds"))
-    dealt = rows.withColumn("_place", place).join(passed, "_block")
-    shard = F.size(F.filter("_bounds", lambda b: b < F.col("_place"))) - 1
+    passed = matrix.select("block", bounds.alias("bounds"))
+    dealt = rows.withColumn("place", place).join(passed, "block")
+    shard = F.size(F.filter("bounds", lambda b: b < F.col("place"))) - 1
     # Within a shard rows fall into cells of about a block's size, and are ordered within the cell.
     cells = max(1, -(-total // (shards * block_rows)))
     cell = F.pmod(F.xxhash64(F.lit(seed), F.lit("cell"), *key), F.lit(cells))
-    dealt = dealt.withColumns({"shard": shard.cast("int"), "_cell": cell})
+    dealt = dealt.select("row", shard.cast("int").alias("shard"), cell.alias("cell"))
     within = F.row_number().over(
-        Window.partitionBy("shard", "_cell").orderBy(*order("within shard"))
+        Window.partitionBy("shard", "cell").orderBy(*order("within shard"))
     )
     if cells == 1:
         numbered = dealt.withColumn("slot", (within - 1).cast("long"))
     else:
-        filled = dealt.groupBy("shard", "_cell").agg(F.count(F.lit(1)).alias("n"))
-        earlier = Window.partitionBy("shard").orderBy("_cell").rowsBetween(
+        filled = dealt.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
+        earlier = Window.partitionBy("shard").orderBy("cell").rowsBetween(
             Window.unboundedPreceding, -1
         )
-        before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")
-        starts = staged(filled.select("shard", "_cell", before), "cells")
-        numbered = dealt.withColumn("_within", within).join(starts, ["shard", "_cell"])
-        numbered = numbered.withColumn("slot", F.col("_before") + F.col("_within") - 1)
-    return numbered.select(*[c for c in rows.columns if c != "_block"], "shard", "slot")
+        before = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+        starts = staged(filled.select("shard", "cell", before), "cells")
+        numbered = dealt.withColumn("within", within).join(starts, ["shard", "cell"])
+        numbered = numbered.withColumn("slot", F.col("before") + F.col("within") - 1)
+    own = [F.col("row").getField(c).alias(c) for c in names]
+    return numbered.select(*own, "shard", "slot")
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
