@@ -46,6 +46,12 @@ def letters() -> np.ndarray:
     return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
 
 
+@lru_cache(maxsize=1)
+def marks() -> np.ndarray:
+    """For every code point whether it is a mark, which is no letter by itself."""
+    return np.array([unicodedata.category(chr(c))[0] == "M" for c in range(0x110000)])
+
+
 def ngram_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """Per block: first row, number of rows, text number and bucket of every n-gram, letters per text.
 
@@ -62,9 +68,10 @@ def ngram_blocks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         bounds = np.concatenate(([0], np.cumsum(starts)))[offsets]
         owner = np.repeat(np.arange(count), np.diff(bounds))
         letter = table[points]
-        alphabetic = np.bincount(owner[letter], minlength=count)
+        alphabetic = np.bincount(owner[letter & ~marks()[points]], minlength=count)
         kept = letter.copy()
-        kept[:-1] |= letter[1:]  # the character before a letter stands for the space
+        # The character before a letter, if it is of the same text, stands for the space.
+        kept[:-1] |= letter[1:] & (owner[1:] == owner[:-1])
         points = np.where(letter, points, 32)[kept].astype(np.uint64)
         owner = owner[kept]
         owners, buckets = [], []
@@ -92,17 +99,14 @@ def training_counts(sample: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             for language, part in batch.groupby("lang"):
                 own = sums.setdefault(language, np.zeros(BUCKETS, np.int64))
-                rows[language] = rows.get(language, 0) + len(part)
                 for _, _, _, buckets, _ in ngram_blocks(pa.array(part["text"], pa.string())):
                     own += np.bincount(buckets, minlength=BUCKETS)
         for language, own in sums.items():
             used = np.flatnonzero(own)
             yield pd.DataFrame({"lang": language, "bucket": used, "n": own[used]})
-            yield pd.DataFrame({"lang": [language], "bucket": [-1], "n": [rows[language]]})
 
     counted = sample.mapInPandas(count, "lang string, bucket long, n long")
     return counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -111,26 +115,43 @@ def training_counts(sample: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, max_rows: int = TRAIN_ROWS) -> Model:
     """Learn from `labelled` (doc_id, text, lang); rows without text or language are ignored.
 
-    Of more than `max_rows` rows an even share by a hash of the id is taken, `max_rows` on average.
-    The model has languages x `BUCKETS` numbers, whatever the input.
+    n-grams are counted in `max_rows` rows on average, an equal number of each language or all it has, by
+    a hash of the id, so that a rare language is learnt, too. Priors are those of all rows. The model has
+    languages x `BUCKETS` numbers, whatever the input.
     """
-    usable = labelled.filter("lang IS NOT NULL")
-    total = usable.count()
-    share = min(1.0, max_rows / max(1, total))
-    chosen = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    counts = training_counts(usable.filter(chosen).select("text", "lang").dropna()).toPandas()
-    languages = sorted(counts["lang"].unique())
+    usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
+    totals = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    languages = sorted(totals)
+    if not languages:
+        return Model([], np.zeros((0, BUCKETS)), np.zeros(0))
+    limit = 1 << 30
+    shares = [
+        min(limit, int(limit * share)) for share in _shares([totals[x] for x in languages], max_rows)
+    ]
+    share = F.element_at(
+        F.map_from_arrays(*(F.array(*map(F.lit, x)) for x in (languages, shares))), F.col("lang")
+    )
+    chosen = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(limit)) < share
+    counts = training_counts(usable.filter(chosen).select("text", "lang")).toPandas()
     number = {language: i for i, language in enumerate(languages)}
     sums = np.zeros((len(languages), BUCKETS))
-    prior = np.zeros(len(languages))
-    for language, bucket, n in counts.itertuples(index=False):
-        if bucket < 0:
-            prior[number[language]] = n
-        else:
-            sums[number[language], bucket] = n
+    rows = counts["lang"].map(number).to_numpy(np.int64)
+    sums[rows, counts["bucket"].to_numpy(np.int64)] = counts["n"].to_numpy()
     smooth = sums + SMOOTHING
-    likelihood = np.log(smooth / smooth.sum(axis=1, keepdims=True)) if languages else sums
-    return Model(languages, likelihood, np.log(np.maximum(prior, 1) / max(1.0, prior.sum())))
+    prior = np.array([totals[x] for x in languages], float)
+    return Model(
+        languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)), np.log(prior / prior.sum())
+    )
+
+
+def _shares(totals: list[int], most: int) -> list[float]:
+    """The part of each language's rows that is taken, so that all have equal numbers, or all their rows
+    where these are fewer, and together `most`."""
+    left, open_languages = most, sorted(totals)
+    while open_languages and open_languages[0] * len(open_languages) <= left:
+        left -= open_languages.pop(0)
+    level = left / len(open_languages) if open_languages else float("inf")
+    return [min(1.0, level / total) for total in totals]
 
 
 def posteriors(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +180,7 @@ def posteriors(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All columns of `docs` with `lang_pred` and `score` (0 to 1), from nothing but the text.
 
-    A null text, or one without letters, gets `und` and 0. Columns of these names are replaced. A
+    A null text, or one without letters (marks alone are none), gets `und` and 0. Columns of these names are replaced. A
     model that has seen no row predicts `und` throughout. An empty table gives an empty table.
     """
     rows = docs.drop("lang_pred", "score")
