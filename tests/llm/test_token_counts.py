@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from upswing.llm import token_counts as token_counts_module
 from upswing.llm.token_counts import counter, load, token_counts
 
 
@@ -37,3 +38,11 @@ def test_documents_and_odd_rows(docs, odd_docs, no_docs, tokenizer):
 def test_no_shuffle_of_the_counted_rows(docs, tokenizer):
     plan = token_counts(docs, tokenizer)._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "MapInArrow" in plan
+
+
+def test_table_has_the_most_frequent_pieces_wherever_they_are(spark, tokenizer):
+    rows = [("alpha beta",)] * 300 + [("gamma",)] * 100 + [("x" * 70,)] * 50 + [(None,)]
+    docs = spark.createDataFrame(rows, "text string").orderBy("text")
+    known = token_counts_module.frequent_lengths(docs, tokenizer, rows=10**6, size=2)
+    assert set(known) == {"alpha", " beta"} and all(n >= 1 for n in known.values())
+    assert "gamma" in token_counts_module.frequent_lengths(docs, tokenizer, rows=10**6, size=3)

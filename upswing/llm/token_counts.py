@@ -3,8 +3,8 @@
 Tier one is a table of frequent pre-tokens with their numbers of tokens, broadcast once; tier two is
 a bounded cache in each worker, filled by the tokenizer. Rows never move: there is no shuffle.
 
-The table only saves work. It is learnt from a sample of at most `SAMPLE_ROWS` rows, and any pre-token
-that it lacks is encoded by the library, so counts do not depend on it.
+The table only saves work. It is learnt from a sample of about `SAMPLE_ROWS` rows of the whole table, and
+any pre-token that it lacks is encoded by the library, so counts do not depend on it.
 """
 
 from __future__ import annotations
@@ -82,17 +82,29 @@ def counter(path: str, known: dict[str, int]) -> Callable[[str | None], int]:
 def frequent_lengths(
     docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, size: int = TABLE_SIZE
 ) -> dict[str, int]:
-    """The `size` most frequent pre-tokens of `rows` rows of `text`, with their lengths.
+    """The `size` most frequent pre-tokens of about `rows` rows of `text`, with their lengths.
 
-    `limit` with `collect` reads as few partitions as give that many rows, so this costs the same for
-    any input, and the table is bounded by `size` entries of at most `LONGEST_CACHED` characters.
+    Rows are drawn by a hash of the text from the whole table, whatever its order. Tasks count their pre-
+    tokens; only the table itself, `size` entries of at most `LONGEST_CACHED` characters, is collected.
     """
-    tokenizer, pattern, special = load(path)
-    seen: Counter[str] = Counter()
-    for row in docs.select("text").dropna().limit(rows).collect():
-        seen.update(p for p in pieces(row["text"], pattern, special)[0] if len(p) <= LONGEST_CACHED)
-    top = [piece for piece, _ in seen.most_common(size)]
-    encoded = tokenizer.encode_batch(top, add_special_tokens=False)
+    texts = docs.select("text").dropna()
+    share = min(1.0, rows / max(1, texts.count()))
+    drawn = F.pmod(F.xxhash64(F.lit("pre-tokens"), "text"), F.lit(1 << 30)) < int(share * (1 << 30))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, pattern, special = load(path)
+        for batch in batches:
+            seen: Counter[str] = Counter()
+            for text in batch.column(0):
+                found = pieces(text.as_py(), pattern, special)[0]
+                seen.update(p for p in found if len(p) <= LONGEST_CACHED)
+            columns = [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "n"])
+
+    counted = texts.filter(drawn).mapInArrow(count, "piece string, n long")
+    summed = counted.groupBy("piece").agg(F.sum("n").alias("n"))
+    top = [r["piece"] for r in summed.orderBy(F.desc("n"), "piece").limit(size).collect()]
+    encoded = load(path)[0].encode_batch(top, add_special_tokens=False)
     return {piece: len(one.ids) for piece, one in zip(top, encoded)}
 
 
