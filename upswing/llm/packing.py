@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from array import array
 from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +37,7 @@ SHARD_TOKENS = 2_000_000
 AXES = 128  # of a likeness vector
 CELLS, SAMPLED, MOST_SAMPLED = 4, 64, 40_000  # cells and sampled documents of a shard; sampled at most
 K1, B = 1.2, 0.75
-MOST_NEIGHBOURS, LISTED = 32, 256  # of a seed: taken at most, and in a list
+MOST_NEIGHBOURS, LISTED = 32, 160  # of a seed: taken at most, and in a list
 SEEDS_PER_BATCH, BATCH_CELLS = 64, 1 << 20  # seeds asked together, and scores they make
 # Terms that so many of a shard's documents have are held as rows of a matrix, within these bounds.
 WIDE_SHARE, WIDE_TERMS, WIDE_CELLS = 1 / 24, 2000, 1 << 22
@@ -80,9 +81,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                made = [
-                    np.array([*ids_of(text.as_py()), SEPARATOR], _ID) for text in part.column(1)
-                ]
+                made = [_array(ids_of(text.as_py())) for text in part.column(1)]
                 low, next_low = _smallest_hashes(made)
                 seen = _document_frequencies(made)
                 if len(seen) > len(df):
@@ -130,6 +129,11 @@ def _document_frequencies(docs: list[np.ndarray]) -> np.ndarray:
     return np.bincount((key[first] >> 8).astype(np.int64))
 
 
+def _array(ids: list[int]) -> np.ndarray:
+    """The ids of a document, with the separator at the end."""
+    return np.frombuffer(array("I", (*ids, SEPARATOR)), np.uint32).astype(_ID, copy=False)
+
+
 def _narrow(ids: np.ndarray) -> bytes:
     """Ids in two bytes each if all fit, after a byte that tells the width."""
     small = ids.max() < 1 << 16
@@ -407,8 +411,9 @@ def _statistics(made: DataFrame) -> Statistics:
 
 class Dealing:
     """Which shard a document belongs to: documents in the order of their cell, then of their hashes and
-    id, are cut where the tokens of a bounded sample say that a shard is full. A cell, or a group of equal
-    documents, of any size is cut like that, too."""
+    id, are cut where a bounded sample says that a shard is full. A cell, or a group of equal documents, of
+    any size is cut like that, too. A document counts by its tokens and as much as a mean one besides, so
+    that a shard has neither very many tokens nor very many documents."""
 
     def __init__(self, rows: list[tuple], shards: int):
         """`rows` of the sample: (two hashes, id, likeness vector, tokens)."""
@@ -419,7 +424,7 @@ class Dealing:
             (cell, *key[:2], _order(key[2])) for cell, key in zip(self.cells.of(x).tolist(), rows)
         ]
         order = sorted(range(len(keys)), key=keys.__getitem__)
-        until = np.cumsum(tokens[order])
+        until = np.cumsum((tokens + tokens.mean())[order]) if len(order) else np.zeros(0)
         bounds = until[-1] / shards * np.arange(1, shards) if len(order) else np.zeros(0)
         self.bounds = [keys[order[i]] for i in np.searchsorted(until, bounds).tolist()]
 
