@@ -1,8 +1,9 @@
 """Chat formatting of reply trees.
 
-Messages refer to the message they answer. Self-joins that double their reach enumerate the path from
-every leaf to its root, branches are ranked by the sum of their messages' scores, and each chosen path is
-written as one conversation with the spans that a loss would cover. DataFrame functions only.
+Messages refer to the message they answer. Self-joins that double their reach first give every message the
+sum of scores from the root down to it, so that branches are ranked by one row each; then they enumerate
+the paths of the chosen leaves only, and each is written as one conversation with the spans that a loss
+would cover. DataFrame functions only.
 
 The template is `<turn role="ROLE">TEXT</turn>` and a line break per turn. In roles and texts a
 backslash becomes `\\b`, `<` becomes `\\l` and `"` (in roles) becomes `\\q`, so that no text can look
@@ -48,25 +49,48 @@ def _edges(messages: DataFrame) -> DataFrame:
     return answers.join(ids, ["conv_id", "up"]).select("conv_id", "node", "up")
 
 
-def root_to_leaf_paths(messages: DataFrame) -> DataFrame:
-    """`conv_id, leaf, node, distance` of every message on the path from each leaf to its root.
+def _largest(messages: DataFrame) -> int:
+    """Messages of the largest conversation; no path is longer."""
+    return messages.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
 
-    Round k joins the paths so far, which reach 2 ** k - 1 steps, with a table of 2 ** k steps up. A
-    path that runs into a circle of replies has no root and is left out.
+
+def branch_scores(messages: DataFrame, edges: DataFrame) -> DataFrame:
+    """`conv_id, leaf, path_score` of every leaf that has a root: the sum of scores on its path.
+
+    After round k a message knows the sum over 2 ** k messages upwards and the one above these. What runs
+    into a circle of replies has no root and is left out.
     """
-    ups = staged(_edges(messages), "replies")
-    answered = ups.select("conv_id", F.col("up").alias("message_id")).distinct()
-    leaves = messages.join(answered, ["conv_id", "message_id"], "left_anti")
-    paths = staged(
-        leaves.select(
-            "conv_id", F.col("message_id").alias("leaf"), F.col("message_id").alias("node"),
-            F.lit(0).cast("long").alias("distance"),
-        ),
-        "paths",
-    )
-    roots = messages.join(ups, (messages["conv_id"] == ups["conv_id"]) & (messages["message_id"] == ups["node"]), "left_anti")
-    roots = roots.select("conv_id", F.col("message_id").alias("node"))
-    largest = messages.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
+    state = staged(
+        messages.select("conv_id", F.col("message_id").alias("node"), "score")
+        .join(edges, ["conv_id", "node"], "left")
+        .select("conv_id", "node", "up", F.col("score").alias("total")),
+        "branch-sums",
+    )
+    reach, largest = 1, _largest(messages)
+    while reach < largest and not state.filter("up IS NOT NULL").isEmpty():
+        above = state.select(
+            "conv_id", F.col("node").alias("up"), F.col("up").alias("top"), F.col("total").alias("more")
+        )
+        state = staged(
+            state.join(above, ["conv_id", "up"], "left").select(
+                "conv_id", "node", F.col("top").alias("up"),
+                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
+            ),
+            "branch-sums",
+        )
+        reach *= 2
+    answered = edges.select("conv_id", F.col("up").alias("node")).distinct()
+    rooted = state.filter("up IS NULL").join(answered, ["conv_id", "node"], "left_anti")
+    return rooted.select("conv_id", F.col("node").alias("leaf"), F.col("total").alias("path_score"))
+
+
+def root_to_leaf_paths(leaves: DataFrame, edges: DataFrame, largest: int) -> DataFrame:
+    """`conv_id, leaf, node, distance` of every message on the path from each of `leaves` to its root.
+
+    Round k joins the paths so far, which reach 2 ** k - 1 steps, with a table of 2 ** k steps up.
+    """
+    node, start = F.col("leaf").alias("node"), F.lit(0).cast("long").alias("distance")
+    paths, ups = staged(leaves.select("conv_id", "leaf", node, start), "paths"), edges
     reach = 1
     while reach < largest:
         further = paths.join(ups, ["conv_id", "node"]).select(
@@ -80,8 +104,7 @@ def root_to_leaf_paths(messages: DataFrame) -> DataFrame:
         reach *= 2
         if ups.isEmpty():
             break
-    complete = paths.join(roots, ["conv_id", "node"], "left_semi").select("conv_id", "leaf")
-    return paths.join(complete.distinct(), ["conv_id", "leaf"]).select("conv_id", "leaf", "node", "distance")
+    return paths
 
 
 def format_trees(
@@ -103,15 +126,14 @@ def format_trees(
     )
     one = F.min(F.struct("parent_id", "role", "text", "score")).alias("m")
     known = staged(known.groupBy("conv_id", "message_id").agg(one).select("conv_id", "message_id", "m.*"), "messages")
-    paths = staged(root_to_leaf_paths(known), "root-paths")
-    scores = known.select("conv_id", F.col("message_id").alias("node"), "score")
-    branches = paths.join(scores, ["conv_id", "node"]).groupBy("conv_id", "leaf").agg(
-        F.sum("score").alias("path_score")
-    )
+    edges = staged(_edges(known), "replies")
+    branches = branch_scores(known, edges)
     best = Window.partitionBy("conv_id").orderBy(F.desc("path_score"), "leaf")
     ranked = branches.withColumn("rank", F.row_number().over(best))
     if paths_per_tree is not None:
         ranked = ranked.filter(F.col("rank") <= paths_per_tree)
+    ranked = staged(ranked, "ranked-branches")
+    paths = root_to_leaf_paths(ranked.select("conv_id", "leaf"), edges, _largest(known))
     texts = known.select("conv_id", F.col("message_id").alias("node"), "role", "text")
     path = Window.partitionBy("conv_id", "leaf")
     role = F.replace(escaped(F.col("role")), F.lit('"'), F.lit("\\q"))
