@@ -14,6 +14,7 @@ from upswing.llm import (
     language,
     mixing,
     near_duplicates,
+    oracle,
     packing,
     periodic_runs,
     pseudonyms,
@@ -265,7 +266,7 @@ def op11(spark, sf):
     return mixing.mix(table(spark, sf, "documents"), document_weights=rated, keep=["doc_id"])
 
 
-@register("op12_spelling_variants")
+@register("op12_spelling_variants", oracle.SPELLING_VARIANTS)
 def op12(spark, sf):
     counts = spelling.word_counts(table(spark, sf, "documents"), typo_divisor=97)
     return spelling.spelling_groups(counts)
@@ -298,7 +299,7 @@ def with_repeated_tail(docs: DataFrame) -> DataFrame:
     return docs.drop(*(set(added) - {"text"}))
 
 
-@register("op13_periodic_runs")
+@register("op13_periodic_runs", oracle.PERIODIC_RUNS)
 def op13(spark, sf):
     docs = with_repeated_tail(table(spark, sf, "documents").select("doc_id", "text"))
     found = periodic_runs.periodic_runs(docs)
