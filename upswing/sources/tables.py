@@ -84,7 +84,10 @@ def write_days(
         empty = df.drop(PARTITION_COLUMN).limit(0)
         empty.write.mode("overwrite").parquet(f"{path}/{PARTITION_COLUMN}={day.isoformat()}")
     if table is not None:
-        df.sparkSession.catalog.recoverPartitions(table)
+        for day in sorted(set(seen.get["days"])):
+            partition = f"PARTITION ({PARTITION_COLUMN} = DATE '{day.isoformat()}')"
+            df.sparkSession.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {partition}")
+        df.sparkSession.catalog.refreshTable(table)
 
 
 def swap_days(

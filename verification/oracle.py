@@ -9,14 +9,80 @@ from __future__ import annotations
 
 import re
 from datetime import date, timedelta
+from typing import NamedTuple
 
-from upswing.partners import APPLE, PREFIXED_MARKETS, SPOTIFY, Partner
-from upswing.schemas import trend_schema, trend_sources
 from verification.inputs import APP, COUNTRIES, REPORT_DAY, SOURCES, SUBSCRIPTION
 
 D = REPORT_DAY
 
 
+class Source(NamedTuple):
+    """A counter: rows with this source, and an empty (True) or filled (False) uri if it matters."""
+
+    column: str
+    stream_source: str
+    uri_empty: bool | None = None
+
+
+class Side(NamedTuple):
+    """A partner as the SQL sees it, stated apart from the library."""
+
+    name: str
+    sources: tuple[Source, ...]
+    blocks: tuple[str, ...]
+    region_from_postcode: bool
+    prefixed_regions_only: bool
+    country_rank_change_is_tw_minus_lw: bool
+
+    @property
+    def counters(self) -> list[str]:
+        return ["streams", *(s.column for s in self.sources)]
+
+
+# Counters in the order of the base table, blocks in that of the trending tables.
+SPOTIFY = Side(
+    "Spotify",
+    (
+        Source("streams_collection", "collection"),
+        Source("streams_playlist", "others_playlist", False),
+        Source("streams_undeveloped_playlist", "others_playlist", True),
+        Source("streams_other", "other"),
+        Source("streams_artist", "artist"),
+        Source("streams_album", "album"),
+        Source("streams_search", "search"),
+    ),
+    ("collection", "other", "artist", "album", "search", "playlist", "undeveloped_playlist"),
+    False, True, False,
+)
+APPLE = Side(
+    "Apple",
+    (
+        Source("streams_collection", "collection"),
+        Source("streams_playlist", "playlist"),
+        Source("streams_undeveloped_playlist", "others_playlist"),
+        Source("streams_other", "other"),
+        Source("streams_album", "album"),
+        Source("streams_search", "search"),
+        Source("streams_radio", "radio"),
+    ),
+    ("collection", "other", "radio", "album", "search", "playlist", "undeveloped_playlist"),
+    True, False, True,
+)
+SIDES = {"Spotify": SPOTIFY, "Apple": APPLE}
+# Markets whose region codes begin with the market's code.
+PREFIXED = "'SE', 'AR', 'AU', 'BE', 'BR', 'DE', 'DK', 'NO', 'ES', 'FI', 'FR', 'GB', 'IT', 'MX', 'NL'"
+
+
+def trend_columns(side: Side) -> list[str]:
+    """Columns of a country trend table, in order."""
+    parts = ("tw", "lw", "change", "change_perc")
+    keys = [c.strip() for c in ITEM.split(",")]
+    totals = ["streams_tw", "streams_lw", "streams_change"]
+    blocks = [f"streams_{block}_{part}" for block in side.blocks for part in parts]
+    ranks = ["rank_tw", "rank_lw", "rank_change", "rank_adj_score"]
+    return keys + totals + blocks + ["collection_perc", "playlist_perc"] + ranks
+
+
 def _list(values: list[str]) -> str:
     return "[" + ", ".join(f"'{v}'" for v in values) + "]"
 
@@ -183,7 +249,8 @@ SUB_COLUMNS = (
 )
 
 
-def counts(partner: Partner) -> str:
+def counts(partner) -> str:
+    partner = SIDES[partner.name]
     parts = ["count(*) AS streams"]
     for rule in partner.sources:
         test = f"stream_source = '{rule.stream_source}'"
@@ -205,7 +272,7 @@ def week_case(day: date) -> str:
     )
 
 
-def levels(partner: Partner, day: date) -> str:
+def levels(partner: Side, day: date) -> str:
     """Country and region level, everything, and everything outside the home market."""
     report, where = f"{_day(day)} AS report_date", f"WHERE {window_filter(day)}"
     inner = f"(SELECT *, {week_case(day)} AS week FROM streams {where})"
@@ -257,7 +324,7 @@ POSTCODES = """
     WHERE rn = 1"""
 
 
-def base(partner: Partner, levels_table: str) -> str:
+def base(partner: Side, levels_table: str) -> str:
     names = ", ".join(f"t.{c}" for c in partner.counters)
     return f"""
         SELECT t.report_date, n.canopus_id, c.resource_rollup_id, n.default_name AS track_artist,
@@ -276,16 +343,15 @@ ITEM = (
 )
 
 
-def region_filter(partner: Partner) -> str:
-    if not partner.prefixed_regions_only:
+def region_filter(partner) -> str:
+    if not SIDES[partner.name].prefixed_regions_only:
         return "region_dma_code <> ''"
-    listed = ", ".join(f"'{c}'" for c in PREFIXED_MARKETS)
     return f"""region_dma_code <> '' AND (
-        (country_code IN ({listed}) AND substr(region_dma_code, 1, 2) = country_code)
+        (country_code IN ({PREFIXED}) AND substr(region_dma_code, 1, 2) = country_code)
         OR (country_code = 'US' AND regexp_matches(region_dma_code, '^[0-9]')))"""
 
 
-def pivot(partner: Partner, base_table: str, regional: bool = False) -> str:
+def pivot(partner: Side, base_table: str, regional: bool = False) -> str:
     keys = ITEM + (", region_dma_code, dma_name" if regional else "")
     sums = ", ".join(
         big(f"sum(CASE WHEN week = '{w.upper()}' THEN {c} END)", f"{c}_{w}")
@@ -330,10 +396,10 @@ GUARDED = (
 )
 
 
-def trends(partner: Partner, score_table: str, regional: bool = False, top: int = 2000) -> str:
+def trends(partner: Side, score_table: str, regional: bool = False, top: int = 2000) -> str:
     region = "region_dma_code, dma_name," if regional else ""
     blocks = ""
-    for name in trend_sources(partner):
+    for name in partner.blocks:
         c = f"streams_{name}"
         share = f"CASE WHEN streams_tw - streams_lw <> 0 THEN ({c}_tw - {c}_lw) / (streams_tw - streams_lw) END"
         blocks += f"{c}_tw, {c}_lw, {c}_tw - {c}_lw AS {c}_change, {dbl(share, f'{c}_change_perc')}, "
@@ -358,11 +424,10 @@ def averages(trend_table: str) -> str:
                FROM {trend_table} WHERE rank_adj_score > 0 GROUP BY report_date, country_code"""
 
 
-def alert_branch(partner: Partner, trend_table: str, label: bool) -> str:
+def alert_branch(partner: Side, trend_table: str, label: bool) -> str:
     """One branch; the differing source of the second partner lands in the first one's columns."""
-    target = trend_schema(SPOTIFY).names
     columns = ", ".join(
-        f"b.{own} AS {name}" for own, name in zip(trend_schema(partner).names, target)
+        f"b.{own} AS {name}" for own, name in zip(trend_columns(partner), trend_columns(SPOTIFY))
     )
     if label:
         join = f"""JOIN products g ON a.label = g.sap_segment_code
@@ -388,7 +453,7 @@ def alert_branch(partner: Partner, trend_table: str, label: bool) -> str:
 TABLES = dict(INPUTS, titles=TITLES, postcodes=POSTCODES)
 
 
-def _add_partner(partner: Partner, tag: str, day: date, cap: int, top: int) -> None:
+def _add_partner(partner: Side, tag: str, day: date, cap: int, top: int) -> None:
     TABLES[f"levels_{tag}"] = levels(partner, day)
     TABLES[f"base_{tag}"] = base(partner, f"levels_{tag}")
     for regional, place in ((False, "countries"), (True, "regions")):
