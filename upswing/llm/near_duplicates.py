@@ -162,13 +162,16 @@ def _text_key() -> Column:
     return F.xxhash64("text").alias("text_key")
 
 
-def _texts(docs: DataFrame, rows: DataFrame, column: str, classes: DataFrame) -> DataFrame:
-    """`rows` with the `text` of the class that `column` names: found by id and by a hash of the text, as
-    an id may stand for several texts."""
-    named = classes.select(F.col("rep").alias(column), "doc_id", "text_key")
-    placed = staged(rows.join(named, column), "places")
+def _named(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """`rows` with the document that stands for their class `rep`: its id and a hash of its text, as an
+    id may stand for several texts."""
+    return rows.join(classes.select("rep", "doc_id", "text_key"), "rep")
+
+
+def _texts(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows of a written table, named as above, with the `text` of their class."""
     keyed = docs.select("doc_id", "text", _text_key())
-    return keyed.join(_sent(placed), ["doc_id", "text_key"]).drop("doc_id", "text_key")
+    return keyed.join(_sent(named), ["doc_id", "text_key"]).drop("doc_id", "text_key")
 
 
 def _bands(sketches: DataFrame) -> DataFrame:
@@ -276,7 +279,8 @@ def _verified(
     ends = ends.unionByName(
         dealt.select("a", "part", F.lit(1).alias("role"), F.col("b").alias("rep"))
     )
-    sent = _texts(docs, ends, "rep", classes).repartition("a", "part")
+    named = staged(_named(ends, classes), "ends")
+    sent = _texts(docs, named).repartition("a", "part")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, hub = None, frozenset()
@@ -337,7 +341,9 @@ def _across(
         F.ceil(F.col("n") / CELL_MEMBERS).cast("int").alias("columns"),
         F.ceil((F.col("n") - F.col("main.n")) / CELL_MEMBERS).cast("int").alias("rows"),
     )
-    dealt = _with_bucket(members, whole).withColumn("outsider", F.col("component") != F.col("main"))
+    dealt = _named(_with_bucket(members, whole), classes).withColumn(
+        "outsider", F.col("component") != F.col("main")
+    )
 
     def own(name: str) -> Column:
         return F.pmod(F.xxhash64(F.lit(name), "rep"), F.col(name)).cast("int")
@@ -346,17 +352,20 @@ def _across(
         return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
 
     shared = ["rep", "component", "outsider"]
-    cells = dealt.select("bucket", own("columns").alias("x"), every("rows").alias("y"), F.lit(False).alias("asks"), *shared)
+    name = ["doc_id", "text_key"]
+    cells = dealt.select(
+        "bucket", own("columns").alias("x"), every("rows").alias("y"), F.lit(False).alias("asks"), *shared, *name
+    )
     asking = dealt.filter("outsider").select(
-        "bucket", every("columns").alias("x"), own("rows").alias("y"), F.lit(True).alias("asks"), *shared
+        "bucket", every("columns").alias("x"), own("rows").alias("y"), F.lit(True).alias("asks"), *shared, *name
     )
     cells = staged(cells.unionByName(asking), "cells")
     key = ["bucket", "x", "y", "asks", *shared]
     no_text, no_registers = F.lit(None).cast("string"), F.lit(None).cast("binary")
-    sides = sketches.join(_sent(cells), "rep").select(
+    sides = sketches.join(_sent(cells.drop(*name)), "rep").select(
         *key, "n_shingles", "registers", no_text.alias("text")
     )
-    texts = _texts(docs, cells, "rep", classes).select(
+    texts = _texts(docs, cells).select(
         *key, F.lit(0).cast("long").alias("n_shingles"), no_registers.alias("registers"), "text"
     )
 
