@@ -66,21 +66,25 @@ def branch_scores(messages: DataFrame, edges: DataFrame) -> DataFrame:
         .select("conv_id", "node", "up", F.col("score").alias("total")),
         "branch-sums",
     )
+    # Sums that have come to their root rest; only the others are joined again.
+    done, rising = state.filter("up IS NULL"), state.filter("up IS NOT NULL")
     reach, largest = 1, _largest(messages)
-    while reach < largest and not state.filter("up IS NOT NULL").isEmpty():
-        above = state.select(
+    while reach < largest and not rising.isEmpty():
+        above = done.unionByName(rising).select(
             "conv_id", F.col("node").alias("up"), F.col("up").alias("top"), F.col("total").alias("more")
         )
         state = staged(
-            state.join(above, ["conv_id", "up"], "left").select(
+            rising.join(above, ["conv_id", "up"]).select(
                 "conv_id", "node", F.col("top").alias("up"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
+                (F.col("total") + F.col("more")).alias("total"),
             ),
             "branch-sums",
         )
+        done = done.unionByName(state.filter("up IS NULL"))
+        rising = state.filter("up IS NOT NULL")
         reach *= 2
     answered = edges.select("conv_id", F.col("up").alias("node")).distinct()
-    rooted = state.filter("up IS NULL").join(answered, ["conv_id", "node"], "left_anti")
+    rooted = done.join(answered, ["conv_id", "node"], "left_anti")
     return rooted.select("conv_id", F.col("node").alias("leaf"), F.col("total").alias("path_score"))
 
 
