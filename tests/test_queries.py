@@ -3,6 +3,7 @@
 
 import pytest
 
+from verification import queries
 from verification.compare import differences
 from verification.queries import QUERIES, SQL
 
@@ -13,8 +14,9 @@ def test_query_matches_sql(spark, sql_tables, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["base_apple", "alerts_label_spotify", "trending_regions_spotify"])
 def test_same_results_when_every_join_shuffles_and_splits(
-    spark, sql_tables, sf_dir, settings, name
+    spark, sql_tables, sf_dir, settings, monkeypatch, name
 ):
+    monkeypatch.setattr(queries, "WRITTEN", {})
     settings(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__autoBroadcastJoinThreshold="-1",

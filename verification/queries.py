@@ -93,8 +93,21 @@ def trends_of(
     return trending(base, partner, regional, **limits)
 
 
-def staged_trends(spark: SparkSession, sf: str, partner: Partner, **options) -> DataFrame:
-    return tables_io.staged(trends_of(spark, sf, partner, **options), "trends")
+# Tables that several queries of a run start from, written once per application and input folder.
+WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def written_once(
+    spark: SparkSession, sf: str, label: str, make: Callable[[], DataFrame], *key: object
+) -> DataFrame:
+    place = (spark.sparkContext.applicationId, sf, label, *key)
+    if place not in WRITTEN:
+        WRITTEN[place] = tables_io.staged(make(), label)
+    return WRITTEN[place]
+
+
+def staged_trends(spark: SparkSession, sf: str, partner: Partner) -> DataFrame:
+    return written_once(spark, sf, "trends", lambda: trends_of(spark, sf, partner), partner.name)
 
 
 def subscriptions_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,7 +115,7 @@ def subscriptions_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def staged_subscriptions(spark: SparkSession, sf: str) -> DataFrame:
-    return tables_io.staged(subscriptions_of(spark, sf), "subscriptions")
+    return written_once(spark, sf, "subscriptions", lambda: subscriptions_of(spark, sf))
 
 
 def alerts_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -113,6 +126,10 @@ def alerts_of(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def staged_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    return written_once(spark, sf, "alerts", lambda: alerts_of(spark, sf))
+
+
 def with_part_day(df: DataFrame) -> DataFrame:
     return df.withColumn("part_day", F.col("report_date"))
 
@@ -742,12 +759,12 @@ def alerts_all(spark, sf):
 
 @register("alerts_distinct", f"SELECT {ROUND_ALERT} FROM distinct_alerts")
 def alerts_distinct(spark, sf):
-    return rounded(distinct_alerts(alerts_of(spark, sf)))
+    return rounded(distinct_alerts(staged_alerts(spark, sf)))
 
 
 @register("digest_top10", f"SELECT {ROUND_ALERT} FROM top_alerts")
 def digest_top10(spark, sf):
-    return rounded(top_alerts(distinct_alerts(alerts_of(spark, sf)))).withColumn(
+    return rounded(top_alerts(distinct_alerts(staged_alerts(spark, sf)))).withColumn(
         "rn", F.col("rn").cast("bigint")
     )
 
@@ -788,7 +805,7 @@ def _exploded(documents: DataFrame) -> DataFrame:
 
 @register("digest_documents", f"SELECT {ROUND_ALERT} FROM ({_DIGEST_SQL})")
 def digest_documents(spark, sf):
-    return _exploded(digests(alerts_of(spark, sf)))
+    return _exploded(digests(staged_alerts(spark, sf)))
 
 
 _MESSAGE_SQL = """
@@ -816,7 +833,7 @@ def _payload_columns(payload: Column) -> list[Column]:
 
 @register("messages", _MESSAGE_SQL)
 def messages_query(spark, sf):
-    made = messages(digests(alerts_of(spark, sf)))
+    made = messages(digests(staged_alerts(spark, sf)))
     parsed = made.withColumn("payload", F.from_json("value", _PAYLOAD))
     attributes = [
         F.element_at("attributes", a).alias(a)
@@ -828,10 +845,14 @@ def messages_query(spark, sf):
 # --- streaming ---------------------------------------------------------------------------------
 
 
+def staged_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return written_once(spark, sf, "messages", lambda: messages(digests(staged_alerts(spark, sf))))
+
+
 def _published(spark, sf):
     """All messages in one topic, published by market in two batches."""
     topic = tables_io.work_path(spark, "topic")
-    made = tables_io.staged(messages(digests(alerts_of(spark, sf))), "messages")
+    made = staged_messages(spark, sf)
     yield topic
     country = F.get_json_object("value", "$.territory.country_code")
     abroad = F.coalesce(country != HOME_MARKET, F.lit(True))
@@ -889,7 +910,7 @@ def delivery_off(spark, sf):
 @register("outbox_republished", SQL_OF_OUTBOX)
 def outbox_republished(spark, sf):
     """Everything is published twice, the second time after the first was consumed."""
-    made = tables_io.staged(messages(digests(alerts_of(spark, sf))), "messages")
+    made = staged_messages(spark, sf)
     topic, out, checkpoint = (
         tables_io.work_path(spark, n) for n in ("topic", "outbox", "outbox-checkpoint")
     )
