@@ -1,6 +1,7 @@
 """Properties of the physical plans that keep the work distributed."""
 
 import random
+from datetime import date
 
 import pytest
 
@@ -9,13 +10,13 @@ from pyspark.sql import functions as F
 from tests.helpers import collected, executed_plan, planned
 from upswing import SPOTIFY
 from upswing.operators.checks import footer_volumes
-from upswing.operators.counting import count_windows
+from upswing.operators.counting import count_windows, on_report_days, sliding_weeks
 from upswing.operators.digests import distinct_alerts, top_alerts
 from upswing.operators.fingerprints import whole_build_diff
 from upswing.operators.trends import ranked_by
 from upswing.plans.daily import days_between
 from upswing.plans.velocity import above_cut
-from upswing.sources.tables import staged, work_path, write_days
+from upswing.sources.tables import spread, staged, work_path, write_days
 from verification import inputs
 from verification.queries import alerts_of, base_of, trends_of
 
@@ -63,6 +64,39 @@ def test_backfill_moves_counts_once(spark, sf_dir, no_broadcast):
     assert changes.count("date_add") == 3  # three changes per daily count, whatever the window
 
 
+def test_items_are_pivoted_once(spark, sf_dir):
+    """Cut and scores are looked up by items that are written already."""
+    plan = planned(trends_of(spark, sf_dir, SPOTIFY))
+    assert "week#" not in plan and "streams_tw" in plan
+    assert "SortMergeJoin" not in plan  # the written pairs are known to be few, so items stay
+
+
+def test_changes_fall_on_report_days(spark):
+    """Counts that leave or enter between two report days, or after the last, cost no row of their own."""
+    days = [date(2024, 1, 20), date(2024, 1, 21), date(2024, 1, 26)]
+    rows = [(date(2024, 1, 1 + i), f"I{i % 3}", i + 1) for i in range(30)]
+    daily = spark.createDataFrame(rows, "part_day date, isrc string, streams long")
+    expected = {}
+    for report in days:
+        for day, isrc, n in rows:
+            if 0 <= (age := (report - day).days) < 14:
+                key = (report, isrc, "TW" if age < 7 else "LW")
+                expected[key] = expected.get(key, 0) + n
+    for dealt in (None, ["isrc"]):
+        weeks = sliding_weeks(daily if dealt is None else spread(daily, 1, "isrc"), ["streams"], days, dealt)
+        assert {row["since"] for row in weeks.select("since").collect()} <= set(days)
+        made = on_report_days(weeks, days).select("report_date", "isrc", "week", "streams").collect()
+        assert {tuple(row[:3]): row[3] for row in made} == expected and len(made) == len(expected)
+
+
+def test_tasks_are_sized_by_rows(spark, monkeypatch):
+    table = spark.range(25).withColumnRenamed("id", "k")
+    monkeypatch.setattr("upswing.sources.tables.ROWS_PER_TASK", 10)
+    dealt = spread(table, 25, "k")
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.count() == 25
+    assert spread(table, 0, "k").rdd.getNumPartitions() == 1
+
+
 def test_volumes_come_from_footers(spark, sf_dir):
     path = work_path(spark, "volumes")
     write_days(inputs.streams(spark, sf_dir), path)
