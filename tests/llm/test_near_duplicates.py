@@ -67,6 +67,25 @@ def test_chains_of_copies(spark, monkeypatch, seed, rounds, hot):
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), 2) == exact(rows, 2)
 
 
+def test_classes_that_share_many_buckets_meet_once(spark):
+    """Twenty buckets of the same six classes; and five whose classes differ, which would make more pairs
+    together than apart."""
+    same = [(bucket, False, rep, 1 if rep < 5 else rep) for bucket in range(20) for rep in range(1, 7)]
+    other = [
+        (100 + i, i == 0, rep, component)
+        for i in range(5)
+        for rep, component in ((100 + 10 * i, 100), (101 + 10 * i, 100), (200 + i, 200 + i))
+    ]
+    members = spark.createDataFrame(same + other, "bucket long, hot boolean, rep long, component long")
+    met = [tuple(r) for r in N._meetings(members).collect()]
+    assert sorted(r for r in met if r[0] == 1) == [
+        (1, -1, rep, 1 if rep < 5 else rep, 1, 1) for rep in range(1, 7)
+    ]
+    assert sorted(r for r in met if r[0] == 100) == sorted(
+        (100, bucket, rep, component, 1, 1) for bucket, _, rep, component in other
+    )
+
+
 def test_odd_texts(odd_docs, no_docs):
     rows = sorted(
         (r["doc_id"], r["n_shingles"], r["component_id"], r["kept"])

@@ -45,6 +45,7 @@ CELL_MEMBERS = 256
 BROADCAST_ROWS = 200_000
 TURN_CELLS = 1 << 16  # numbers that are drawn at a time
 _BAND_BITS = 6  # the low bits of a bucket tell its band
+_TOGETHER = (1 << _BAND_BITS) - 1  # no band has this number, which the bucket -1 tells
 _SLACK = 6.0
 _ELEMENT_BITS = 55  # with 512 texts in a block, 9 bits tell the text
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -322,6 +323,48 @@ def _similar_size(one: Column | str, other: Column | str, percent: int) -> Colum
     return F.least(one, other) * 100 >= F.greatest(one, other) * percent
 
 
+def _meetings(members: DataFrame) -> DataFrame:
+    """`main`, `bucket`, `rep`, `component` of everyone who meets others there, with the number of `columns`
+    and `rows` of cells. `main` is the largest component of a bucket.
+
+    A class may be in a bucket of every band with the same others. Buckets with the same largest component
+    are taken together, as bucket -1 with each class once, if that makes no more pairs of an outsider
+    and a member than the buckets do.
+    """
+    parts = members.groupBy("bucket", "hot", "component").agg(F.count("*").alias("n"))
+    whole = staged(
+        parts.groupBy("bucket", "hot")
+        .agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n"))
+        .select(
+            "bucket", "hot", F.col("main.component").alias("main"), "n",
+            (F.col("n") - F.col("main.n")).alias("out"),
+        ),
+        "open-buckets",
+    )
+    placed = staged(
+        _with_bucket(members.select("bucket", "hot", "rep", "component"), whole).drop("hot"), "placed"
+    )
+    once = staged(placed.select("main", "rep", "component").distinct(), "placed-once")
+    pairs = F.col("n").cast("double") * F.col("out")
+    apart = whole.groupBy("main").agg(F.sum(pairs).alias("pairs"))
+    together = once.groupBy("main").agg(
+        F.count("*").alias("n"), F.count_if(F.col("component") != F.col("main")).alias("out")
+    )
+    fewer = staged(
+        together.join(apart, "main").filter(pairs <= F.col("pairs")), "together"
+    )
+
+    def cells(name: str) -> Column:
+        return F.ceil(F.col(name) / CELL_MEMBERS).cast("int")
+
+    kept = ["main", "bucket", "rep", "component", cells("n").alias("columns"), cells("out").alias("rows")]
+    merged = join_by_key(
+        once, fewer.select("main", "n", "out", F.col("n").alias("met")), "main", "met", once.count()
+    )
+    merged = merged.withColumn("bucket", F.lit(-1).cast("long")).select(*kept)
+    return placed.join(fewer.select("main"), "main", "left_anti").select(*kept).unionByName(merged)
+
+
 def _across(
     members: DataFrame, sketches: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int
 ) -> DataFrame:
@@ -329,19 +372,11 @@ def _across(
 
     Every member outside the bucket's largest component (an outsider) meets every member. Both sides
     are dealt into cells of about `CELL_MEMBERS` each; a cell works on its pairs in memory and gives
-    back verified links only. A pair is looked at in the first band in which it agrees.
+    back verified links only. A pair is looked at in the first band in which it agrees, or where its
+    buckets are taken together.
     """
     floor = percent / 100 - ESTIMATE_MARGIN
-    parts = members.groupBy("bucket", "hot", "component").agg(F.count("*").alias("n"))
-    whole = parts.groupBy("bucket", "hot").agg(
-        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("n")
-    )
-    whole = whole.select(
-        "bucket", "hot", F.col("main.component").alias("main"),
-        F.ceil(F.col("n") / CELL_MEMBERS).cast("int").alias("columns"),
-        F.ceil((F.col("n") - F.col("main.n")) / CELL_MEMBERS).cast("int").alias("rows"),
-    )
-    dealt = _named(_with_bucket(members, whole), classes).withColumn(
+    dealt = _named(_meetings(members), classes).withColumn(
         "outsider", F.col("component") != F.col("main")
     )
 
@@ -354,13 +389,13 @@ def _across(
     shared = ["rep", "component", "outsider"]
     name = ["doc_id", "text_key"]
     cells = dealt.select(
-        "bucket", own("columns").alias("x"), every("rows").alias("y"), F.lit(False).alias("asks"), *shared, *name
+        "main", "bucket", own("columns").alias("x"), every("rows").alias("y"), F.lit(False).alias("asks"), *shared, *name
     )
     asking = dealt.filter("outsider").select(
-        "bucket", every("columns").alias("x"), own("rows").alias("y"), F.lit(True).alias("asks"), *shared, *name
+        "main", "bucket", every("columns").alias("x"), own("rows").alias("y"), F.lit(True).alias("asks"), *shared, *name
     )
     cells = staged(cells.unionByName(asking), "cells")
-    key = ["bucket", "x", "y", "asks", *shared]
+    key = ["main", "bucket", "x", "y", "asks", *shared]
     no_text, no_registers = F.lit(None).cast("string"), F.lit(None).cast("binary")
     sides = sketches.join(_sent(cells.drop(*name)), "rep").select(
         *key, "n_shingles", "registers", no_text.alias("text")
@@ -398,7 +433,8 @@ def _across(
             chosen = np.flatnonzero((components != component) & (~outside | (ids > rep)))
             agrees = (table[chosen, : BANDS * BAND_REGISTERS] == row[: BANDS * BAND_REGISTERS])
             agrees = agrees.reshape(len(chosen), BANDS, BAND_REGISTERS).all(axis=2)
-            chosen = chosen[agrees.argmax(axis=1) == band]
+            # A pair that agrees nowhere meets only where buckets are taken together.
+            chosen = chosen[agrees.any(axis=1) if band == _TOGETHER else agrees.argmax(axis=1) == band]
             near = np.minimum(count, table_sizes[chosen]) * 100 >= percent * np.maximum(count, table_sizes[chosen])
             chosen = chosen[near]
             if not len(chosen):
@@ -414,7 +450,7 @@ def _across(
                     found.append((rep, ids[i]))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    return sides.unionByName(texts).groupBy("bucket", "x", "y").applyInPandas(compare, "a long, b long")
+    return sides.unionByName(texts).groupBy("main", "bucket", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def _links(
