@@ -4,6 +4,7 @@ from tests.helpers import collected
 from upswing.operators.subscriptions import flatten_subscriptions
 from upswing.sources.documents import read_user_docs
 from upswing.sources.tables import work_path
+from verification import inputs
 
 
 def subscription(**changes):
@@ -108,3 +109,11 @@ def test_inactive_application_of_the_name_counts_once_the_gate_is_open(spark):
     off = application(name="old app", active=False, followedArtists=[{"_id": 9}])
     rows = flatten(spark, user(applications=[application(), off]))
     assert collected(rows, "artist") == {(5,), (9,)}
+
+
+def test_customers_of_one_file_are_made_into_documents_by_several_tasks(spark, tmp_path):
+    customers = spark.range(50_000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    docs = inputs.user_docs(spark, str(tmp_path))
+    assert docs.rdd.getNumPartitions() == 3
+    assert docs.select("_id").distinct().count() == docs.count() == 50_000
