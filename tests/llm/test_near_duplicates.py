@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from upswing.llm import near_duplicates as N
@@ -132,6 +134,18 @@ def test_sketch_does_not_depend_on_the_block():
         assert (N.sketch(np.zeros(10, np.int64), made[i * 10 : i * 10 + 10], 1)[0] == together[i]).all()
 
 
+def test_sets_of_many_long_texts_are_made_in_little_memory():
+    pick = random.Random(7)
+    text = " ".join(f"w{pick.randrange(5000)}" for _ in range(1500))
+    texts = pa.array([f"{i} {text}" for i in range(250)])
+    tracemalloc.start()
+    for _, data, offsets in N.blocks(texts, N.SIGN_BYTES):
+        N.sketch(*N.block_sets(data, offsets, 5), len(offsets) - 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
+
+
 def test_components(spark):
     pick = random.Random(5)
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (None, 3)]

@@ -43,6 +43,7 @@ HOT_SHARE = 0.001
 CELL_MEMBERS = 256
 # Up to so many rows (of a few numbers each) are sent to where the texts are; beyond, texts are shuffled.
 BROADCAST_ROWS = 200_000
+SIGN_BYTES = 1 << 18  # a byte of text takes some forty while its set is made
 TURN_CELLS = 1 << 16  # numbers that are drawn at a time
 _BAND_BITS = 6  # the low bits of a bucket tell its band
 _TOGETHER = (1 << _BAND_BITS) - 1  # no band has this number, which the bucket -1 tells
@@ -136,7 +137,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, data, offsets in blocks(batch.column(1)):
+            for first, data, offsets in blocks(batch.column(1), SIGN_BYTES):
                 sets = len(offsets) - 1
                 owner, element = block_sets(data, offsets, size)
                 sums = []
