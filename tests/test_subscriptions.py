@@ -114,6 +114,6 @@ def test_inactive_application_of_the_name_counts_once_the_gate_is_open(spark):
 def test_customers_of_one_file_are_made_into_documents_by_several_tasks(spark, tmp_path):
     customers = spark.range(50_000).selectExpr("id AS c_custkey", "CAST(id % 25 AS INT) AS c_nationkey")
     customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
-    docs = inputs.user_docs(spark, str(tmp_path))
+    docs = inputs.user_docs(spark, str(tmp_path), dealt=True)
     assert docs.rdd.getNumPartitions() == 3
     assert docs.select("_id").distinct().count() == docs.count() == 50_000
