@@ -16,6 +16,29 @@ def test_ids_are_the_librarys(tokenizer, docs, odd_docs):
         assert encode(text) == expected.ids, text[:50]
 
 
+def test_white_space_needs_no_look_ahead(tokenizer):
+    assert "(?!" not in packing._WITHOUT_LOOK_AHEAD
+    assert [*packing.between_spaces("a  b\n\n\tc d  ")] == ["a ", " b\n\n", "\tc d  "]
+    library, encode = Tokenizer.from_file(tokenizer), packing.encoder(tokenizer)
+    spaces, pick = " \t\n\r\x0b\x0c\x1c\x85\xa0\u2003\u2028\u3000", np.random.default_rng(3)
+    texts = ["", " ", "  ", "\n a", " 's", "  's", "<|endoftext|>  <|endoftext|> \n"]
+    for _ in range(3000):
+        drawn = pick.integers(0, 2 * len(spaces) + 8, pick.integers(1, 14))
+        texts.append("".join((spaces * 2 + "ab1'sé.\u0301")[i] for i in drawn.tolist()))
+    for text, expected in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
+        assert encode(text) == expected.ids, repr(text)
+
+
+def test_few_lists_are_made_for_documents_that_never_are_seeds(docs, tokenizer, monkeypatch):
+    encode, asked, best = packing.encoder(tokenizer), [], packing.Bm25.best
+    held = [packing._array(encode(r["text"])) for r in docs.orderBy("doc_id").collect()]
+    monkeypatch.setattr(
+        packing.Bm25, "best", lambda self, seeds, *more: asked.append(len(seeds)) or best(self, seeds, *more)
+    )
+    windows = len({sequence for _, _, _, sequence, _ in packing.pack(held)})
+    assert sum(asked) < windows
+
+
 def check(table, tokenizer, window=1024):
     library = Tokenizer.from_file(tokenizer)
     expected = sorted(

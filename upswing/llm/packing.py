@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from array import array
 from bisect import bisect
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upswing.llm.hashing import mix
-from upswing.llm.token_counts import PATTERN
+from upswing.llm.token_counts import PATTERN, SPACE
 from upswing.sources.tables import staged
 
 WINDOW = 1024
@@ -38,10 +39,15 @@ AXES = 128  # of a likeness vector
 CELLS, SAMPLED, MOST_SAMPLED = 4, 64, 40_000  # cells and sampled documents of a shard; sampled at most
 K1, B = 1.2, 0.75
 MOST_NEIGHBOURS, LISTED = 32, 160  # of a seed: taken at most, and in a list
-SEEDS_PER_BATCH, BATCH_CELLS = 64, 1 << 20  # seeds asked together, and scores they make
+# Seeds asked together, and scores they make; of a larger batch more documents never become seeds.
+SEEDS_PER_BATCH, BATCH_CELLS = 16, 1 << 20
 # Terms that so many of a shard's documents have are held as rows of a matrix, within these bounds.
-WIDE_SHARE, WIDE_TERMS, WIDE_CELLS = 1 / 24, 2000, 1 << 22
+WIDE_SHARE, WIDE_TERMS, WIDE_CELLS = 1 / 12, 2000, 1 << 22
 _ID = np.dtype("<u4")
+# The pattern without its look ahead, which only parts a white-space run of several characters
+# from its last one, and where it does so.
+_WITHOUT_LOOK_AHEAD = PATTERN.replace(f"[{SPACE}]+(?![^{SPACE}])|", "")
+_LONG_SPACE = re.compile(f"[{SPACE}][{SPACE}]+(?=[^{SPACE}])")
 
 
 @lru_cache(maxsize=2)
@@ -53,22 +59,41 @@ def encoder(path: str):
     with open(path.removesuffix(".json") + ".tiktoken", "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
     special = {entry["content"]: entry["id"] for entry in content["added_tokens"]}
-    plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    plain = tiktoken.Encoding(
+        "plain", pat_str=_WITHOUT_LOOK_AHEAD, mergeable_ranks=ranks, special_tokens={}
+    )
     found = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
+    def ordinary(text: str) -> list[int]:
+        ids: list[int] = []
+        for part in between_spaces(text):
+            ids += plain.encode_ordinary(part)
+        return ids
+
     def encode(text: str | None) -> list[int]:
         text = text or ""
         if found is None or not found.search(text):
-            return plain.encode_ordinary(text)
+            return ordinary(text)
         parts = found.split(text)
         return [
             i for part in parts
-            for i in ([special[part]] if part in special else plain.encode_ordinary(part))
+            for i in ([special[part]] if part in special else ordinary(part))
         ]
 
     return encode
 
 
+def between_spaces(text: str) -> Iterator[str]:
+    """Parts of a text, cut before the last character of each run of several white-space characters that
+    something follows. No pre-token goes over such a cut, and inside the parts the pattern needs no
+    look ahead, which takes tiktoken's regular expressions a fifth of its time."""
+    first = 0
+    for run in _LONG_SPACE.finditer(text):
+        yield text[first : run.end() - 1]
+        first = run.end() - 1
+    yield text[first:]
+
+
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """`doc_id, ids` (32-bit, with the separator at the end), and two hashes to deal documents by. Rows
     with `counted` say for a token id in how many of a task's documents it is (`doc_id` and `low`); -1
@@ -131,7 +156,9 @@ def _document_frequencies(docs: list[np.ndarray]) -> np.ndarray:
 
 def _array(ids: list[int]) -> np.ndarray:
     """The ids of a document, with the separator at the end."""
-    return np.frombuffer(array("I", (*ids, SEPARATOR)), np.uint32).astype(_ID, copy=False)
+    made = array("I", ids)
+    made.append(SEPARATOR)
+    return np.frombuffer(made, np.uint32).astype(_ID, copy=False)
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -304,7 +331,7 @@ class Bm25:
         at = _ranges(self.of_term[terms], postings)
         place = np.repeat(row * len(self.held), postings) + self.column[self.posting_doc[at]]
         found += np.bincount(place, self.posting_weight[at], found.size).reshape(found.shape)
-        return np.round(found, 9)
+        return np.round(found, 9, out=found)
 
     def best(self, seeds: np.ndarray, most: int, wanted: np.ndarray) -> list[list[int]]:
         """For each seed the `most` wanted documents with the highest scores above 0, itself left out, the
@@ -317,7 +344,7 @@ class Bm25:
         if not most:
             return [[] for _ in seeds]
         bar = np.partition(score, score.shape[1] - most, axis=1)[:, score.shape[1] - most]
-        row, column = np.nonzero((score >= bar[:, None]) & (score > 0))
+        row, column = np.nonzero(score >= np.maximum(bar, np.nextafter(0.0, 1.0))[:, None])
         order = np.lexsort((column, -score[row, column], row))
         row, docs = row[order], self.held[column[order]]
         bounds = np.searchsorted(row, np.arange(len(seeds) + 1)).tolist()

@@ -26,10 +26,10 @@ TABLE_SIZE = 50_000
 CACHE_SIZE = 200_000
 LONGEST_CACHED = 64
 # Fixed value: the pre-token pattern of byte-level BPE. `\s` is spelt out as Unicode's White_Space.
-_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^%s\p{L}\p{N}]+|[%s]+(?![^%s])|[%s]+"
-    % ((_SPACE,) * 4)
+    % ((SPACE,) * 4)
 )
 
 
