@@ -1,8 +1,10 @@
 import math
 import unicodedata
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from upswing.llm import language
@@ -17,6 +19,17 @@ def test_held_out_accuracy(spark):
     assert total > 150 and right / total > 0.99
 
 
+def test_scoring_many_long_texts_takes_little_memory():
+    model = language.Model(["a", "b"], np.zeros((2, language.BUCKETS)), np.zeros(2))
+    texts = pa.array(["la vie est belle, they say " * 60] * 400)
+    language.posteriors(model, texts.slice(0, 1))
+    tracemalloc.start()
+    language.posteriors(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 15_000_000
+
+
 def test_rare_languages_are_learnt_from_all_their_rows():
     assert language._shares([100, 100], 50) == [0.25, 0.25]
     assert language._shares([10**9, 7, 30], 100) == [63 / 10**9, 1.0, 1.0]

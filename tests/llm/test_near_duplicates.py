@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from upswing.llm import hashing
 from upswing.llm import near_duplicates as N
 from upswing.llm.components import connected_components
 
@@ -146,6 +147,29 @@ def test_sets_of_many_long_texts_are_made_in_little_memory():
     assert peak < 20_000_000
 
 
+def test_hashing_a_short_text_keeps_little_memory():
+    hashing._powers.cache_clear()
+    data = np.frombuffer(b"some words " * 100, np.uint8)
+    tracemalloc.start()
+    hashing.words(data, np.array([0, len(data)]), hashing.WHITE_SPACE)
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 6_000_000
+
+
+def test_no_table_comes_from_python_rows(spark, monkeypatch):
+    """Such rows are made by Python workers of their own, which stay in memory beside the others."""
+    rows = [(i, f"one two three four five six seven eight {i // 2}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def refuse(*args, **more):
+        raise AssertionError("a table of Python rows")
+
+    monkeypatch.setattr(type(spark), "createDataFrame", refuse)
+    found = N.near_duplicates(docs, 2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(i, i // 2 * 2) for i in range(8)]
+
+
 def test_components(spark):
     pick = random.Random(5)
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(50)] + [(7, 7), (None, 3)]

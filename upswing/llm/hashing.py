@@ -15,6 +15,7 @@ import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
 BLOCK_TEXTS = 512
+LEAST_POWERS = 1 << 18  # a worker keeps 16 bytes for each
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -71,7 +72,7 @@ def words(
     starts = np.flatnonzero(inside & (~before | fresh[:-1]))
     after = np.concatenate((inside[1:], [False]))
     ends = np.flatnonzero(inside & (~after | fresh[1:])) + 1
-    power, inverse = _powers(max(BLOCK_BYTES, 1 << int(size).bit_length()))
+    power, inverse = _powers(max(LEAST_POWERS, 1 << (size - 1).bit_length()))
     running = np.zeros(size + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:size], out=running[1:])
     hashes = mix((running[ends] - running[starts]) * inverse[starts])

@@ -26,7 +26,7 @@ SIZES = (1, 2, 3)
 TRAIN_ROWS = 20_000  # learnt from about so many labelled rows at most
 SMOOTHING = 0.5
 EVIDENCE = 60  # n-grams overlap, so a text counts as no more than so many independent ones
-BLOCK_BYTES = 1 << 18  # a character takes some hundred bytes while its n-grams are scored
+BLOCK_BYTES = 1 << 16  # a character takes some hundred bytes while its n-grams are scored
 UNDETERMINED = "und"
 MIN_SCORE = 0.5
 

@@ -464,7 +464,8 @@ def _links(
     are done. What is left after `STAR_ROUNDS` rounds is compared across components, so that no pair
     that shares a bucket goes unseen.
     """
-    known = members.sparkSession.createDataFrame([], "id long, component long")
+    # Empty without createDataFrame, whose rows come from Python workers that stay beside the others.
+    known = members.select(F.col("rep").alias("id"), F.col("rep").alias("component")).limit(0)
     kept = ["bucket", "hot", "rep", "n_shingles"]
     members = members.withColumn("component", F.col("rep"))
 
