@@ -7,10 +7,16 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tests.helpers import collected, executed_plan, planned
-from upswing import SPOTIFY
+from tests.helpers import DAY, collected, executed_plan, planned, sorted_rows, stream_table
+from upswing import APPLE, SPOTIFY
 from upswing.operators.checks import footer_volumes
-from upswing.operators.counting import count_windows, on_report_days, sliding_weeks
+from upswing.operators.counting import (
+    count_window,
+    count_windows,
+    dealt_by_track,
+    on_report_days,
+    sliding_weeks,
+)
 from upswing.operators.digests import distinct_alerts, top_alerts
 from upswing.operators.fingerprints import whole_build_diff
 from upswing.operators.trends import ranked_by
@@ -20,6 +26,12 @@ from upswing.sources.tables import spread, staged, work_path, write_days
 from verification import inputs
 from verification.queries import alerts_of, base_of, trends_of
 
+STREAM_ROWS = [
+    {"part_day": DAY, "user_country_code": "US", "user_country_name": "Country US"},
+    {"part_day": DAY, "user_country_code": None, "user_country_name": None, "user_dma_name": None},
+    {"part_day": DAY, "isrc": "I2", "user_dma_number": "501", "user_dma_name": "DMA, 501"},
+]
+
 
 @pytest.fixture()
 def no_broadcast(settings):
@@ -36,6 +48,26 @@ def test_raw_streams_are_scanned_and_counted_once(spark, sf_dir, no_broadcast):
     assert len(scans) == 1
 
 
+@pytest.mark.parametrize("partner", [SPOTIFY, APPLE])
+def test_a_days_counts_move_once_and_meet_metadata_unsorted(spark, sf_dir, monkeypatch, partner):
+    monkeypatch.setattr("upswing.sources.tables.ROWS_PER_TASK", 1000)
+    plan = executed_plan(base_of(spark, sf_dir, partner))
+    deal = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert ["ReusedExchange" in line for line in deal] == [False, True]
+    above, below = plan.split(deal[0])
+    assert "ShuffledHashJoin" in above and "SortMergeJoin" not in above
+    assert "ENSURE_REQUIREMENTS" not in above
+    # The synthetic markets have no hash table beside that of the counts.
+    assert below.split("ShuffleQueryStage")[0].count("HashAggregate") == 1
+
+
+def test_dealt_counts_keep_their_market(spark):
+    counted = count_window(stream_table(spark, STREAM_ROWS), SPOTIFY, DAY)
+    dealt = dealt_by_track(counted, 3, SPOTIFY)
+    assert dealt.dtypes == [(c, dict(counted.dtypes)[c]) for c in dealt.columns]
+    assert counted.count() == 3 and sorted_rows(dealt) == sorted_rows(counted)
+
+
 @pytest.mark.parametrize("regional", [False, True])
 def test_no_window_over_items(spark, sf_dir, no_broadcast, regional):
     """Windows run over distinct stream counts only; the items' own plan has none."""
