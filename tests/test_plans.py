@@ -1,6 +1,7 @@
 """Properties of the physical plans that keep the work distributed."""
 
 import random
+import threading
 from datetime import date
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import DAY, collected, executed_plan, planned, sorted_rows, stream_table
 from upswing import APPLE, SPOTIFY
+from upswing.operators.alerts import alert_columns
 from upswing.operators.checks import footer_volumes
 from upswing.operators.counting import (
     count_window,
@@ -23,7 +25,7 @@ from upswing.operators.trends import ranked_by
 from upswing.plans.daily import days_between
 from upswing.plans.velocity import above_cut
 from upswing.sources.tables import spread, staged, work_path, write_days
-from verification import inputs
+from verification import inputs, queries
 from verification.queries import alerts_of, base_of, trends_of
 
 STREAM_ROWS = [
@@ -68,6 +70,17 @@ def test_dealt_counts_keep_their_market(spark):
     assert counted.count() == 3 and sorted_rows(dealt) == sorted_rows(counted)
 
 
+def test_partners_are_built_side_by_side(spark, sf_dir, monkeypatch):
+    both, made = threading.Barrier(2), queries.staged_trends
+
+    def met(*args):
+        both.wait(60)
+        return made(*args)
+
+    monkeypatch.setattr(queries, "staged_trends", met)
+    assert set(alerts_of(spark, sf_dir).columns) == set(alert_columns())
+
+
 @pytest.mark.parametrize("regional", [False, True])
 def test_no_window_over_items(spark, sf_dir, no_broadcast, regional):
     """Windows run over distinct stream counts only; the items' own plan has none."""
