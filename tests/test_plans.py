@@ -2,7 +2,7 @@
 
 import random
 import threading
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 
@@ -17,11 +17,14 @@ from upswing.operators.counting import (
     count_windows,
     dealt_by_track,
     on_report_days,
+    on_seen_days,
+    seen_weeks,
     sliding_weeks,
 )
 from upswing.operators.digests import distinct_alerts, top_alerts
 from upswing.operators.fingerprints import whole_build_diff
 from upswing.operators.trends import ranked_by
+from upswing.plans import daily
 from upswing.plans.daily import days_between
 from upswing.plans.velocity import above_cut
 from upswing.sources.tables import spread, staged, work_path, write_days
@@ -134,6 +137,80 @@ def test_changes_fall_on_report_days(spark):
         assert {tuple(row[:3]): row[3] for row in made} == expected and len(made) == len(expected)
 
 
+@pytest.mark.parametrize("back", [[0], [0, 1, 2], [0, 3, 16]])
+def test_few_report_days_side_by_side_equal_sliding_sums(spark, back):
+    """Keys with NULLs, days without counts, weeks that are empty for a key or a counter."""
+    pick, days = random.Random(3), sorted(DAY - timedelta(n) for n in back)
+    rows = {
+        (DAY - timedelta(pick.randrange(35)), pick.choice(["SE", "NO", None]), f"I{pick.randrange(9)}")
+        for _ in range(120)
+    }
+    daily = spark.createDataFrame(
+        [(*key, n := pick.randrange(1, 9), pick.randrange(n)) for key in sorted(rows, key=str)],
+        "part_day date, country_code string, isrc string, streams long, streams_album long",
+    )
+    names = ["streams", "streams_album"]
+    side_by_side = on_seen_days(seen_weeks(daily, names, days), days)
+    sliding = on_report_days(sliding_weeks(daily, names, days), days)
+    assert sorted_rows(side_by_side) == sorted_rows(sliding) != []
+    columns = ["report_date", "country_code", "isrc", "week", *names]
+    expected = {}
+    for day, country, isrc, *counts in daily.collect():
+        for report in days:
+            if 0 <= (age := (report - day).days) < 14:
+                key = (report, country, isrc, "TW" if age < 7 else "LW")
+                expected[key] = [a + b for a, b in zip(expected.get(key, (0, 0)), counts)]
+    assert collected(side_by_side, *columns) == {(*key, *sums) for key, sums in expected.items()}
+
+
+@pytest.mark.parametrize("partner", [SPOTIFY, APPLE])
+def test_few_report_days_are_neither_sorted_into_windows_nor_moved_to_be_written(
+    spark, sf_dir, monkeypatch, settings, partner
+):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    monkeypatch.setattr("upswing.sources.tables.ROWS_PER_TASK", 1000)
+    written = []
+    monkeypatch.setattr(daily, "write_days", lambda df, *a, **k: written.append((df, a[2], k)))
+    monkeypatch.setattr(daily, "written_days", lambda *a: staged(written[0][0], "base"))
+    tables = (
+        inputs.streams, inputs.resources, inputs.names, inputs.subdivisions, inputs.zips,
+    )
+    days = days_between("2024-01-26", "2024-01-29")
+    sources = daily.Sources(*(table(spark, sf_dir) for table in tables))
+    daily.rebuild(spark, sources, partner, days, daily.Paths("b", "c", "r"))
+    base, listed, options = written[0]
+    assert listed == days and options == {"gathered": True} and len(written) == 3
+    plan = executed_plan(base)
+    deal = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert ["ReusedExchange" in line for line in deal] == [False, True]
+    assert "Window" not in plan
+
+
+def test_countries_and_regions_are_built_side_by_side(spark, sf_dir, monkeypatch):
+    both, made = threading.Barrier(2), daily.trending
+
+    def met(*args):
+        both.wait(60)
+        return made(*args)
+
+    monkeypatch.setattr(daily, "trending", met)
+    tables = (inputs.streams, inputs.resources, inputs.names)
+    paths = daily.Paths(*(work_path(spark, n) for n in ("base", "countries", "regions")))
+    daily.rebuild(spark, daily.Sources(*(table(spark, sf_dir) for table in tables)), SPOTIFY, [DAY], paths)
+    assert all(not spark.read.parquet(path).isEmpty() for path in (paths.countries, paths.regions))
+
+
+def test_gathered_rows_are_written_where_they_are(spark):
+    rows = [(day, k) for day in (DAY, DAY - timedelta(1)) for k in range(40)]
+    table = spark.createDataFrame(rows, "part_day date, k int").repartition(3, "k")
+    path = work_path(spark, "gathered")
+    for _ in range(2):
+        write_days(table, path, days=[DAY, DAY - timedelta(1)], gathered=True)
+        back = spark.read.parquet(path)
+        assert collected(back, "part_day", "k") == set(rows) and back.count() == len(rows)
+        assert len(back.inputFiles()) == 6  # two days out of each task
+
+
 def test_tasks_are_sized_by_rows(spark, monkeypatch):
     table = spark.range(25).withColumnRenamed("id", "k")
     monkeypatch.setattr("upswing.sources.tables.ROWS_PER_TASK", 10)
