@@ -8,7 +8,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tests.helpers import DAY, collected, executed_plan, planned, sorted_rows, stream_table
+from tests.helpers import DAY, base_table, collected, executed_plan, planned, sorted_rows, stream_table
 from upswing import APPLE, SPOTIFY
 from upswing.operators.alerts import alert_columns
 from upswing.operators.checks import footer_volumes
@@ -23,7 +23,7 @@ from upswing.operators.counting import (
 )
 from upswing.operators.digests import distinct_alerts, top_alerts
 from upswing.operators.fingerprints import whole_build_diff
-from upswing.operators.trends import ranked_by
+from upswing.operators.trends import ranked_by, week_pivot
 from upswing.plans import daily
 from upswing.plans.daily import days_between
 from upswing.plans.velocity import above_cut
@@ -211,6 +211,20 @@ def test_gathered_rows_are_written_where_they_are(spark):
         assert len(back.inputFiles()) == 6  # two days out of each task
 
 
+def test_items_are_hashed_once_each(spark, settings):
+    """Items and keys of daily counts are far more than the table of first groups that Spark would keep
+    beside the table of all holds."""
+    settings(spark__sql__adaptive__enabled="false")
+    items = week_pivot(spread(base_table(spark, [("SE", "Sweden", "I1", "TW", 3)]), 1, "report_date", "isrc"), ["streams"])
+    counts = spark.createDataFrame([(DAY, "SE", "I1", 3)], "part_day date, country_code string, isrc string, streams long")
+    weeks = seen_weeks(spread(counts, 1, "isrc"), ["streams"], [DAY])
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    for df in (items, weeks):
+        code = df._jdf.queryExecution().explainString(mode)
+        assert "HashAggregate" in code and "FastHashMap" not in code
+        assert planned(df).count("Exchange") == 1  # dealt by some of the keys, items stay
+
+
 def test_tasks_are_sized_by_rows(spark, monkeypatch):
     table = spark.range(25).withColumnRenamed("id", "k")
     monkeypatch.setattr("upswing.sources.tables.ROWS_PER_TASK", 10)
